@@ -68,8 +68,8 @@ ITEMS_PER_ORDER = (1, 5)
 STORE_QUANTITY_RANGE = (1, 5)
 UNIT_PRICE_RANGE = (10, 500)
 SHIPPING_RANGE = (5, 25)
-TAX_RATE = "0.08"
-DISCOUNT_MAX = "0.10"
+TAX_PERCENT = 8
+DISCOUNT_PERCENT = 10
 CREATED_DAYS = 2 * 365
 LOGIN_SECONDS = 30 * 24 * 3600
 

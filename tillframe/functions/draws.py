@@ -1,8 +1,8 @@
 """Random draws that depend only on a row's key, a seed and a name.
 
 A row draws the same value on any executor, under any partitioning and after any
-task retry. Each draw reads 13 hexadecimal digits (52 bits) of one MD5 digest; a
-digest has room for two lanes.
+task retry. A draw takes 60 bits of one MD5 digest; a row that needs several small
+draws splits those bits into lanes.
 """
 
 from __future__ import annotations
@@ -12,24 +12,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
-DIGITS = 13
-STEPS = float(16**DIGITS)
+HEX_DIGITS = 15
+BITS = 4 * HEX_DIGITS
+DOUBLE_BITS = 52
 
 
-def draw_bits(key: Column, seed: int, name: str, lane: int = 0) -> Column:
+def bits(key: Column, seed: int, name: str) -> Column:
     digest = F.md5(F.concat(F.lit(f"{seed}:{name}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1 + DIGITS * lane, DIGITS), 16, 10).cast("bigint")
+    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint")
 
 
-def uniform(key: Column, seed: int, name: str, lane: int = 0) -> Column:
-    """A double strictly between 0 and 1."""
-    return (draw_bits(key, seed, name, lane).cast("double") + F.lit(0.5)) / F.lit(STEPS)
+def fraction(source: Column, lane: int = 0, lanes: int = 1) -> Column:
+    """One lane of the bits as a double strictly between 0 and 1."""
+    width = BITS // lanes
+    kept = min(width, DOUBLE_BITS)
+    shifted = F.shiftright(source, lane * width) if lane else source
+    return (shifted.bitwiseAND(F.lit(2**kept - 1)).cast("double") + 0.5) / F.lit(float(2**kept))
+
+
+def uniform(key: Column, seed: int, name: str, lane: int = 0, lanes: int = 1) -> Column:
+    return fraction(bits(key, seed, name), lane, lanes)
 
 
 def normal(key: Column, seed: int, name: str) -> Column:
     """A standard normal draw by the Box-Muller formula."""
-    radius = F.sqrt(F.lit(-2.0) * F.log(uniform(key, seed, name, 0)))
-    return radius * F.cos(F.lit(2 * math.pi) * uniform(key, seed, name, 1))
+    radius = F.sqrt(F.lit(-2.0) * F.log(uniform(key, seed, name, 0, 2)))
+    return radius * F.cos(F.lit(2 * math.pi) * uniform(key, seed, name, 1, 2))
 
 
 def lomax(key: Column, seed: int, name: str, shape: float) -> Column:
@@ -43,11 +51,11 @@ def whole(draw: Column, low: int, high: int) -> Column:
     return F.lit(low) + F.floor(draw * F.lit(float(high - low + 1)))
 
 
-def between(draw: Column, low: Column | float, high: Column | float) -> Column:
-    """A decimal with two places from `low` to `high`."""
+def hundredths(draw: Column, low: Column | float, high: Column | float) -> Column:
+    """An amount from `low` to `high`, in hundredths."""
     low = low if isinstance(low, Column) else F.lit(float(low))
     high = high if isinstance(high, Column) else F.lit(float(high))
-    return F.round((low + draw * (high - low)).cast("decimal(28,8)"), 2).cast("decimal(12,2)")
+    return F.rint((low + draw * (high - low)) * 100).cast("bigint")
 
 
 def position(draw: Column, length: int) -> Column:

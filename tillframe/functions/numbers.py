@@ -6,32 +6,53 @@ from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DecimalType, DoubleType, FloatType, IntegralType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType
 
 from tillframe.constants import SECONDS_PER_HOUR, TDP_WATTS
 
-MONEY = "decimal(12,2)"
+PLACES = 2
+UNITS = 10**PLACES
+LOW_BITS = 20
 
 
-def exact(df: DataFrame, name: str) -> Column:
-    """Column `name` in a type whose sum does not depend on the order of addition.
+def units(df: DataFrame, name: str) -> Column:
+    """Column `name` in hundredths, as a whole number; money and quantities carry two places.
 
-    Money and quantities held as doubles become two-place decimals; integers and
-    decimals are exact already.
+    Sums and products of whole numbers do not depend on the order of the rows, and
+    stay primitive, unlike decimals, in generated code.
     """
-    if isinstance(df.schema[name].dataType, (IntegralType, DecimalType)):
-        return F.col(name)
-    return F.col(name).cast(MONEY)
+    column, kind = F.col(name), df.schema[name].dataType
+    if isinstance(kind, IntegralType):
+        return column.cast("bigint") * UNITS
+    if isinstance(kind, (DoubleType, FloatType)):
+        return F.rint(column.cast("double") * UNITS).cast("bigint")
+    return (column.cast("decimal(20,2)") * UNITS).cast("bigint")
 
 
-def like_input(df: DataFrame, name: str, total: Column) -> Column:
-    """A sum of `exact(df, name)`, as a double again if the column holds doubles."""
-    return total.cast("double") if isinstance(df.schema[name].dataType, (DoubleType, FloatType)) else total
+def total(value: Column, places: int = PLACES) -> Column:
+    """Exact sum of a whole-number column that counts 10**-places, as a decimal.
+
+    High and low bits are summed apart as 64-bit numbers, so that neither sum can
+    overflow below eight trillion rows per group.
+    """
+    high = F.sum(F.shiftright(value, LOW_BITS)).cast("decimal(20,0)")
+    low = F.sum(value.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
+    return scaled(high * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low, places)
+
+
+def scaled(value: Column, places: int = PLACES) -> Column:
+    """A decimal that counts 10**-places, brought to units."""
+    return value * F.lit(f"1e-{places}").cast(f"decimal({places},{places})")
+
+
+def amount(value: Column, places: int = PLACES) -> Column:
+    """A whole number that counts 10**-places, as a double."""
+    return value / F.lit(float(10**places))
 
 
-def exact_literal(value: str) -> Column:
-    """A decimal constant, so that multiplying by it stays exact."""
-    return F.lit(value).cast("decimal(6,4)")
+def quantity(df: DataFrame, name: str, value: Column) -> Column:
+    """A sum of `units(df, name)`: whole if the column is whole, else a double."""
+    return amount(value).cast("bigint" if isinstance(df.schema[name].dataType, IntegralType) else "double")
 
 
 def cents(value: Column) -> Column:

@@ -13,21 +13,20 @@ def readable_bytes(size: Column) -> Column:
     Works on whole hundredths, with ties to the even digit, so no floating-point
     formatting decides the last place.
     """
-    size = size.cast("decimal(20,0)")
-    steps = range(len(BYTE_UNITS) - 1, 0, -1)
-    power = F.coalesce(*[F.when(size >= 1024**k, F.lit(k)) for k in steps], F.lit(0))
-    divisor = F.element_at(
-        F.array(*[F.lit(1024**k).cast("decimal(13,0)") for k in range(len(BYTE_UNITS))]), power + 1
-    )
-    scaled = size * F.lit(100).cast("decimal(3,0)")
-    remainder = scaled % divisor
-    whole = ((scaled - remainder) / divisor).cast("bigint")
-    above = (remainder * 2 > divisor) | ((remainder * 2 == divisor) & (whole % 2 == 1))
-    hundredths = whole + above.cast("bigint")
-    text = F.format_string(
-        "%d.%02d %s",
-        F.floor(hundredths / 100).cast("bigint"),
-        hundredths % 100,
-        F.element_at(F.lit(list(BYTE_UNITS)), power + 1),
+    size = size.cast("bigint")
+    powers = range(len(BYTE_UNITS))
+    unit = F.coalesce(*[F.when(size >= 1024**k, F.lit(k + 1)) for k in reversed(powers[1:])], F.lit(1))
+    divisor = F.element_at(F.lit([1024**k for k in powers]), unit)
+    rest = size % divisor * 100
+    count = (size - size % divisor) / divisor * 100 + (rest - rest % divisor) / divisor
+    count = count.cast("bigint")
+    beyond_half = rest % divisor * 2 + count % 2 > divisor
+    rounded = count + beyond_half.cast("bigint")
+    text = F.concat(
+        ((rounded - rounded % 100) / 100).cast("bigint").cast("string"),
+        F.lit("."),
+        F.lpad((rounded % 100).cast("string"), 2, "0"),
+        F.lit(" "),
+        F.element_at(F.lit(list(BYTE_UNITS)), unit),
     )
     return F.when(size == 0, F.lit("0 B")).when(size.isNotNull(), text)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillframe.constants import TOP_ROWS
-from tillframe.functions.numbers import exact, like_input
+from tillframe.functions.numbers import quantity, total, units
 from tillframe.operators.checks import require_columns
 
 
@@ -19,8 +19,8 @@ def _sold(order_items: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
     require_columns(order_items, ["order_id", "product_id", "quantity", "total_price"], "order_items")
     require_columns(products, ["product_id", *keep], "products")
     per_product = order_items.groupBy("product_id").agg(
-        F.sum(exact(order_items, "quantity")).alias("units"),
-        F.sum(exact(order_items, "total_price")).alias("revenue"),
+        F.sum(units(order_items, "quantity")).alias("sold"),
+        total(units(order_items, "total_price")).alias("revenue"),
         F.count("order_id").alias("items"),
     )
     return per_product.join(products.select("product_id", *keep), "product_id")
@@ -33,7 +33,7 @@ def top_products(order_items: DataFrame, products: DataFrame, n: int = TOP_ROWS)
         _sold(order_items, products, "product_name", "category")
         .groupBy(*keys)
         .agg(
-            like_input(order_items, "quantity", F.sum("units")).alias("total_quantity_sold"),
+            quantity(order_items, "quantity", F.sum("sold")).alias("total_quantity_sold"),
             F.sum("revenue").cast("double").alias("total_revenue"),
             F.sum("items").alias("order_count"),
         )
@@ -47,7 +47,7 @@ def category_performance(order_items: DataFrame, products: DataFrame) -> DataFra
         _sold(order_items, products, "category")
         .groupBy("category")
         .agg(
-            like_input(order_items, "quantity", F.sum("units")).alias("total_quantity_sold"),
+            quantity(order_items, "quantity", F.sum("sold")).alias("total_quantity_sold"),
             F.sum("revenue").cast("double").alias("total_revenue"),
             F.countDistinct("product_id").alias("unique_products"),
             F.sum("items").alias("order_count"),

@@ -5,26 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillframe.constants import TOP_ROWS
-from tillframe.functions.numbers import cents, exact, like_input, mean
+from tillframe.functions.numbers import (
+    PLACES, amount, cents, mean, quantity, scaled, total, units,
+)
 from tillframe.operators.checks import require_columns
 
+REVENUE_PLACES = 2 * PLACES
+
 
 def priced_lines(orders: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
-    """The columns `keep` of each order line, its price, and its exact revenue.
+    """The columns `keep` of each order line, with its quantity, price and revenue in whole units.
 
     The join is left to Spark: products are broadcast while their size allows it,
     and beyond that adaptive execution splits the partitions of a hot product.
     """
     require_columns(orders, ["product_id", "quantity", *keep], "orders")
     require_columns(products, ["product_id", "price"], "products")
-    prices = products.select("product_id", exact(products, "price").alias("price"))
+    prices = products.select("product_id", units(products, "price").alias("price_units"))
     lines = orders.select(
-        "product_id",
-        exact(orders, "quantity").alias("quantity"),
-        *[name for name in keep if name not in ("product_id", "quantity")],
+        "product_id", *keep, units(orders, "quantity").alias("quantity_units")
     )
     return lines.join(prices, "product_id").withColumn(
-        "revenue", F.col("quantity") * F.col("price")
+        "revenue_units", F.col("quantity_units") * F.col("price_units")
     )
 
 
@@ -34,19 +36,17 @@ def line_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
         "order_id",
         "customer_id",
         "product_id",
-        F.col("quantity").cast("double").alias("quantity"),
-        F.col("price").cast("double").alias("price"),
-        F.col("revenue").cast("double").alias("revenue"),
+        amount(F.col("quantity_units")).alias("quantity"),
+        amount(F.col("price_units")).alias("price"),
+        amount(F.col("revenue_units"), REVENUE_PLACES).alias("revenue"),
     )
 
 
 def customer_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     """(customer_id, revenue) of every customer who bought something."""
-    return (
-        priced_lines(orders, products, "customer_id")
-        .groupBy("customer_id")
-        .agg(F.sum("revenue").cast("double").alias("revenue"))
-    )
+    revenue = total(F.col("revenue_units"), REVENUE_PLACES)
+    lines = priced_lines(orders, products, "customer_id")
+    return lines.groupBy("customer_id").agg(revenue.cast("double").alias("revenue"))
 
 
 def customer_revenue_top(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS) -> DataFrame:
@@ -61,8 +61,8 @@ def top_customers(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS) ->
         priced_lines(orders, products, "customer_id", "order_id")
         .groupBy("customer_id")
         .agg(
-            F.sum("revenue").alias("revenue"),
-            F.count("revenue").alias("priced"),
+            total(F.col("revenue_units"), REVENUE_PLACES).alias("revenue"),
+            F.count("revenue_units").alias("priced"),
             F.count("order_id").alias("order_count"),
         )
     )
@@ -88,28 +88,27 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     require_columns(orders, ["product_id", "quantity"], "orders")
     require_columns(products, ["product_id", "price", "category"], "products")
     sold = orders.groupBy("product_id").agg(
-        F.sum(exact(orders, "quantity")).alias("units"),
-        F.count(F.lit(1)).alias("lines"),
+        F.sum(units(orders, "quantity")).alias("sold"), F.count(F.lit(1)).alias("lines")
     )
     catalogue = products.select(
-        "product_id", "category", exact(products, "price").alias("price")
+        "product_id", "category", units(products, "price").cast("decimal(14,0)").alias("price")
     )
-    units, lines, price = F.col("units"), F.col("lines"), F.col("price")
+    price = F.col("price")
     per_category = (
         sold.join(catalogue, "product_id")
         .groupBy("category")
         .agg(
-            F.sum(units * price).alias("revenue"),
-            F.sum(units).alias("units"),
+            F.sum(F.col("sold").cast("decimal(19,0)") * price).alias("revenue"),
+            F.sum("sold").alias("sold"),
             F.countDistinct("product_id").alias("unique_products"),
-            F.sum(lines * price).alias("prices"),
-            F.sum(F.when(price.isNotNull(), lines)).alias("priced"),
+            F.sum(F.col("lines").cast("decimal(19,0)") * price).alias("prices"),
+            F.sum(F.when(price.isNotNull(), F.col("lines"))).alias("priced"),
         )
     )
     return per_category.select(
         "category",
-        cents(F.col("revenue")).alias("total_revenue"),
-        like_input(orders, "quantity", F.col("units")).alias("total_units_sold"),
+        cents(scaled(F.col("revenue"), REVENUE_PLACES)).alias("total_revenue"),
+        quantity(orders, "quantity", F.col("sold")).alias("total_units_sold"),
         "unique_products",
-        cents(mean(F.col("prices"), F.col("priced"))).alias("avg_price_per_unit"),
+        cents(mean(scaled(F.col("prices")), F.col("priced"))).alias("avg_price_per_unit"),
     ).orderBy(F.desc("total_revenue"), "category")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillframe.functions.numbers import cents, exact, mean, percent_growth
+from tillframe.functions.numbers import cents, mean, percent_growth, total, units
 from tillframe.operators.checks import require_columns
-from tillframe.operators.revenue import priced_lines
+from tillframe.operators.revenue import REVENUE_PLACES, priced_lines
 
 
 def _year(date: str) -> Column:
@@ -25,7 +25,7 @@ def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
     """
     lines = priced_lines(orders, products, "order_date")
     months = lines.groupBy(_year("order_date"), _month("order_date")).agg(
-        F.sum("revenue").alias("revenue")
+        total(F.col("revenue_units"), REVENUE_PLACES).alias("revenue")
     )
     previous = F.lag("revenue").over(Window.orderBy("year", "month"))
     revenue, before = F.col("revenue"), F.col("previous")
@@ -43,11 +43,10 @@ def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
 
 
 def _order_measures(orders: DataFrame) -> list[Column]:
-    total = exact(orders, "order_total")
     return [
         F.count("order_id").alias("order_count"),
-        F.sum(total).alias("total"),
-        F.count(total).alias("valued"),
+        total(units(orders, "order_total")).alias("total"),
+        F.count("order_total").alias("valued"),
     ]
 
 

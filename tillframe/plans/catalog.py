@@ -140,9 +140,9 @@ def result_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
 
 def _generated_shop(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Shop tables of the test tables' own sizes, over their keys counted from 1."""
-    customer_ids = tables.table(spark, sf, "customer").select((F.col("c_custkey") + 1).alias("customer_id"))
-    product_ids = tables.table(spark, sf, "part").select((F.col("p_partkey") + 1).alias("product_id"))
-    orders, products = tables.table(spark, sf, "orders").count(), product_ids.count()
+    customer_ids = _keys(spark, sf, "customer", "c_custkey", "customer_id")
+    product_ids = _keys(spark, sf, "part", "p_partkey", "product_id")
+    orders, products = (tables.table(spark, sf, name).count() for name in ("orders", "part"))
     return {
         "customers": synthetic.shop_customers(customer_ids, SEED, GENERATED_AS_OF),
         "products": synthetic.shop_products(product_ids, SEED),
@@ -151,7 +151,8 @@ def _generated_shop(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def _keys(spark: SparkSession, sf: str, table: str, key: str, out: str) -> DataFrame:
-    return tables.table(spark, sf, table).select((F.col(key) + 1).alias(out))
+    """A table's keys, counted from 1, as the keys of a generated table."""
+    return synthetic.spread(tables.table(spark, sf, table).select((F.col(key) + 1).alias(out)))
 
 
 def gen_customers(spark: SparkSession, sf: str) -> DataFrame:

@@ -260,21 +260,31 @@ RESULT_RECONCILIATION = f"""
 # Generated tables --------------------------------------------------------------
 
 
-def _draw(key: str, name: str, lane: int = 0) -> str:
-    digits = f"substr(md5('42:{name}:' || CAST({key} AS VARCHAR)), {1 + 13 * lane}, 13)"
-    return f"((CAST(CAST('0x' || {digits} AS BIGINT) AS DOUBLE) + 0.5e0) / 4503599627370496e0)"
+def _bits(key: str, name: str) -> str:
+    return f"CAST('0x' || substr(md5('42:{name}:' || CAST({key} AS VARCHAR)), 1, 15) AS BIGINT)"
+
+
+def _draw(key: str, name: str, lane: int = 0, lanes: int = 1) -> str:
+    width = 60 // lanes
+    kept = min(width, 52)
+    lane_bits = f"(({_bits(key, name)} >> {lane * width}) & {2**kept - 1})"
+    return f"((CAST({lane_bits} AS DOUBLE) + 0.5e0) / {2**kept}e0)"
 
 
 def _normal(key: str, name: str) -> str:
-    return f"(sqrt(-2e0 * ln({_draw(key, name)})) * cos(6.283185307179586e0 * {_draw(key, name, 1)}))"
+    return f"(sqrt(-2e0 * ln({_draw(key, name, 0, 2)})) * cos(6.283185307179586e0 * {_draw(key, name, 1, 2)}))"
 
 
 def _whole(draw: str, low: int, high: int) -> str:
     return f"({low} + CAST(floor({draw} * {high - low + 1}e0) AS BIGINT))"
 
 
+def _hundredths(draw: str, low: str, high: str) -> str:
+    return f"CAST(round(({low} + {draw} * ({high} - {low})) * 100e0) AS BIGINT)"
+
+
 def _between(draw: str, low: str, high: str) -> str:
-    return f"CAST(round(CAST({low} + {draw} * ({high} - {low}) AS DECIMAL(28, 8)), 2) AS DECIMAL(12, 2))"
+    return f"({_hundredths(draw, low, high)} / 100e0)"
 
 
 def _list(values: Iterable) -> str:
@@ -294,14 +304,14 @@ def _seconds_before(draw: str, seconds: int) -> str:
     return f"(CAST({GENERATED_AS_OF} AS TIMESTAMP) - to_seconds({_whole(draw, 0, seconds)}))"
 
 
-def _places(key: str, part: int) -> str:
-    return _pick(_draw(key, "place"), [place[part] for place in fixed.PLACES])
+def _place(key: str, name: str, part: int) -> str:
+    return _pick(_draw(key, name, 2, 3), [place[part] for place in fixed.PLACES])
 
 
-def _phrase(key: str) -> str:
-    return (
-        f"{_pick(_draw(key, 'phrase'), fixed.PHRASE_STARTS)} || ' ' || "
-        f"{_pick(_draw(key, 'phrase', 1), fixed.PHRASE_ENDS)}"
+def _product_name(key: str, categories: Iterable[str]) -> str:
+    return " || ' ' || ".join(
+        _pick(_draw(key, "label", lane, 3), words)
+        for lane, words in enumerate((categories, fixed.PHRASE_STARTS, fixed.PHRASE_ENDS))
     )
 
 
@@ -311,22 +321,22 @@ def _ranged(ranges: Mapping[str, tuple], draw: str, end: int) -> str:
 
 GEN_CUSTOMERS = f"""
     SELECT id AS customer_id,
-           {_pick(_draw("id", "name"), fixed.FIRST_NAMES)} || ' ' || {_pick(_draw("id", "name", 1), fixed.LAST_NAMES)} AS name,
+           {_pick(_draw("id", "person", 0, 3), fixed.FIRST_NAMES)} || ' ' || {_pick(_draw("id", "person", 1, 3), fixed.LAST_NAMES)} AS name,
            'user' || id || '@example.com' AS email,
            CAST(greatest(18, least(80, floor(CAST(35e0 + 12e0 * {_normal("id", "age")} AS DECIMAL(28, 8))))) AS INTEGER) AS age,
-           {_places("id", 0)} AS city, {_places("id", 2)} AS country,
+           {_place("id", "person", 0)} AS city, {_place("id", "person", 2)} AS country,
            {_days_before(_draw("id", "registered"), 1825)} AS registration_date
     FROM (SELECT c_custkey + 1 AS id FROM customer)
 """
 
-_SHOP_KIND = _draw("id", "category")
+_KIND = _draw("id", "label", 0, 3)
+_SHOP_LOW, _SHOP_HIGH = (_ranged(fixed.SHOP_PRICE_RANGES, _KIND, end) for end in (0, 1))
 GEN_PRODUCTS = f"""
     SELECT id AS product_id,
-           {_pick(_SHOP_KIND, fixed.SHOP_PRICE_RANGES)} || ' ' || {_phrase("id")} AS name,
-           {_pick(_SHOP_KIND, fixed.SHOP_PRICE_RANGES)} AS category,
-           CAST({_between(_draw("id", "price"), _ranged(fixed.SHOP_PRICE_RANGES, _SHOP_KIND, 0),
-                          _ranged(fixed.SHOP_PRICE_RANGES, _SHOP_KIND, 1))} AS DOUBLE) AS price,
-           CAST({_whole(_draw("id", "stock"), 10, 1000)} AS INTEGER) AS stock,
+           {_product_name("id", fixed.SHOP_PRICE_RANGES)} AS name,
+           {_pick(_KIND, fixed.SHOP_PRICE_RANGES)} AS category,
+           {_between(_draw("id", "numbers", 0, 2), _SHOP_LOW, _SHOP_HIGH)} AS price,
+           CAST({_whole(_draw("id", "numbers", 1, 2), 10, 1000)} AS INTEGER) AS stock,
            CAST(greatest(1, least(5, round(CAST(4e0 + 0.8e0 * {_normal("id", "rating")} AS DECIMAL(28, 8)), 1))) AS DOUBLE) AS rating
     FROM (SELECT p_partkey + 1 AS id FROM part)
 """
@@ -341,7 +351,7 @@ PARETO = f"""
         SELECT id, CAST(round_even(CAST(weight AS DOUBLE) / (SELECT CAST(sum(weight) AS DOUBLE) FROM weights)
                         * (SELECT CAST(total AS DOUBLE) FROM sized), 0) AS BIGINT) AS part
         FROM weights
-    ), largest AS (SELECT id FROM parts ORDER BY part DESC, id LIMIT 1)
+    ), largest AS (SELECT id FROM weights ORDER BY weight DESC, id LIMIT 1)
     SELECT id AS customer_id,
            CAST(part + CASE WHEN id = (SELECT id FROM largest)
                             THEN (SELECT total FROM sized) - (SELECT sum(part) FROM parts) ELSE 0 END AS BIGINT)
@@ -360,101 +370,100 @@ GEN_ORDERS = f"""
     )
     SELECT id AS order_id, customer_id,
            1 + CAST(floor({_draw("id", "product")} * (SELECT CAST(count(*) AS DOUBLE) FROM part)) AS BIGINT) AS product_id,
-           CAST({_whole(_draw("id", "product", 1), 1, 10)} AS INTEGER) AS quantity,
-           {_seconds_before(_draw("id", "ordered"), 31536000)} AS order_date
+           CAST({_whole(_draw("id", "order", 0, 2), 1, 10)} AS INTEGER) AS quantity,
+           {_seconds_before(_draw("id", "order", 1, 2), 31536000)} AS order_date
     FROM numbered
 """
 
-GEN_SHUFFLE = """
+GEN_SHUFFLE = f"""
     SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
            o_totalprice AS order_total,
-           CAST('0x' || substr(md5('42:shuffle:' || o_orderkey), 1, 13) AS BIGINT) AS shuffle_key
+           {_bits("o_orderkey", "shuffle")} AS shuffle_key
     FROM orders
 """
 
-_GROUP = _draw("id", "age")
+_GROUP = _draw("id", "age", 0, 2)
 GEN_CUSTOMERS_PROFILE = f"""
     SELECT id AS customer_id,
-           {_pick(_draw("id", "name"), fixed.FIRST_NAMES)} AS first_name,
-           {_pick(_draw("id", "name", 1), fixed.LAST_NAMES)} AS last_name,
+           {_pick(_draw("id", "person", 0, 3), fixed.FIRST_NAMES)} AS first_name,
+           {_pick(_draw("id", "person", 1, 3), fixed.LAST_NAMES)} AS last_name,
            'user' || id || '@example.com' AS email,
-           '555-' || lpad(CAST({_whole(_draw("id", "phone"), 0, 9999999)} AS VARCHAR), 7, '0') AS phone,
-           CAST({_pick(_GROUP, [18, 26, 46, 66])} + floor({_draw("id", "age", 1)} * {_pick(_GROUP, [8, 20, 20, 15])}) AS INTEGER) AS age,
+           '555-' || lpad(CAST({_whole(_draw("id", "contact", 0, 2), 0, 9999999)} AS VARCHAR), 7, '0') AS phone,
+           CAST({_pick(_GROUP, [18, 26, 46, 66])} + floor({_draw("id", "age", 1, 2)} * {_pick(_GROUP, [8, 20, 20, 15])}) AS INTEGER) AS age,
            {_pick(_GROUP, fixed.AGE_GROUPS)} AS age_group,
-           {_pick(_draw("id", "gender"), fixed.GENDERS)} AS gender,
-           {_places("id", 0)} AS city, {_places("id", 1)} AS state, {_places("id", 2)} AS country,
-           {_days_before(_draw("id", "registered"), 1825)} AS registration_date,
-           {_seconds_before(_draw("id", "login"), 2592000)} AS last_login,
-           {_draw("id", "customer-active")} < 0.75e0 AS is_active
+           {_pick(_draw("id", "profile", 0, 3), fixed.GENDERS)} AS gender,
+           {_place("id", "person", 0)} AS city, {_place("id", "person", 1)} AS state, {_place("id", "person", 2)} AS country,
+           {_days_before(_draw("id", "profile", 2, 3), 1825)} AS registration_date,
+           {_seconds_before(_draw("id", "contact", 1, 2), 2592000)} AS last_login,
+           {_draw("id", "profile", 1, 3)} < 0.75e0 AS is_active
     FROM (SELECT c_custkey + 1 AS id FROM customer)
 """
 
-_KIND = _draw("id", "category")
 _LOW, _HIGH = (_ranged(fixed.STORE_PRICE_RANGES, _KIND, end) for end in (0, 1))
 GEN_PRODUCTS_CATALOG = f"""
     SELECT id AS product_id,
-           {_pick(_KIND, fixed.STORE_PRICE_RANGES)} || ' ' || {_phrase("id")} AS product_name,
+           {_product_name("id", fixed.STORE_PRICE_RANGES)} AS product_name,
            {_pick(_KIND, fixed.STORE_PRICE_RANGES)} AS category,
-           {_pick(_draw("id", "description"), fixed.DESCRIPTIONS)} AS description,
-           CAST({_between(_draw("id", "price"), _LOW, _HIGH)} AS DOUBLE) AS price,
-           CAST({_between(_draw("id", "price", 1), f"({_LOW} * 0.3e0)", f"({_HIGH} * 0.6e0)")} AS DOUBLE) AS cost,
-           CAST({_whole(_draw("id", "stock"), 10, 1000)} AS INTEGER) AS stock_quantity,
-           CAST({_between(_draw("id", "weight"), "0.1e0", "50e0")} AS DOUBLE) AS weight,
-           {_pick(_draw("id", "brand"), fixed.BRANDS)} AS brand,
+           {_pick(_draw("id", "details", 0, 4), fixed.DESCRIPTIONS)} AS description,
+           {_between(_draw("id", "price", 0, 2), _LOW, _HIGH)} AS price,
+           {_between(_draw("id", "price", 1, 2), f"({_LOW} * 0.3e0)", f"({_HIGH} * 0.6e0)")} AS cost,
+           CAST({_whole(_draw("id", "numbers", 0, 2), 10, 1000)} AS INTEGER) AS stock_quantity,
+           {_between(_draw("id", "numbers", 1, 2), "0.1e0", "50e0")} AS weight,
+           {_pick(_draw("id", "details", 1, 4), fixed.BRANDS)} AS brand,
            'SKU-' || lpad(CAST(id AS VARCHAR), CAST(greatest(6, length(CAST(id AS VARCHAR))) AS INTEGER), '0') AS sku,
-           {_days_before(_draw("id", "created"), 730)} AS created_date,
-           {_draw("id", "product-active")} < 0.75e0 AS is_active
+           {_days_before(_draw("id", "details", 3, 4), 730)} AS created_date,
+           {_draw("id", "details", 2, 4)} < 0.75e0 AS is_active
     FROM (SELECT p_partkey + 1 AS id FROM part)
 """
 
 ORDER_ITEMS = f"""
     SELECT item, id AS order_id,
            1 + CAST(floor({_draw("item", "item-product")} * (SELECT CAST(count(*) AS DOUBLE) FROM part)) AS BIGINT) AS product_id,
-           CAST({_whole(_draw("item", "item"), 1, 5)} AS INTEGER) AS quantity,
-           {_between(_draw("item", "item", 1), "10e0", "500e0")} AS price
+           {_whole(_draw("item", "item", 0, 2), 1, 5)} AS quantity,
+           {_hundredths(_draw("item", "item", 1, 2), "10e0", "500e0")} AS price
     FROM (
         SELECT id, (id - 1) * 5 + unnest(range(1, items + 1)) AS item
         FROM (
-            SELECT id, {_whole(_draw("id", "items"), 1, 5)} AS items
+            SELECT id, {_whole(_draw("id", "header", 0, 3), 1, 5)} AS items
             FROM (SELECT o_orderkey + 1 AS id FROM orders)
         )
     )
 """
 
 GEN_ORDER_ITEMS = f"""
-    SELECT item AS order_item_id, order_id, product_id, quantity, CAST(price AS DOUBLE) AS unit_price,
-           CAST(price * quantity AS DOUBLE) AS total_price
+    SELECT item AS order_item_id, order_id, product_id, CAST(quantity AS INTEGER) AS quantity,
+           price / 100e0 AS unit_price, price * quantity / 100e0 AS total_price
     FROM ({ORDER_ITEMS})
 """
 
 GEN_ORDERS_HEADER = f"""
     WITH totals AS (
-        SELECT order_id AS id, CAST(sum(price * quantity) AS DECIMAL(12, 2)) AS total
+        SELECT order_id AS id, CAST(sum(price * quantity) AS BIGINT) AS total
         FROM ({ORDER_ITEMS}) GROUP BY order_id
     ), priced AS (
-        SELECT id, total, {_between(_draw("id", "costs"), "5e0", "25e0")} AS shipping,
-               round(total * CAST('0.08' AS DECIMAL(6, 4)), 2) AS tax,
-               round(total * CAST('0.10' AS DECIMAL(6, 4)) * CAST({_draw("id", "costs", 1)} AS DECIMAL(10, 8)), 2) AS discount
+        SELECT id, total, {_hundredths(_draw("id", "costs", 0, 2), "5e0", "25e0")} AS shipping,
+               CAST(round(total * 8 / 100e0) AS BIGINT) AS tax,
+               CAST(round(total * {_draw("id", "costs", 1, 2)} * 10 / 100e0) AS BIGINT) AS discount
         FROM totals
     )
     SELECT id AS order_id,
            1 + CAST(floor({_draw("id", "customer")} * (SELECT CAST(count(*) AS DOUBLE) FROM customer)) AS BIGINT) AS customer_id,
            {_seconds_before(_draw("id", "ordered"), 31536000)} AS order_date,
-           {_pick(_draw("id", "status"), fixed.ORDER_STATUSES)} AS order_status,
-           {_pick(_draw("id", "status", 1), fixed.PAYMENT_METHODS)} AS payment_method,
-           {_whole(_draw("id", "street", 1), 1, 999)} || ' ' || {_pick(_draw("id", "street"), fixed.STREETS)} || ', ' ||
-               {_places("id", 0)} || ', ' || {_places("id", 1)} AS shipping_address,
-           CAST(total AS DOUBLE) AS order_total, CAST(shipping AS DOUBLE) AS shipping_cost,
-           CAST(tax AS DOUBLE) AS tax_amount, CAST(discount AS DOUBLE) AS discount_amount,
-           CAST(total + shipping + tax - discount AS DOUBLE) AS final_amount
+           {_pick(_draw("id", "header", 1, 3), fixed.ORDER_STATUSES)} AS order_status,
+           {_pick(_draw("id", "header", 2, 3), fixed.PAYMENT_METHODS)} AS payment_method,
+           {_whole(_draw("id", "address", 1, 3), 1, 999)} || ' ' || {_pick(_draw("id", "address", 0, 3), fixed.STREETS)} || ', ' ||
+               {_place("id", "address", 0)} || ', ' || {_place("id", "address", 1)} AS shipping_address,
+           total / 100e0 AS order_total, shipping / 100e0 AS shipping_cost,
+           tax / 100e0 AS tax_amount, discount / 100e0 AS discount_amount,
+           (total + shipping + tax - discount) / 100e0 AS final_amount
     FROM priced
 """
 
 GEN_BENCHMARK_ROWS = f"""
     SELECT id, 'Product_' || id AS name, 'user' || id || '@example.com' AS email,
-           CAST({_between(_draw("id", "amount"), "1e0", "1000e0")} AS DOUBLE) AS amount,
+           {_between(_draw("id", "row", 0, 2), "1e0", "1000e0")} AS amount,
            TIMESTAMP '2020-01-01 00:00:00' + to_hours(CAST((id - 1) % 2000000 AS INTEGER)) AS date,
-           {_pick(_draw("id", "category"), fixed.BENCHMARK_CATEGORIES)} AS category
+           {_pick(_draw("id", "row", 1, 2), fixed.BENCHMARK_CATEGORIES)} AS category
     FROM (SELECT o_orderkey + 1 AS id FROM orders)
 """
 

@@ -2,7 +2,7 @@
 
 Every value is drawn from the row's own key, so tables are built in parallel
 without a counter or a seed per task, and a lost executor's rows come back the
-same. Money is computed as decimals and stored as doubles with two places.
+same. Money is computed in hundredths and stored as doubles with two places.
 """
 
 from __future__ import annotations
@@ -10,13 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec, functions as F
 
 from tillframe import constants as fixed
 from tillframe.functions.draws import (
-    between, draw_bits, lomax, normal, pick, position, uniform, whole,
+    bits, fraction, hundredths, lomax, normal, pick, uniform, whole,
 )
-from tillframe.functions.numbers import clamp, exact_literal
+from tillframe.functions.numbers import amount, clamp
 from tillframe.operators.checks import require_columns, table_row_counts
 
 ROWS_PER_TASK = 1_000_000
@@ -30,6 +30,15 @@ def entity_ids(spark: SparkSession, n: int, name: str) -> DataFrame:
     return spark.range(1, n + 1, 1, tasks).toDF(name)
 
 
+def spread(ids: DataFrame) -> DataFrame:
+    """The same keys over all cores, if a scan of few files left them on fewer.
+
+    Drawing a row costs far more than moving its key.
+    """
+    cores = ids.sparkSession.sparkContext.defaultParallelism
+    return ids if ids.rdd.getNumPartitions() >= cores else ids.repartition(cores)
+
+
 def _day(as_of: date | str | None) -> Column:
     return F.current_date() if as_of is None else F.to_date(F.lit(str(as_of)))
 
@@ -43,21 +52,28 @@ def _seconds_before(as_of: date | str | None, draw: Column, seconds: int) -> Col
     return F.timestamp_add("SECOND", -whole(draw, 0, seconds), midnight)
 
 
-def _words(key: Column, seed: int, name: str, *pools: tuple) -> Column:
-    """One word of each pool (at most two pools), separated by a space."""
-    return F.concat_ws(" ", *[pick(uniform(key, seed, name, lane), pool) for lane, pool in enumerate(pools)])
-
-
-def _place(key: Column, seed: int, part: int) -> Column:
-    return pick(uniform(key, seed, "place"), [place[part] for place in fixed.PLACES])
+def _place(draw: Column, part: int) -> Column:
+    return pick(draw, [place[part] for place in fixed.PLACES])
 
 
 def _email(key: Column) -> Column:
     return F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com"))
 
 
-def _by_category(draw: Column, ranges: Mapping[str, tuple], end: int) -> Column:
-    return F.element_at(F.lit([float(r[end]) for r in ranges.values()]), position(draw, len(ranges)))
+def _product_label(key: Column, seed: int, categories: Mapping[str, tuple]) -> tuple[Column, Column, Column]:
+    """(category draw, category, product name)."""
+    kind = uniform(key, seed, "label", 0, 3)
+    category = pick(kind, list(categories))
+    name = F.concat_ws(
+        " ", category,
+        pick(uniform(key, seed, "label", 1, 3), fixed.PHRASE_STARTS),
+        pick(uniform(key, seed, "label", 2, 3), fixed.PHRASE_ENDS),
+    )
+    return kind, category, name
+
+
+def _bound(kind: Column, ranges: Mapping[str, tuple], end: int) -> Column:
+    return pick(kind, [float(r[end]) for r in ranges.values()])
 
 
 # Shop tables -----------------------------------------------------------------
@@ -67,15 +83,16 @@ def shop_customers(ids: DataFrame, seed: int = 42, as_of: date | str | None = No
     """Customers with ages around a normal distribution; `ids` has a customer_id column."""
     require_columns(ids, ["customer_id"], "ids")
     key, age = F.col("customer_id"), fixed.SHOP_AGE
+    first, last, place = (uniform(key, seed, "person", lane, 3) for lane in range(3))
     drawn = F.lit(float(age["mean"])) + F.lit(float(age["deviation"])) * normal(key, seed, "age")
     return ids.select(
         "customer_id",
-        _words(key, seed, "name", fixed.FIRST_NAMES, fixed.LAST_NAMES).alias("name"),
+        F.concat_ws(" ", pick(first, fixed.FIRST_NAMES), pick(last, fixed.LAST_NAMES)).alias("name"),
         _email(key).alias("email"),
         clamp(F.floor(drawn.cast("decimal(28,8)")), F.lit(age["low"]), F.lit(age["high"]))
         .cast("int").alias("age"),
-        _place(key, seed, 0).alias("city"),
-        _place(key, seed, 2).alias("country"),
+        _place(place, 0).alias("city"),
+        _place(place, 2).alias("country"),
         _days_before(as_of, uniform(key, seed, "registered"), fixed.REGISTRATION_DAYS)
         .alias("registration_date"),
     )
@@ -85,18 +102,15 @@ def shop_products(ids: DataFrame, seed: int = 42) -> DataFrame:
     """Products priced within the range of their category; `ids` has a product_id column."""
     require_columns(ids, ["product_id"], "ids")
     key, ranges, rating = F.col("product_id"), fixed.SHOP_PRICE_RANGES, fixed.SHOP_RATING
-    kind = uniform(key, seed, "category")
+    kind, category, name = _product_label(key, seed, ranges)
+    price, stock = (uniform(key, seed, "numbers", lane, 2) for lane in range(2))
     drawn = F.lit(rating["mean"]) + F.lit(rating["deviation"]) * normal(key, seed, "rating")
     return ids.select(
         "product_id",
-        F.concat_ws(
-            " ", pick(kind, list(ranges)),
-            _words(key, seed, "phrase", fixed.PHRASE_STARTS, fixed.PHRASE_ENDS),
-        ).alias("name"),
-        pick(kind, list(ranges)).alias("category"),
-        between(uniform(key, seed, "price"), _by_category(kind, ranges, 0), _by_category(kind, ranges, 1))
-        .cast("double").alias("price"),
-        whole(uniform(key, seed, "stock"), *fixed.STOCK_RANGE).cast("int").alias("stock"),
+        name.alias("name"),
+        category.alias("category"),
+        amount(hundredths(price, _bound(kind, ranges, 0), _bound(kind, ranges, 1))).alias("price"),
+        whole(stock, *fixed.STOCK_RANGE).cast("int").alias("stock"),
         clamp(F.round(drawn.cast("decimal(28,8)"), 1), F.lit(rating["low"]), F.lit(rating["high"]))
         .cast("double").alias("rating"),
     )
@@ -106,31 +120,25 @@ def pareto_counts(ids: DataFrame, key: str, total: int, shape: float = fixed.PAR
                   seed: int = 42, out: str = "order_count") -> DataFrame:
     """Split `total` over the keys by a Pareto distribution, so that the parts add up exactly.
 
-    What rounding leaves over goes to the largest part (the smallest key among
-    equals). Sums are one-row scalar subqueries; no row is shuffled.
+    What rounding leaves over goes to the key with the largest weight, the smallest
+    key among equals. Both sums are one-row scalar subqueries; no row is shuffled.
     """
     require_columns(ids, [key], "ids")
     weights = ids.select(key, lomax(F.col(key), seed, "pareto", shape).alias("weight"))
-    weight_sum = weights.agg(F.sum("weight").cast("double")).scalar()
+    overall = weights.agg(F.struct(
+        F.sum("weight").cast("double").alias("weight"),
+        F.max(F.struct(F.col("weight"), (-F.col(key)).alias("minus_key"))).alias("top"),
+    )).scalar()
     parts = weights.select(
         key,
-        F.bround(F.col("weight").cast("double") / weight_sum * F.lit(float(total)), 0)
+        F.bround(F.col("weight").cast("double") / overall["weight"] * F.lit(float(total)), 0)
         .cast("bigint").alias("part"),
     )
-    largest = parts.agg(F.struct(
-        F.max(F.struct(F.col("part"), (-F.col(key)).alias("minus_key"))).alias("top"),
-        F.sum("part").alias("part_sum"),
-    )).scalar()
-    leftover = F.lit(total).cast("bigint") - largest["part_sum"]
-    adjusted = F.col("part") + F.when(
-        F.col(key) == -largest["top"]["minus_key"], leftover
-    ).otherwise(F.lit(0))
-    return parts.select(
-        key,
-        F.when(adjusted >= 0, adjusted)
-        .otherwise(F.raise_error(F.lit("too few rows to spread: the largest part would be negative")))
-        .alias(out),
-    )
+    leftover = F.lit(total).cast("bigint") - parts.agg(F.sum("part")).scalar()
+    is_top = F.col(key) == -overall["top"]["minus_key"]
+    adjusted = parts.select(key, (F.col("part") + F.when(is_top, leftover).otherwise(F.lit(0))).alias(out))
+    message = F.lit(f"{total} is too few to spread: the largest part would be negative")
+    return adjusted.select(key, F.when(F.col(out) < 0, F.raise_error(message)).otherwise(F.col(out)).alias(out))
 
 
 def running_offsets(df: DataFrame, key: str, value: str, out: str = "offset") -> DataFrame:
@@ -141,8 +149,9 @@ def running_offsets(df: DataFrame, key: str, value: str, out: str = "offset") ->
     2^32 keys.
     """
 
-    def before(window) -> Column:
-        return F.sum(value).over(window) - F.col(value)
+    def before(window: WindowSpec) -> Column:
+        up_to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return F.sum(value).over(up_to_here) - F.col(value)
 
     spans = (
         df.groupBy(F.shiftright(key, SPAN_BITS).alias("span"))
@@ -176,15 +185,14 @@ def shop_orders(customers: DataFrame, products: int, orders: int, seed: int = 42
     require_columns(customers, ["customer_id"], "customers")
     if products < 1:
         raise ValueError("products must exist before orders")
-    counts = pareto_counts(customers, "customer_id", orders, seed=seed).filter("order_count > 0")
+    counts = pareto_counts(customers, "customer_id", orders, seed=seed)
     tasks = max(customers.sparkSession.sparkContext.defaultParallelism, -(-orders // ROWS_PER_TASK))
     size = F.lit(ORDERS_PER_BLOCK).cast("bigint")
+    last_block = F.floor((F.col("order_count") - 1) / size)
+    block_numbers = F.when(F.col("order_count") > 0, F.sequence(F.lit(0).cast("bigint"), last_block))
     blocks = (
         running_offsets(counts, "customer_id", "order_count")
-        .withColumn(
-            "block",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("order_count") - 1) / size))),
-        )
+        .withColumn("block", F.explode(block_numbers))
         .repartition(tasks, "customer_id", "block")
     )
     numbered = blocks.select(
@@ -198,16 +206,16 @@ def shop_orders(customers: DataFrame, products: int, orders: int, seed: int = 42
     return numbered.select(
         "order_id",
         "customer_id",
-        whole(uniform(key, seed, "product", 0), 1, products).alias("product_id"),
-        whole(uniform(key, seed, "product", 1), *fixed.SHOP_QUANTITY_RANGE).cast("int").alias("quantity"),
-        _seconds_before(as_of, uniform(key, seed, "ordered"), fixed.ORDER_SECONDS).alias("order_date"),
+        whole(uniform(key, seed, "product"), 1, products).alias("product_id"),
+        whole(uniform(key, seed, "order", 0, 2), *fixed.SHOP_QUANTITY_RANGE).cast("int").alias("quantity"),
+        _seconds_before(as_of, uniform(key, seed, "order", 1, 2), fixed.ORDER_SECONDS).alias("order_date"),
     )
 
 
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42, out: str = "shuffle_key") -> DataFrame:
     """All rows in a random but repeatable order; the sort key stays as a column."""
     require_columns(df, [key])
-    return df.withColumn(out, draw_bits(F.col(key), seed, "shuffle")).orderBy(out, key)
+    return df.withColumn(out, bits(F.col(key), seed, "shuffle")).orderBy(out, key)
 
 
 def shop_tables(spark: SparkSession, customers: int = fixed.SHOP_SIZES["customers"],
@@ -226,92 +234,95 @@ def shop_tables(spark: SparkSession, customers: int = fixed.SHOP_SIZES["customer
 # Store tables ----------------------------------------------------------------
 
 
-def _is_active(key: Column, seed: int, name: str) -> Column:
-    return uniform(key, seed, name) < F.lit(fixed.ACTIVE_SHARE)
-
-
 def store_customers(ids: DataFrame, seed: int = 42, as_of: date | str | None = None) -> DataFrame:
+    """Customers with an age group and an age inside it; `ids` has a customer_id column."""
     require_columns(ids, ["customer_id"], "ids")
     key, groups = F.col("customer_id"), fixed.AGE_GROUPS
-    group, within = uniform(key, seed, "age", 0), uniform(key, seed, "age", 1)
-    low = F.element_at(F.lit([low for low, _ in groups.values()]), position(group, len(groups)))
-    width = F.element_at(
-        F.lit([float(high - low + 1) for low, high in groups.values()]), position(group, len(groups))
-    )
-    digits = F.lpad(whole(uniform(key, seed, "phone"), 0, 9_999_999).cast("string"), 7, "0")
+    first, last, place = (uniform(key, seed, "person", lane, 3) for lane in range(3))
+    gender, active, registered = (uniform(key, seed, "profile", lane, 3) for lane in range(3))
+    phone, login = (uniform(key, seed, "contact", lane, 2) for lane in range(2))
+    group, within = (uniform(key, seed, "age", lane, 2) for lane in range(2))
+    youngest = pick(group, [low for low, _ in groups.values()])
+    width = pick(group, [float(high - low + 1) for low, high in groups.values()])
     return ids.select(
         "customer_id",
-        pick(uniform(key, seed, "name", 0), fixed.FIRST_NAMES).alias("first_name"),
-        pick(uniform(key, seed, "name", 1), fixed.LAST_NAMES).alias("last_name"),
+        pick(first, fixed.FIRST_NAMES).alias("first_name"),
+        pick(last, fixed.LAST_NAMES).alias("last_name"),
         _email(key).alias("email"),
-        F.concat(F.lit("555-"), digits).alias("phone"),
-        (low + F.floor(within * width)).cast("int").alias("age"),
+        F.concat(F.lit("555-"), F.lpad(whole(phone, 0, 9_999_999).cast("string"), 7, "0")).alias("phone"),
+        (youngest + F.floor(within * width)).cast("int").alias("age"),
         pick(group, list(groups)).alias("age_group"),
-        pick(uniform(key, seed, "gender"), fixed.GENDERS).alias("gender"),
-        _place(key, seed, 0).alias("city"),
-        _place(key, seed, 1).alias("state"),
-        _place(key, seed, 2).alias("country"),
-        _days_before(as_of, uniform(key, seed, "registered"), fixed.REGISTRATION_DAYS)
-        .alias("registration_date"),
-        _seconds_before(as_of, uniform(key, seed, "login"), fixed.LOGIN_SECONDS).alias("last_login"),
-        _is_active(key, seed, "customer-active").alias("is_active"),
+        pick(gender, fixed.GENDERS).alias("gender"),
+        _place(place, 0).alias("city"),
+        _place(place, 1).alias("state"),
+        _place(place, 2).alias("country"),
+        _days_before(as_of, registered, fixed.REGISTRATION_DAYS).alias("registration_date"),
+        _seconds_before(as_of, login, fixed.LOGIN_SECONDS).alias("last_login"),
+        (active < fixed.ACTIVE_SHARE).alias("is_active"),
     )
 
 
 def store_products(ids: DataFrame, seed: int = 42, as_of: date | str | None = None) -> DataFrame:
+    """A catalogue with prices and costs by category; `ids` has a product_id column."""
     require_columns(ids, ["product_id"], "ids")
     key, ranges = F.col("product_id"), fixed.STORE_PRICE_RANGES
-    kind = uniform(key, seed, "category")
-    low, high = _by_category(kind, ranges, 0), _by_category(kind, ranges, 1)
+    kind, category, name = _product_label(key, seed, ranges)
+    price, cost = (uniform(key, seed, "price", lane, 2) for lane in range(2))
+    stock, weight = (uniform(key, seed, "numbers", lane, 2) for lane in range(2))
+    description, brand, active, created = (uniform(key, seed, "details", lane, 4) for lane in range(4))
+    low, high = _bound(kind, ranges, 0), _bound(kind, ranges, 1)
+    least, most = low * F.lit(fixed.COST_FACTORS[0]), high * F.lit(fixed.COST_FACTORS[1])
+    sku_digits = F.greatest(F.length(key.cast("string")), F.lit(6))
     return ids.select(
         "product_id",
-        F.concat_ws(
-            " ", pick(kind, list(ranges)),
-            _words(key, seed, "phrase", fixed.PHRASE_STARTS, fixed.PHRASE_ENDS),
-        ).alias("product_name"),
-        pick(kind, list(ranges)).alias("category"),
-        pick(uniform(key, seed, "description"), fixed.DESCRIPTIONS).alias("description"),
-        between(uniform(key, seed, "price", 0), low, high).cast("double").alias("price"),
-        between(
-            uniform(key, seed, "price", 1),
-            low * F.lit(fixed.COST_FACTORS[0]), high * F.lit(fixed.COST_FACTORS[1]),
-        ).cast("double").alias("cost"),
-        whole(uniform(key, seed, "stock"), *fixed.STOCK_RANGE).cast("int").alias("stock_quantity"),
-        between(uniform(key, seed, "weight"), *fixed.WEIGHT_RANGE).cast("double").alias("weight"),
-        pick(uniform(key, seed, "brand"), fixed.BRANDS).alias("brand"),
-        F.format_string("SKU-%06d", key).alias("sku"),
-        _days_before(as_of, uniform(key, seed, "created"), fixed.CREATED_DAYS).alias("created_date"),
-        _is_active(key, seed, "product-active").alias("is_active"),
+        name.alias("product_name"),
+        category.alias("category"),
+        pick(description, fixed.DESCRIPTIONS).alias("description"),
+        amount(hundredths(price, low, high)).alias("price"),
+        amount(hundredths(cost, least, most)).alias("cost"),
+        whole(stock, *fixed.STOCK_RANGE).cast("int").alias("stock_quantity"),
+        amount(hundredths(weight, *fixed.WEIGHT_RANGE)).alias("weight"),
+        pick(brand, fixed.BRANDS).alias("brand"),
+        F.concat(F.lit("SKU-"), F.lpad(key.cast("string"), sku_digits, F.lit("0"))).alias("sku"),
+        _days_before(as_of, created, fixed.CREATED_DAYS).alias("created_date"),
+        (active < fixed.ACTIVE_SHARE).alias("is_active"),
     )
 
 
 def _item_count(order: Column, seed: int) -> Column:
-    return whole(uniform(order, seed, "items"), *fixed.ITEMS_PER_ORDER)
+    return whole(uniform(order, seed, "header", 0, 3), *fixed.ITEMS_PER_ORDER)
 
 
-def _item(order: Column, nth: Column, seed: int) -> tuple[Column, Column, Column]:
-    """(key, quantity, unit price) of an order's nth item; the key is unique and ascending."""
-    key = (order - 1) * fixed.ITEMS_PER_ORDER[1] + nth
-    return (
-        key,
-        whole(uniform(key, seed, "item", 0), *fixed.STORE_QUANTITY_RANGE),
-        between(uniform(key, seed, "item", 1), *fixed.UNIT_PRICE_RANGE),
-    )
+def _item_key(order: Column, nth: Column | int) -> Column:
+    """Unique and ascending with the order; there are gaps where an order has fewer items."""
+    return (order - 1) * fixed.ITEMS_PER_ORDER[1] + nth
+
+
+def _item_quantity(item_bits: Column) -> Column:
+    return whole(fraction(item_bits, 0, 2), *fixed.STORE_QUANTITY_RANGE)
+
+
+def _item_price(item_bits: Column) -> Column:
+    return hundredths(fraction(item_bits, 1, 2), *fixed.UNIT_PRICE_RANGE)
 
 
 def store_order_items(ids: DataFrame, products: int, seed: int = 42) -> DataFrame:
     """One to five items per order; `ids` has an order_id column."""
     require_columns(ids, ["order_id"], "ids")
-    order = F.col("order_id")
-    items = ids.select("order_id", F.explode(F.sequence(F.lit(1).cast("bigint"), _item_count(order, seed))).alias("nth"))
-    key, quantity, price = _item(order, F.col("nth"), seed)
+    numbers = F.sequence(F.lit(1).cast("bigint"), _item_count(F.col("order_id"), seed))
+    key, item_bits = F.col("order_item_id"), F.col("item_bits")
+    items = (
+        ids.select("order_id", F.explode(numbers).alias("nth"))
+        .select(_item_key(F.col("order_id"), F.col("nth")).alias("order_item_id"), "order_id")
+        .withColumn("item_bits", bits(key, seed, "item"))
+    )
     return items.select(
-        key.alias("order_item_id"),
+        "order_item_id",
         "order_id",
         whole(uniform(key, seed, "item-product"), 1, products).alias("product_id"),
-        quantity.cast("int").alias("quantity"),
-        price.cast("double").alias("unit_price"),
-        (price * quantity).cast("double").alias("total_price"),
+        _item_quantity(item_bits).cast("int").alias("quantity"),
+        amount(_item_price(item_bits)).alias("unit_price"),
+        amount(_item_price(item_bits) * _item_quantity(item_bits)).alias("total_price"),
     )
 
 
@@ -323,43 +334,45 @@ def store_orders(ids: DataFrame, customers: int, seed: int = 42,
     no shuffle of the items is needed.
     """
     require_columns(ids, ["order_id"], "ids")
-    order = F.col("order_id")
+    order, numbers = F.col("order_id"), range(fixed.ITEMS_PER_ORDER[0], fixed.ITEMS_PER_ORDER[1] + 1)
+    drawn = ids.select(
+        "order_id",
+        _item_count(order, seed).alias("items"),
+        *[bits(_item_key(order, nth), seed, "item").alias(f"item_{nth}") for nth in numbers],
+    )
 
     def item_total(nth: int) -> Column:
-        _, quantity, price = _item(order, F.lit(nth), seed)
-        return F.when(_item_count(order, seed) >= nth, price * quantity).otherwise(F.lit(0))
+        item = F.col(f"item_{nth}")
+        return F.when(F.col("items") >= nth, _item_price(item) * _item_quantity(item)).otherwise(F.lit(0))
 
-    first, last = fixed.ITEMS_PER_ORDER
-    total = sum((item_total(nth) for nth in range(first + 1, last + 1)), item_total(first))
-    priced = ids.select(
-        "order_id",
-        total.cast("decimal(12,2)").alias("total"),
-        between(uniform(order, seed, "costs", 0), *fixed.SHIPPING_RANGE).alias("shipping"),
-        uniform(order, seed, "costs", 1).cast("decimal(10,8)").alias("discount_draw"),
+    shipping, discounted = (uniform(order, seed, "costs", lane, 2) for lane in range(2))
+    total = F.col("total")
+    priced = drawn.select(
+        "order_id", sum((item_total(nth) for nth in numbers), F.lit(0)).alias("total")
     ).select(
-        "*",
-        F.round(F.col("total") * exact_literal(fixed.TAX_RATE), 2).alias("tax"),
-        F.round(F.col("total") * exact_literal(fixed.DISCOUNT_MAX) * F.col("discount_draw"), 2)
-        .alias("discount"),
+        "order_id",
+        "total",
+        hundredths(shipping, *fixed.SHIPPING_RANGE).alias("shipping"),
+        F.rint(total * fixed.TAX_PERCENT / 100).cast("bigint").alias("tax"),
+        F.rint(total * discounted * fixed.DISCOUNT_PERCENT / 100).cast("bigint").alias("discount"),
     )
-    number = whole(uniform(order, seed, "street", 1), 1, 999).cast("string")
+    street, number, place = (uniform(order, seed, "address", lane, 3) for lane in range(3))
     address = F.concat(
-        number, F.lit(" "), pick(uniform(order, seed, "street", 0), fixed.STREETS), F.lit(", "),
-        _place(order, seed, 0), F.lit(", "), _place(order, seed, 1),
+        whole(number, 1, 999).cast("string"), F.lit(" "), pick(street, fixed.STREETS), F.lit(", "),
+        _place(place, 0), F.lit(", "), _place(place, 1),
     )
-    final = F.col("total") + F.col("shipping") + F.col("tax") - F.col("discount")
     return priced.select(
         "order_id",
         whole(uniform(order, seed, "customer"), 1, customers).alias("customer_id"),
         _seconds_before(as_of, uniform(order, seed, "ordered"), fixed.ORDER_SECONDS).alias("order_date"),
-        pick(uniform(order, seed, "status", 0), fixed.ORDER_STATUSES).alias("order_status"),
-        pick(uniform(order, seed, "status", 1), fixed.PAYMENT_METHODS).alias("payment_method"),
+        pick(uniform(order, seed, "header", 1, 3), fixed.ORDER_STATUSES).alias("order_status"),
+        pick(uniform(order, seed, "header", 2, 3), fixed.PAYMENT_METHODS).alias("payment_method"),
         address.alias("shipping_address"),
-        F.col("total").cast("double").alias("order_total"),
-        F.col("shipping").cast("double").alias("shipping_cost"),
-        F.col("tax").cast("double").alias("tax_amount"),
-        F.col("discount").cast("double").alias("discount_amount"),
-        final.cast("double").alias("final_amount"),
+        amount(total).alias("order_total"),
+        amount(F.col("shipping")).alias("shipping_cost"),
+        amount(F.col("tax")).alias("tax_amount"),
+        amount(F.col("discount")).alias("discount_amount"),
+        amount(total + F.col("shipping") + F.col("tax") - F.col("discount")).alias("final_amount"),
     )
 
 
@@ -392,9 +405,9 @@ def benchmark_rows(ids: DataFrame, seed: int = 42) -> DataFrame:
         "id",
         F.concat(F.lit("Product_"), key.cast("string")).alias("name"),
         _email(key).alias("email"),
-        between(uniform(key, seed, "amount"), *fixed.BENCHMARK_AMOUNT_RANGE).cast("double").alias("amount"),
+        amount(hundredths(uniform(key, seed, "row", 0, 2), *fixed.BENCHMARK_AMOUNT_RANGE)).alias("amount"),
         F.timestamp_add("HOUR", F.pmod(key - 1, F.lit(fixed.BENCHMARK_HOURS)), start).alias("date"),
-        pick(uniform(key, seed, "category"), fixed.BENCHMARK_CATEGORIES).alias("category"),
+        pick(uniform(key, seed, "row", 1, 2), fixed.BENCHMARK_CATEGORIES).alias("category"),
     )
 
 
