@@ -10,23 +10,18 @@ from tillframe.constants import BYTE_UNITS
 def readable_bytes(size: Column) -> Column:
     """`1536` -> `1.50 KB`; zero is `0 B`; the largest unit is TB.
 
-    Works on whole hundredths, with ties to the even digit, so no floating-point
-    formatting decides the last place.
+    Hundredths are rounded as decimals, half to even, so no floating-point
+    formatting decides the last place. The fourteen places of the quotient keep
+    every size apart from a tie that is not one.
     """
-    size = size.cast("bigint")
-    powers = range(len(BYTE_UNITS))
-    unit = F.coalesce(*[F.when(size >= 1024**k, F.lit(k + 1)) for k in reversed(powers[1:])], F.lit(1))
-    divisor = F.element_at(F.lit([1024**k for k in powers]), unit)
-    rest = size % divisor * 100
-    count = (size - size % divisor) / divisor * 100 + (rest - rest % divisor) / divisor
-    count = count.cast("bigint")
-    beyond_half = rest % divisor * 2 + count % 2 > divisor
-    rounded = count + beyond_half.cast("bigint")
-    text = F.concat(
-        ((rounded - rounded % 100) / 100).cast("bigint").cast("string"),
-        F.lit("."),
-        F.lpad((rounded % 100).cast("string"), 2, "0"),
-        F.lit(" "),
-        F.element_at(F.lit(list(BYTE_UNITS)), unit),
+    powers = range(len(BYTE_UNITS) - 1, 0, -1)
+
+    def by_unit(values: list[Column]) -> Column:
+        return F.coalesce(*[F.when(size >= 1024**k, values[k]) for k in powers], values[0])
+
+    divisor = by_unit([F.lit(1024**k).cast("decimal(13,0)") for k in range(len(BYTE_UNITS))])
+    hundredths = F.bround(size.cast("decimal(20,0)") * F.lit(100).cast("decimal(3,0)") / divisor, 0)
+    number = (hundredths / F.lit(100).cast("decimal(3,0)")).cast("decimal(20,2)").cast("string")
+    return F.when(size == 0, F.lit("0 B")).otherwise(
+        F.concat(number, F.lit(" "), by_unit([F.lit(unit) for unit in BYTE_UNITS]))
     )
-    return F.when(size == 0, F.lit("0 B")).when(size.isNotNull(), text)

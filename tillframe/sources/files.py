@@ -61,7 +61,7 @@ def _options(fmt: str) -> dict[str, str]:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType | None = None) -> DataFrame:
+               schema: StructType | str | None = None) -> DataFrame:
     """Read a table; CSV without a schema is inferred, which costs one more pass."""
     reader = spark.read.format(fmt).options(**_options(fmt))
     if schema is not None:
@@ -78,7 +78,7 @@ def load_parquet(spark: SparkSession, path: str, cache: bool = False) -> DataFra
     return df.cache() if cache else df
 
 
-def load_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
     """Read a CSV table, or None if it does not exist."""
     return read_table(spark, path, "csv", schema) if path_exists(spark, path) else None
 
