@@ -49,6 +49,19 @@ def customer_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     return lines.groupBy("customer_id").agg(revenue.cast("double").alias("revenue"))
 
 
+def customer_revenue_sql(orders: DataFrame, products: DataFrame) -> DataFrame:
+    """The same as `customer_revenue`, written in SQL over decimals, as a second opinion."""
+    return orders.sparkSession.sql(
+        """
+        SELECT customer_id,
+               CAST(SUM(CAST(quantity AS DECIMAL(12, 2)) * CAST(price AS DECIMAL(12, 2))) AS DOUBLE) AS revenue
+        FROM {orders} JOIN {products} USING (product_id)
+        GROUP BY customer_id
+        """,
+        orders=orders, products=products,
+    )
+
+
 def customer_revenue_top(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     """The n customers with most revenue, listed by customer id."""
     top = customer_revenue(orders, products).orderBy(F.desc("revenue"), "customer_id").limit(n)

@@ -126,16 +126,9 @@ def best_by_metric(spark: SparkSession, sf: str) -> DataFrame:
 def result_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     """Customer revenue by DataFrame functions against the same by a SQL text."""
     lines, products = tables.order_lines(spark, sf), tables.products(spark, sf)
-    by_sql = spark.sql(
-        """
-        SELECT customer_id,
-               CAST(SUM(CAST(quantity AS DECIMAL(12, 2)) * CAST(price AS DECIMAL(12, 2))) AS DOUBLE) AS revenue
-        FROM {lines} JOIN {products} USING (product_id)
-        GROUP BY customer_id
-        """,
-        lines=lines, products=products,
+    return checks.reconcile(
+        revenue.customer_revenue(lines, products), revenue.customer_revenue_sql(lines, products)
     )
-    return checks.reconcile(revenue.customer_revenue(lines, products), by_sql)
 
 
 def _generated_shop(spark: SparkSession, sf: str) -> dict[str, DataFrame]:

@@ -14,7 +14,7 @@ from tillframe.operators import products as by_product
 from tillframe.operators import revenue, segments, trends
 from tillframe.operators.checks import require_tables, union_all
 from tillframe.operators.rankings import share_of_total
-from tillframe.sources.files import load_csv, load_parquet
+from tillframe.sources.files import load_csv, load_parquet, table_path
 
 STORE_TABLES = ("customers", "products", "orders", "order_items")
 
@@ -35,9 +35,9 @@ def sales_report_from(spark: SparkSession, orders_path: str, products_path: str,
     )
 
 
-def load_store(spark: SparkSession, folder: str) -> dict[str, DataFrame | None]:
-    """The store tables of a folder of CSV files; a missing file gives None."""
-    return {name: load_csv(spark, f"{folder.rstrip('/')}/{name}.csv") for name in STORE_TABLES}
+def load_store(spark: SparkSession, base: str) -> dict[str, DataFrame | None]:
+    """The store tables among the raw CSV files; a missing file gives None."""
+    return {name: load_csv(spark, table_path(base, "raw", f"{name}.csv")) for name in STORE_TABLES}
 
 
 def full_report(tables: Mapping[str, DataFrame | None], n: int = TOP_ROWS,

@@ -103,12 +103,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     A machine-local folder is used only where that setting is absent and the
     session itself is local.
     """
-    base = spark.conf.get(CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tillframe-")
-        spark.conf.set(CHECKPOINT_DIR, base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/tillframe/{label}-{uuid.uuid4().hex}"
 
 
