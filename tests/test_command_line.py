@@ -29,7 +29,7 @@ def test_shop_commands(call, tmp_path):
 def test_store_commands(call, tmp_path):
     call("generate", "--kind", "store", "--customers", "30", "--products", "20", "--orders", "100")
     assert (tmp_path / "raw" / "order_items.csv").exists()
-    assert "Automotive" in call("report")
+    assert "segment" in call("report")
     assert len(list((tmp_path / "processed").glob("*.csv"))) == 6
 
 

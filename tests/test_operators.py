@@ -11,6 +11,18 @@ def test_top_customers(shop):
     assert rows(revenue.top_customers(*shop)) == got + [(3, 0.7, 1, 0.35)]  # a null order_id is not counted
 
 
+def test_headers_give_what_lines_give(spark, shop):
+    """Customer and date once per order, also where an order has many lines or several headers."""
+    orders, products = shop
+    items = orders.select("order_id", "product_id", "quantity").union(
+        spark.range(500).selectExpr("2", "id % 4", "cast(id % 7 as int)"))
+    headers = orders.select("order_id", "customer_id", "order_date").union(
+        spark.sql("SELECT 2L, 8L, TIMESTAMP_NTZ'2024-07-01 00:00:00'"))
+    lines = items.join(headers, "order_id")
+    for analysis in (revenue.top_customers, revenue.customer_revenue_top, trends.monthly_trends):
+        assert rows(analysis(items, products, headers=headers)) == rows(analysis(lines, products))
+
+
 def test_customer_revenue_is_listed_by_id(shop):
     assert rows(revenue.customer_revenue_top(*shop, n=2)) == [(1, 20.0), (2, 20.0)]
 

@@ -29,15 +29,27 @@ def units(df: DataFrame, name: str) -> Column:
     return (column.cast("decimal(20,2)") * UNITS).cast("bigint")
 
 
+def high_sum(value: Column) -> Column:
+    return F.sum(F.shiftright(value, LOW_BITS))
+
+
+def low_sum(value: Column) -> Column:
+    return F.sum(value.bitwiseAND(F.lit(2**LOW_BITS - 1)))
+
+
+def joined(high: Column, low: Column, places: int = PLACES) -> Column:
+    """The decimal that a high and a low sum stand for."""
+    high, low = high.cast("decimal(20,0)"), low.cast("decimal(20,0)")
+    return scaled(high * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low, places)
+
+
 def total(value: Column, places: int = PLACES) -> Column:
     """Exact sum of a whole-number column that counts 10**-places, as a decimal.
 
     High and low bits are summed apart as 64-bit numbers, so that neither sum can
     overflow below eight trillion rows per group.
     """
-    high = F.sum(F.shiftright(value, LOW_BITS)).cast("decimal(20,0)")
-    low = F.sum(value.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(20,0)")
-    return scaled(high * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low, places)
+    return joined(high_sum(value), low_sum(value), places)
 
 
 def scaled(value: Column, places: int = PLACES) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillframe.constants import TOP_ROWS
 from tillframe.functions.numbers import (
-    PLACES, amount, cents, mean, quantity, scaled, total, units,
+    LOW_BITS, PLACES, amount, cents, high_sum, joined, low_sum, mean, quantity, scaled, units,
 )
 from tillframe.operators.checks import require_columns
 
@@ -42,11 +42,47 @@ def line_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def customer_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
+def revenue_sums(orders: DataFrame, products: DataFrame, key: str,
+                 headers: DataFrame | None = None) -> DataFrame:
+    """Partial sums to be grouped further by `key`: `high`, `low`, `priced` and `lines`.
+
+    Without headers, `orders` carries the key and the sums are still single lines.
+    With headers, the key stands once per order in `headers`, and lines are summed
+    per order before they meet them: an order with very many lines reaches the join
+    as one row, and the join reuses the partitioning of that sum.
+    """
+    revenue = F.col("revenue_units")
+    if headers is None:
+        return priced_lines(orders, products, key, "order_id").select(
+            key,
+            F.shiftright(revenue, LOW_BITS).alias("high"),
+            revenue.bitwiseAND(F.lit(2**LOW_BITS - 1)).alias("low"),
+            revenue.isNotNull().cast("bigint").alias("priced"),
+            F.col("order_id").isNotNull().cast("bigint").alias("lines"),
+        )
+    require_columns(headers, ["order_id", key], "headers")
+    per_order = (
+        priced_lines(orders, products, "order_id")
+        .groupBy("order_id")
+        .agg(
+            high_sum(revenue).alias("high"),
+            low_sum(revenue).alias("low"),
+            F.count(revenue).alias("priced"),
+            F.count("order_id").alias("lines"),
+        )
+    )
+    return per_order.join(headers.select("order_id", key), "order_id").drop("order_id")
+
+
+def summed_revenue() -> Column:
+    """The exact revenue of a group of `revenue_sums`."""
+    return joined(F.sum("high"), F.sum("low"), REVENUE_PLACES)
+
+
+def customer_revenue(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """(customer_id, revenue) of every customer who bought something."""
-    revenue = total(F.col("revenue_units"), REVENUE_PLACES)
-    lines = priced_lines(orders, products, "customer_id")
-    return lines.groupBy("customer_id").agg(revenue.cast("double").alias("revenue"))
+    sums = revenue_sums(orders, products, "customer_id", headers)
+    return sums.groupBy("customer_id").agg(summed_revenue().cast("double").alias("revenue"))
 
 
 def customer_revenue_sql(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -62,22 +98,20 @@ def customer_revenue_sql(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def customer_revenue_top(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS) -> DataFrame:
+def customer_revenue_top(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
+                         headers: DataFrame | None = None) -> DataFrame:
     """The n customers with most revenue, listed by customer id."""
-    top = customer_revenue(orders, products).orderBy(F.desc("revenue"), "customer_id").limit(n)
+    top = customer_revenue(orders, products, headers).orderBy(F.desc("revenue"), "customer_id").limit(n)
     return top.orderBy("customer_id")
 
 
-def top_customers(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS) -> DataFrame:
+def top_customers(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
+                  headers: DataFrame | None = None) -> DataFrame:
     """The n customers with most revenue; `order_count` counts order lines."""
-    per_customer = (
-        priced_lines(orders, products, "customer_id", "order_id")
-        .groupBy("customer_id")
-        .agg(
-            total(F.col("revenue_units"), REVENUE_PLACES).alias("revenue"),
-            F.count("revenue_units").alias("priced"),
-            F.count("order_id").alias("order_count"),
-        )
+    per_customer = revenue_sums(orders, products, "customer_id", headers).groupBy("customer_id").agg(
+        summed_revenue().alias("revenue"),
+        F.sum("priced").alias("priced"),
+        F.sum("lines").alias("order_count"),
     )
     return (
         per_customer.select(

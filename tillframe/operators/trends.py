@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillframe.functions.numbers import cents, mean, percent_growth, total, units
 from tillframe.operators.checks import require_columns
-from tillframe.operators.revenue import REVENUE_PLACES, priced_lines
+from tillframe.operators.revenue import revenue_sums, summed_revenue
 
 
 def _year(date: str) -> Column:
@@ -17,15 +17,15 @@ def _month(date: str) -> Column:
     return F.month(date).cast("bigint").alias("month")
 
 
-def monthly_trends(orders: DataFrame, products: DataFrame) -> DataFrame:
+def monthly_trends(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Revenue per month, with growth and change against the previous month on record.
 
     The first month has no growth and a change of zero. The window spans one row
     per calendar month, so its size is bounded by the calendar, not by the data.
     """
-    lines = priced_lines(orders, products, "order_date")
-    months = lines.groupBy(_year("order_date"), _month("order_date")).agg(
-        total(F.col("revenue_units"), REVENUE_PLACES).alias("revenue")
+    sums = revenue_sums(orders, products, "order_date", headers)
+    months = sums.groupBy(_year("order_date"), _month("order_date")).agg(
+        summed_revenue().alias("revenue")
     )
     previous = F.lag("revenue").over(Window.orderBy("year", "month"))
     revenue, before = F.col("revenue"), F.col("previous")

@@ -35,8 +35,10 @@ REPORT_KEYS = {
 }
 
 
-def _lines(analysis: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf: analysis(tables.order_lines(spark, sf), tables.products(spark, sf))
+def _with_headers(analysis: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf: analysis(
+        tables.order_items(spark, sf), tables.products(spark, sf), headers=tables.order_headers(spark, sf)
+    )
 
 
 def _items(analysis: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
@@ -102,6 +104,10 @@ def energy_estimate(spark: SparkSession, sf: str) -> DataFrame:
     return rankings.energy_estimate(usage, "cpu_time_s")
 
 
+def line_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    return revenue.line_revenue(tables.order_lines(spark, sf), tables.products(spark, sf))
+
+
 def share_of_total(spark: SparkSession, sf: str) -> DataFrame:
     sales = _items(revenue.sales_by_category)(spark, sf).select("category", "total_revenue")
     return rankings.share_of_total(sales, "total_revenue").withColumn("share_pct", cents(F.col("share_pct")))
@@ -125,10 +131,9 @@ def best_by_metric(spark: SparkSession, sf: str) -> DataFrame:
 
 def result_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     """Customer revenue by DataFrame functions against the same by a SQL text."""
-    lines, products = tables.order_lines(spark, sf), tables.products(spark, sf)
-    return checks.reconcile(
-        revenue.customer_revenue(lines, products), revenue.customer_revenue_sql(lines, products)
-    )
+    by_functions = _with_headers(revenue.customer_revenue)(spark, sf)
+    by_sql = revenue.customer_revenue_sql(tables.order_lines(spark, sf), tables.products(spark, sf))
+    return checks.reconcile(by_functions, by_sql)
 
 
 def _generated_shop(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -198,8 +203,7 @@ def gen_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sales_report(spark: SparkSession, sf: str) -> DataFrame:
-    results = reports.sales_report(tables.order_lines(spark, sf), tables.products(spark, sf))
-    return reports.long_form(results, REPORT_KEYS)
+    return reports.long_form(_with_headers(reports.sales_report)(spark, sf), REPORT_KEYS)
 
 
 def _store(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
@@ -221,12 +225,14 @@ def file_size_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def timed_report(spark: SparkSession, sf: str) -> DataFrame:
-    lines, products = tables.order_lines(spark, sf), tables.products(spark, sf)
-    return reports.timed_report(spark, {
-        "top_customers": lambda: revenue.top_customers(lines, products),
-        "category_sales": lambda: revenue.sales_by_category(lines, products),
-        "monthly_trends": lambda: trends.monthly_trends(lines, products),
-    })
+    analyses = {
+        "top_customers": _with_headers(revenue.top_customers),
+        "category_sales": _items(revenue.sales_by_category),
+        "monthly_trends": _with_headers(trends.monthly_trends),
+    }
+    return reports.timed_report(
+        spark, {name: lambda query=query: query(spark, sf) for name, query in analyses.items()}
+    )
 
 
 def storage_format_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -244,11 +250,11 @@ QUERIES: dict[str, Query] = {
     "parquet_roundtrip": _round_trip("parquet"),
     "orc_roundtrip": _round_trip("orc"),
     "file_size_report": file_size_report,
-    "line_revenue": _lines(revenue.line_revenue),
-    "top_customers_by_revenue": _lines(revenue.top_customers),
-    "customer_revenue_top10": _lines(revenue.customer_revenue_top),
+    "line_revenue": line_revenue,
+    "top_customers_by_revenue": _with_headers(revenue.top_customers),
+    "customer_revenue_top10": _with_headers(revenue.customer_revenue_top),
     "sales_by_category": _items(revenue.sales_by_category),
-    "monthly_trends": _lines(trends.monthly_trends),
+    "monthly_trends": _with_headers(trends.monthly_trends),
     "sales_overview": _headers(trends.sales_overview),
     "monthly_sales_trends": _headers(trends.monthly_sales),
     "hourly_sales_pattern": lambda spark, sf: trends.hourly_sales(tables.timed_orders(spark, sf)),

@@ -19,12 +19,16 @@ from tillframe.sources.files import load_csv, load_parquet, table_path
 STORE_TABLES = ("customers", "products", "orders", "order_items")
 
 
-def sales_report(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS) -> dict[str, DataFrame]:
-    """Top customers, categories and monthly trends of one-line orders."""
+def sales_report(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
+                 headers: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Top customers, categories and monthly trends of order lines.
+
+    Customer and date stand on every line, or once per order in `headers`.
+    """
     return {
-        "top_customers": revenue.top_customers(orders, products, n),
+        "top_customers": revenue.top_customers(orders, products, n, headers),
         "category_sales": revenue.sales_by_category(orders, products),
-        "monthly_trends": trends.monthly_trends(orders, products),
+        "monthly_trends": trends.monthly_trends(orders, products, headers),
     }
 
 
