@@ -116,6 +116,9 @@ def test_missing_columns_are_named(shop):
         revenue.sales_by_category(orders, products.drop("category"))
     with pytest.raises(ValueError, match="order_date"):
         trends.monthly_trends(orders.drop("order_date"), products)
+    with pytest.raises(ValueError, match="order_id"):
+        revenue.top_customers(orders.drop("order_id"), products)
+    assert revenue.customer_revenue(orders.drop("order_id"), products).count() == 3  # needs no order_id
 
 
 def test_audits_and_counts(shop):

@@ -160,6 +160,10 @@ def test_reports_over_generated_files(spark, tmp_path):
     saved = files.save_tables(shop, str(tmp_path), "raw")
     results = reports.sales_report_from(spark, saved["orders"], saved["products"], n=5)
     assert list(results) == ["top_customers", "category_sales", "monthly_trends"]
+    sharing = reports.sales_report_from(spark, saved["orders"], saved["products"], n=5, cache=True)
+    assert all(rows(sharing[name]) == rows(results[name]) for name in results)
+    assert "InMemoryTableScan" in sharing["monthly_trends"]._jdf.queryExecution().toString()
+    spark.catalog.clearCache()
     assert results["top_customers"].count() == 5
     by_category = results["category_sales"].agg(F.sum("total_revenue")).first()[0]
     by_month = results["monthly_trends"].agg(F.sum("monthly_revenue")).first()[0]

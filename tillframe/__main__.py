@@ -105,7 +105,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--top", type=int, default=fixed.TOP_ROWS)
     parser.add_argument("--seed", type=int, default=42)
     parser.add_argument("--as-of")
-    parser.add_argument("--cache", action="store_true", help="keep the loaded tables in memory")
+    parser.add_argument("--cache", action="store_true", help="let analyses share one pass over the orders")
     parser.add_argument("--save", action="store_true", help="save the analyses under `processed`")
     parser.add_argument("--master", help="for example local[8]; left to the launcher by default")
     return parser.parse_args(argv)

@@ -42,25 +42,26 @@ def line_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def revenue_sums(orders: DataFrame, products: DataFrame, key: str,
+def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
                  headers: DataFrame | None = None) -> DataFrame:
-    """Partial sums to be grouped further by `key`: `high`, `low`, `priced` and `lines`.
+    """Partial sums to be grouped further by the keys: `high`, `low`, `priced` and `lines`.
 
-    Without headers, `orders` carries the key and the sums are still single lines.
-    With headers, the key stands once per order in `headers`, and lines are summed
+    Without headers, `orders` carries the keys and the sums are still single lines.
+    With headers, the keys stand once per order in `headers`, and lines are summed
     per order before they meet them: an order with very many lines reaches the join
     as one row, and the join reuses the partitioning of that sum.
     """
     revenue = F.col("revenue_units")
     if headers is None:
-        return priced_lines(orders, products, key, "order_id").select(
-            key,
+        order_id = ["order_id"] if "order_id" in orders.columns else []
+        return priced_lines(orders, products, *keys, *order_id).select(
+            *keys,
             F.shiftright(revenue, LOW_BITS).alias("high"),
             revenue.bitwiseAND(F.lit(2**LOW_BITS - 1)).alias("low"),
             revenue.isNotNull().cast("bigint").alias("priced"),
-            F.col("order_id").isNotNull().cast("bigint").alias("lines"),
+            (F.col("order_id").isNotNull() if order_id else F.lit(None)).cast("bigint").alias("lines"),
         )
-    require_columns(headers, ["order_id", key], "headers")
+    require_columns(headers, ["order_id", *keys], "headers")
     per_order = (
         priced_lines(orders, products, "order_id")
         .groupBy("order_id")
@@ -71,7 +72,7 @@ def revenue_sums(orders: DataFrame, products: DataFrame, key: str,
             F.count("order_id").alias("lines"),
         )
     )
-    return per_order.join(headers.select("order_id", key), "order_id").drop("order_id")
+    return per_order.join(headers.select("order_id", *keys), "order_id").drop("order_id")
 
 
 def summed_revenue() -> Column:
@@ -81,7 +82,7 @@ def summed_revenue() -> Column:
 
 def customer_revenue(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """(customer_id, revenue) of every customer who bought something."""
-    sums = revenue_sums(orders, products, "customer_id", headers)
+    sums = revenue_sums(orders, products, ["customer_id"], headers)
     return sums.groupBy("customer_id").agg(summed_revenue().cast("double").alias("revenue"))
 
 
@@ -108,7 +109,12 @@ def customer_revenue_top(orders: DataFrame, products: DataFrame, n: int = TOP_RO
 def top_customers(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
                   headers: DataFrame | None = None) -> DataFrame:
     """The n customers with most revenue; `order_count` counts order lines."""
-    per_customer = revenue_sums(orders, products, "customer_id", headers).groupBy("customer_id").agg(
+    require_columns(orders, ["order_id"], "orders")
+    return top_customers_of(revenue_sums(orders, products, ["customer_id"], headers), n)
+
+
+def top_customers_of(sums: DataFrame, n: int = TOP_ROWS) -> DataFrame:
+    per_customer = sums.groupBy("customer_id").agg(
         summed_revenue().alias("revenue"),
         F.sum("priced").alias("priced"),
         F.sum("lines").alias("order_count"),

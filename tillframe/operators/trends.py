@@ -23,7 +23,10 @@ def monthly_trends(orders: DataFrame, products: DataFrame, headers: DataFrame |
     The first month has no growth and a change of zero. The window spans one row
     per calendar month, so its size is bounded by the calendar, not by the data.
     """
-    sums = revenue_sums(orders, products, "order_date", headers)
+    return monthly_trends_of(revenue_sums(orders, products, ["order_date"], headers))
+
+
+def monthly_trends_of(sums: DataFrame) -> DataFrame:
     months = sums.groupBy(_year("order_date"), _month("order_date")).agg(
         summed_revenue().alias("revenue")
     )

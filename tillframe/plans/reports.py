@@ -20,23 +20,30 @@ STORE_TABLES = ("customers", "products", "orders", "order_items")
 
 
 def sales_report(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
-                 headers: DataFrame | None = None) -> dict[str, DataFrame]:
+                 headers: DataFrame | None = None, cache: bool = False) -> dict[str, DataFrame]:
     """Top customers, categories and monthly trends of order lines.
 
-    Customer and date stand on every line, or once per order in `headers`.
+    Customer and date stand on every line, or once per order in `headers`. With
+    `cache`, customers and months share one pass over the lines: its sums are kept in
+    memory and on disk when the first of the two is computed.
     """
+    if cache:
+        sums = revenue.revenue_sums(orders, products, ["customer_id", "order_date"], headers).persist()
+        customers, months = revenue.top_customers_of(sums, n), trends.monthly_trends_of(sums)
+    else:
+        customers = revenue.top_customers(orders, products, n, headers)
+        months = trends.monthly_trends(orders, products, headers)
     return {
-        "top_customers": revenue.top_customers(orders, products, n, headers),
+        "top_customers": customers,
         "category_sales": revenue.sales_by_category(orders, products),
-        "monthly_trends": trends.monthly_trends(orders, products, headers),
+        "monthly_trends": months,
     }
 
 
 def sales_report_from(spark: SparkSession, orders_path: str, products_path: str,
                       n: int = TOP_ROWS, cache: bool = False) -> dict[str, DataFrame]:
-    return sales_report(
-        load_parquet(spark, orders_path, cache), load_parquet(spark, products_path, cache), n
-    )
+    orders, products = load_parquet(spark, orders_path), load_parquet(spark, products_path)
+    return sales_report(orders, products, n, cache=cache)
 
 
 def load_store(spark: SparkSession, base: str) -> dict[str, DataFrame | None]:
