@@ -88,8 +88,8 @@ def test_segment_limits(spark):
 
 @pytest.mark.parametrize("lanes", [1, 2, 3, 4])
 def test_lanes_are_even_and_unrelated(spark, lanes):
-    source = spark.range(20000).select(draws.bits(F.col("id"), 7, "x").alias("b"))
-    parts = source.select(*[draws.fraction(F.col("b"), lane, lanes).alias(f"u{lane}") for lane in range(lanes)])
+    source = spark.range(20000).select(draws.bits("id", 7, "x").alias("b"))
+    parts = source.select(*[draws.fraction("b", lane, lanes).alias(f"u{lane}") for lane in range(lanes)])
     for lane in range(lanes):
         stats = parts.agg(F.min(f"u{lane}"), F.max(f"u{lane}"), F.avg(f"u{lane}"), F.var_pop(f"u{lane}")).first()
         assert 0 < stats[0] and stats[1] < 1
@@ -99,6 +99,6 @@ def test_lanes_are_even_and_unrelated(spark, lanes):
 
 
 def test_normal_draws(spark):
-    stats = spark.range(20000).select(draws.normal(F.col("id"), 1, "n").alias("z")).agg(
+    stats = spark.range(20000).select(draws.normal("id", 1, "n").alias("z")).agg(
         F.avg("z"), F.stddev_pop("z"), F.skewness("z")).first()
     assert abs(stats[0]) < 0.03 and abs(stats[1] - 1) < 0.03 and abs(stats[2]) < 0.06

@@ -177,6 +177,9 @@ def test_reports_over_generated_files(spark, tmp_path):
     assert list(report) == list(from_memory) and len(report) == 6
     for name in ("sales_overview", "top_products", "category_performance", "hourly_sales_pattern"):
         assert list(map(str, rows(report[name]))) == list(map(str, rows(from_memory[name]))), name
+    typed = reports.load_store(spark, str(tmp_path / "store"), tables.STORE_SCHEMAS)
+    for name, df in store.items():
+        assert typed[name].dtypes == df.dtypes and same(typed[name], df), name
     written = files.save_tables(report, str(tmp_path), "processed", "csv")
     assert files.load_csv(spark, written["sales_overview"]).count() == 1
     assert reports.load_store(spark, str(tmp_path))["orders"] is None

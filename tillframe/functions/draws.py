@@ -17,30 +17,39 @@ BITS = 4 * HEX_DIGITS
 DOUBLE_BITS = 52
 
 
-def bits(key: Column, seed: int, name: str) -> Column:
-    digest = F.md5(F.concat(F.lit(f"{seed}:{name}:"), key.cast("string")))
-    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("bigint")
+def _bits(key: str, seed: int, name: str) -> str:
+    digest = f"md5(concat('{seed}:{name}:', CAST({key} AS STRING)))"
+    return f"CAST(conv(substring({digest}, 1, {HEX_DIGITS}), 16, 10) AS BIGINT)"
 
 
-def fraction(source: Column, lane: int = 0, lanes: int = 1) -> Column:
-    """One lane of the bits as a double strictly between 0 and 1."""
+def _fraction(source: str, lane: int, lanes: int) -> str:
     width = BITS // lanes
     kept = min(width, DOUBLE_BITS)
-    shifted = F.shiftright(source, lane * width) if lane else source
-    return (shifted.bitwiseAND(F.lit(2**kept - 1)).cast("double") + 0.5) / F.lit(float(2**kept))
+    lane_bits = f"shiftright({source}, {lane * width}) & {2**kept - 1}L"
+    return f"(CAST({lane_bits} AS DOUBLE) + 0.5D) / {2**kept}D"
 
 
-def uniform(key: Column, seed: int, name: str, lane: int = 0, lanes: int = 1) -> Column:
-    return fraction(bits(key, seed, name), lane, lanes)
+def bits(key: str, seed: int, name: str) -> Column:
+    """Sixty bits drawn for a key, which is a column name or another SQL expression."""
+    return F.expr(_bits(key, seed, name))
 
 
-def normal(key: Column, seed: int, name: str) -> Column:
+def fraction(source: str, lane: int = 0, lanes: int = 1) -> Column:
+    """One lane of a column of bits as a double strictly between 0 and 1."""
+    return F.expr(_fraction(source, lane, lanes))
+
+
+def uniform(key: str, seed: int, name: str, lane: int = 0, lanes: int = 1) -> Column:
+    return F.expr(_fraction(_bits(key, seed, name), lane, lanes))
+
+
+def normal(key: str, seed: int, name: str) -> Column:
     """A standard normal draw by the Box-Muller formula."""
     radius = F.sqrt(F.lit(-2.0) * F.log(uniform(key, seed, name, 0, 2)))
     return radius * F.cos(F.lit(2 * math.pi) * uniform(key, seed, name, 1, 2))
 
 
-def lomax(key: Column, seed: int, name: str, shape: float) -> Column:
+def lomax(key: str, seed: int, name: str, shape: float) -> Column:
     """A Lomax (Pareto II) draw, kept to six places so that its sum is exact."""
     draw = F.pow(F.lit(1.0) - uniform(key, seed, name), F.lit(-1.0 / shape)) - F.lit(1.0)
     return draw.cast("decimal(24,6)")

@@ -46,9 +46,16 @@ def sales_report_from(spark: SparkSession, orders_path: str, products_path: str,
     return sales_report(orders, products, n, cache=cache)
 
 
-def load_store(spark: SparkSession, base: str) -> dict[str, DataFrame | None]:
-    """The store tables among the raw CSV files; a missing file gives None."""
-    return {name: load_csv(spark, table_path(base, "raw", f"{name}.csv")) for name in STORE_TABLES}
+def load_store(spark: SparkSession, base: str,
+               schemas: Mapping[str, str] | None = None) -> dict[str, DataFrame | None]:
+    """The store tables among the raw CSV files; a missing file gives None.
+
+    Without schemas, types are inferred, which reads every file once more.
+    """
+    return {
+        name: load_csv(spark, table_path(base, "raw", f"{name}.csv"), schemas[name] if schemas else None)
+        for name in STORE_TABLES
+    }
 
 
 def full_report(tables: Mapping[str, DataFrame | None], n: int = TOP_ROWS,

@@ -56,11 +56,11 @@ def _place(draw: Column, part: int) -> Column:
     return pick(draw, [place[part] for place in fixed.PLACES])
 
 
-def _email(key: Column) -> Column:
-    return F.concat(F.lit("user"), key.cast("string"), F.lit("@example.com"))
+def _email(key: str) -> Column:
+    return F.concat(F.lit("user"), F.col(key).cast("string"), F.lit("@example.com"))
 
 
-def _product_label(key: Column, seed: int, categories: Mapping[str, tuple]) -> tuple[Column, Column, Column]:
+def _product_label(key: str, seed: int, categories: Mapping[str, tuple]) -> tuple[Column, Column, Column]:
     """(category draw, category, product name)."""
     kind = uniform(key, seed, "label", 0, 3)
     category = pick(kind, list(categories))
@@ -82,7 +82,7 @@ def _bound(kind: Column, ranges: Mapping[str, tuple], end: int) -> Column:
 def shop_customers(ids: DataFrame, seed: int = 42, as_of: date | str | None = None) -> DataFrame:
     """Customers with ages around a normal distribution; `ids` has a customer_id column."""
     require_columns(ids, ["customer_id"], "ids")
-    key, age = F.col("customer_id"), fixed.SHOP_AGE
+    key, age = "customer_id", fixed.SHOP_AGE
     first, last, place = (uniform(key, seed, "person", lane, 3) for lane in range(3))
     drawn = F.lit(float(age["mean"])) + F.lit(float(age["deviation"])) * normal(key, seed, "age")
     return ids.select(
@@ -101,7 +101,7 @@ def shop_customers(ids: DataFrame, seed: int = 42, as_of: date | str | None = No
 def shop_products(ids: DataFrame, seed: int = 42) -> DataFrame:
     """Products priced within the range of their category; `ids` has a product_id column."""
     require_columns(ids, ["product_id"], "ids")
-    key, ranges, rating = F.col("product_id"), fixed.SHOP_PRICE_RANGES, fixed.SHOP_RATING
+    key, ranges, rating = "product_id", fixed.SHOP_PRICE_RANGES, fixed.SHOP_RATING
     kind, category, name = _product_label(key, seed, ranges)
     price, stock = (uniform(key, seed, "numbers", lane, 2) for lane in range(2))
     drawn = F.lit(rating["mean"]) + F.lit(rating["deviation"]) * normal(key, seed, "rating")
@@ -124,7 +124,7 @@ def pareto_counts(ids: DataFrame, key: str, total: int, shape: float = fixed.PAR
     key among equals. Both sums are one-row scalar subqueries; no row is shuffled.
     """
     require_columns(ids, [key], "ids")
-    weights = ids.select(key, lomax(F.col(key), seed, "pareto", shape).alias("weight"))
+    weights = ids.select(key, lomax(key, seed, "pareto", shape).alias("weight"))
     overall = weights.agg(F.struct(
         F.sum("weight").cast("double").alias("weight"),
         F.max(F.struct(F.col("weight"), (-F.col(key)).alias("minus_key"))).alias("top"),
@@ -202,7 +202,7 @@ def shop_orders(customers: DataFrame, products: int, orders: int, seed: int = 42
             F.col("block") * size + 1, F.least((F.col("block") + 1) * size, F.col("order_count"))
         )).alias("nth"),
     ).select((F.col("offset") + F.col("nth")).alias("order_id"), "customer_id")
-    key = F.col("order_id")
+    key = "order_id"
     return numbered.select(
         "order_id",
         "customer_id",
@@ -215,7 +215,7 @@ def shop_orders(customers: DataFrame, products: int, orders: int, seed: int = 42
 def shuffle_rows(df: DataFrame, key: str, seed: int = 42, out: str = "shuffle_key") -> DataFrame:
     """All rows in a random but repeatable order; the sort key stays as a column."""
     require_columns(df, [key])
-    return df.withColumn(out, bits(F.col(key), seed, "shuffle")).orderBy(out, key)
+    return df.withColumn(out, bits(key, seed, "shuffle")).orderBy(out, key)
 
 
 def shop_tables(spark: SparkSession, customers: int = fixed.SHOP_SIZES["customers"],
@@ -237,7 +237,7 @@ def shop_tables(spark: SparkSession, customers: int = fixed.SHOP_SIZES["customer
 def store_customers(ids: DataFrame, seed: int = 42, as_of: date | str | None = None) -> DataFrame:
     """Customers with an age group and an age inside it; `ids` has a customer_id column."""
     require_columns(ids, ["customer_id"], "ids")
-    key, groups = F.col("customer_id"), fixed.AGE_GROUPS
+    key, groups = "customer_id", fixed.AGE_GROUPS
     first, last, place = (uniform(key, seed, "person", lane, 3) for lane in range(3))
     gender, active, registered = (uniform(key, seed, "profile", lane, 3) for lane in range(3))
     phone, login = (uniform(key, seed, "contact", lane, 2) for lane in range(2))
@@ -265,14 +265,14 @@ def store_customers(ids: DataFrame, seed: int = 42, as_of: date | str | None = N
 def store_products(ids: DataFrame, seed: int = 42, as_of: date | str | None = None) -> DataFrame:
     """A catalogue with prices and costs by category; `ids` has a product_id column."""
     require_columns(ids, ["product_id"], "ids")
-    key, ranges = F.col("product_id"), fixed.STORE_PRICE_RANGES
+    key, ranges = "product_id", fixed.STORE_PRICE_RANGES
     kind, category, name = _product_label(key, seed, ranges)
     price, cost = (uniform(key, seed, "price", lane, 2) for lane in range(2))
     stock, weight = (uniform(key, seed, "numbers", lane, 2) for lane in range(2))
     description, brand, active, created = (uniform(key, seed, "details", lane, 4) for lane in range(4))
     low, high = _bound(kind, ranges, 0), _bound(kind, ranges, 1)
     least, most = low * F.lit(fixed.COST_FACTORS[0]), high * F.lit(fixed.COST_FACTORS[1])
-    sku_digits = F.greatest(F.length(key.cast("string")), F.lit(6))
+    number = F.col(key).cast("string")
     return ids.select(
         "product_id",
         name.alias("product_name"),
@@ -283,38 +283,38 @@ def store_products(ids: DataFrame, seed: int = 42, as_of: date | str | None = No
         whole(stock, *fixed.STOCK_RANGE).cast("int").alias("stock_quantity"),
         amount(hundredths(weight, *fixed.WEIGHT_RANGE)).alias("weight"),
         pick(brand, fixed.BRANDS).alias("brand"),
-        F.concat(F.lit("SKU-"), F.lpad(key.cast("string"), sku_digits, F.lit("0"))).alias("sku"),
+        F.concat(F.lit("SKU-"), F.lpad(number, F.greatest(F.length(number), F.lit(6)), F.lit("0"))).alias("sku"),
         _days_before(as_of, created, fixed.CREATED_DAYS).alias("created_date"),
         (active < fixed.ACTIVE_SHARE).alias("is_active"),
     )
 
 
-def _item_count(order: Column, seed: int) -> Column:
+def _item_count(order: str, seed: int) -> Column:
     return whole(uniform(order, seed, "header", 0, 3), *fixed.ITEMS_PER_ORDER)
 
 
-def _item_key(order: Column, nth: Column | int) -> Column:
+def _item_key(order: str, nth: str | int) -> str:
     """Unique and ascending with the order; there are gaps where an order has fewer items."""
-    return (order - 1) * fixed.ITEMS_PER_ORDER[1] + nth
+    return f"({order} - 1) * {fixed.ITEMS_PER_ORDER[1]} + {nth}"
 
 
-def _item_quantity(item_bits: Column) -> Column:
+def _item_quantity(item_bits: str) -> Column:
     return whole(fraction(item_bits, 0, 2), *fixed.STORE_QUANTITY_RANGE)
 
 
-def _item_price(item_bits: Column) -> Column:
+def _item_price(item_bits: str) -> Column:
     return hundredths(fraction(item_bits, 1, 2), *fixed.UNIT_PRICE_RANGE)
 
 
 def store_order_items(ids: DataFrame, products: int, seed: int = 42) -> DataFrame:
     """One to five items per order; `ids` has an order_id column."""
     require_columns(ids, ["order_id"], "ids")
-    numbers = F.sequence(F.lit(1).cast("bigint"), _item_count(F.col("order_id"), seed))
-    key, item_bits = F.col("order_item_id"), F.col("item_bits")
+    numbers = F.sequence(F.lit(1).cast("bigint"), _item_count("order_id", seed))
+    key, item_bits = "order_item_id", "item_bits"
     items = (
         ids.select("order_id", F.explode(numbers).alias("nth"))
-        .select(_item_key(F.col("order_id"), F.col("nth")).alias("order_item_id"), "order_id")
-        .withColumn("item_bits", bits(key, seed, "item"))
+        .select(F.expr(_item_key("order_id", "nth")).alias(key), "order_id")
+        .withColumn(item_bits, bits(key, seed, "item"))
     )
     return items.select(
         "order_item_id",
@@ -334,7 +334,7 @@ def store_orders(ids: DataFrame, customers: int, seed: int = 42,
     no shuffle of the items is needed.
     """
     require_columns(ids, ["order_id"], "ids")
-    order, numbers = F.col("order_id"), range(fixed.ITEMS_PER_ORDER[0], fixed.ITEMS_PER_ORDER[1] + 1)
+    order, numbers = "order_id", range(fixed.ITEMS_PER_ORDER[0], fixed.ITEMS_PER_ORDER[1] + 1)
     drawn = ids.select(
         "order_id",
         _item_count(order, seed).alias("items"),
@@ -342,8 +342,8 @@ def store_orders(ids: DataFrame, customers: int, seed: int = 42,
     )
 
     def item_total(nth: int) -> Column:
-        item = F.col(f"item_{nth}")
-        return F.when(F.col("items") >= nth, _item_price(item) * _item_quantity(item)).otherwise(F.lit(0))
+        value = _item_price(f"item_{nth}") * _item_quantity(f"item_{nth}")
+        return F.when(F.col("items") >= nth, value).otherwise(F.lit(0))
 
     shipping, discounted = (uniform(order, seed, "costs", lane, 2) for lane in range(2))
     total = F.col("total")
@@ -399,14 +399,14 @@ def benchmark_rows(ids: DataFrame, seed: int = 42) -> DataFrame:
     however many rows there are.
     """
     require_columns(ids, ["id"], "ids")
-    key = F.col("id")
+    key = "id"
     start = F.lit(fixed.BENCHMARK_START).cast("timestamp_ntz")
     return ids.select(
         "id",
-        F.concat(F.lit("Product_"), key.cast("string")).alias("name"),
+        F.concat(F.lit("Product_"), F.col(key).cast("string")).alias("name"),
         _email(key).alias("email"),
         amount(hundredths(uniform(key, seed, "row", 0, 2), *fixed.BENCHMARK_AMOUNT_RANGE)).alias("amount"),
-        F.timestamp_add("HOUR", F.pmod(key - 1, F.lit(fixed.BENCHMARK_HOURS)), start).alias("date"),
+        F.timestamp_add("HOUR", F.pmod(F.col(key) - 1, F.lit(fixed.BENCHMARK_HOURS)), start).alias("date"),
         pick(uniform(key, seed, "row", 1, 2), fixed.BENCHMARK_CATEGORIES).alias("category"),
     )
 
