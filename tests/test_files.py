@@ -57,6 +57,7 @@ def test_saved_tables_and_their_sizes(spark, tmp_path):
     report = {r["name"]: r for r in files.file_size_report(spark, saved).collect()}
     on_disk = {n: sum(f.stat().st_size for f in (tmp_path / "raw" / f"{n}.parquet").glob("part-*")) for n in saved}
     assert {n: report[n]["size_bytes"] for n in saved} == on_disk
+    assert report["TOTAL"]["last_modified"] == max(report[n]["last_modified"] for n in saved)
     assert report["TOTAL"]["size_bytes"] == sum(on_disk.values()) and report["TOTAL"]["path"] is None
 
 

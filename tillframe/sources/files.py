@@ -126,21 +126,21 @@ def round_trip(df: DataFrame, fmt: str) -> DataFrame:
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:
-    """The data files of a written table, as (path, length); contents are not read."""
+    """The data files of a written table, as (path, length, modificationTime); contents are not read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "part-*")
         .option("recursiveFileLookup", "true")
         .load(path)
-        .select("path", "length")
+        .select("path", "length", "modificationTime")
     )
 
 
 def file_size_report(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
-    """(name, path, files, size_bytes, size) of each written table, and of all as TOTAL."""
+    """(name, path, files, size_bytes, size, last_modified) of each written table, and of all as TOTAL."""
     files = union_all(
         table_files(spark, path).select(
-            F.lit(name).alias("name"), F.lit(path).alias("path"), "length"
+            F.lit(name).alias("name"), F.lit(path).alias("path"), "length", "modificationTime"
         )
         for name, path in paths.items()
     )
@@ -149,6 +149,7 @@ def file_size_report(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame
         F.max("path").alias("path"),
         F.count(F.lit(1)).alias("files"),
         F.sum("length").alias("size_bytes"),
+        F.max("modificationTime").alias("last_modified"),
     )
     is_total = F.col("is_total") == 1
     return sums.select(
@@ -157,4 +158,5 @@ def file_size_report(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame
         "files",
         "size_bytes",
         readable_bytes(F.col("size_bytes")).alias("size"),
+        "last_modified",
     )
