@@ -54,6 +54,14 @@ def test_items_are_shuffled_once_and_already_summed(spark, settings, name):
     assert re.search(r"Exchange hashpartitioning\(product_id[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text)
 
 
+@pytest.mark.parametrize("name", ["top_customers_by_revenue", "customer_revenue_top10", "monthly_trends"])
+def test_lines_reach_the_headers_summed_per_order(spark, settings, name):
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", text)) == 2
+    assert re.search(r"Exchange hashpartitioning\(order_id[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text)
+
+
 def test_a_hot_product_is_split(spark, settings):
     """A product with half of all lines, too large to broadcast: its partition is cut up, and the result is whole."""
     for name, value in {
