@@ -6,10 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillframe.llm import jaccard, langid
+from tillframe.llm import decontaminate, jaccard, langid, mixing, resharding
 from tillframe.llm.common import read
 
 
+def op1_mixture_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(read(spark, sf_dir, "documents"))
+
+
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op3_min_cost_flow_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resharding.shard_report(read(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(read(spark, sf_dir, "documents")).drop("row", "leader")
 
@@ -19,7 +31,9 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op6_ngram_jaccard_join, op10_language_id)
+    query.__name__: query for query in (
+        op1_mixture_raking, op2_benchmark_decontamination, op3_min_cost_flow_sharding, op6_ngram_jaccard_join, op10_language_id,
+    )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op1_mixture_raking": mixing.mixture_sql()}
