@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillframe.llm import decontaminate, jaccard, langid, mixing, resharding
+from tillframe.llm import decontaminate, jaccard, langid, mixing, packing, resharding, rules, tokens
 from tillframe.llm.common import read
 
 
@@ -22,17 +22,30 @@ def op3_min_cost_flow_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resharding.shard_report(read(spark, sf_dir, "documents"))
 
 
+def op4_decision_list_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_report(read(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(read(spark, sf_dir, "documents")).drop("row", "leader")
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_languages(read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
-        op1_mixture_raking, op2_benchmark_decontamination, op3_min_cost_flow_sharding, op6_ngram_jaccard_join, op10_language_id,
+        op1_mixture_raking, op2_benchmark_decontamination, op3_min_cost_flow_sharding, op4_decision_list_rules, op5_token_counts,
+        op6_ngram_jaccard_join, op7_best_fit_packing, op10_language_id,
     )
 }
 
