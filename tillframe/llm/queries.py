@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillframe.llm import decontaminate, jaccard, langid, mixing, packing, pii, resharding, rules, tokens
+from tillframe.llm import decontaminate, jaccard, langid, lm, mixing, packing, pii, resharding, rules, tokens
 from tillframe.llm.common import read
 
 
@@ -42,6 +42,10 @@ def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.entity_report(read(spark, sf_dir, "documents"))
 
 
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_report(read(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_languages(read(spark, sf_dir, "documents"))
 
@@ -49,7 +53,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_mixture_raking, op2_benchmark_decontamination, op3_min_cost_flow_sharding, op4_decision_list_rules, op5_token_counts,
-        op6_ngram_jaccard_join, op7_best_fit_packing, op8_bootstrapped_pii, op10_language_id,
+        op6_ngram_jaccard_join, op7_best_fit_packing, op8_bootstrapped_pii, op9_deleted_interpolation,
+        op10_language_id,
     )
 }
 
