@@ -8,7 +8,7 @@ from tillframe import constants as fixed
 from tillframe.functions import draws
 from tillframe.functions.numbers import (
     cents, clamp, energy_wh, mean, percent_growth, percent_of, score_at_least, score_at_most,
-    total, units,
+    total, unit_total, units,
 )
 from tillframe.functions.text import readable_bytes
 
@@ -38,7 +38,7 @@ def test_sums_are_exact_for_any_order_and_sign(spark):
     values = [0.1, 0.2, -0.3, 1e10, -1e10, 922337203.07, -0.01, None]
     df = spark.createDataFrame([(v,) for v in values * 50], "v double")
     expected = sum(Decimal(str(v)) for v in values if v is not None) * 50
-    assert rows(df.repartition(7).select(units(df, "v").alias("u")).agg(total(F.col("u")))) == [(expected,)]
+    assert rows(df.repartition(7).agg(unit_total(df, "v"))) == [(expected,)]
 
 
 def test_sum_beyond_64_bits(spark):
@@ -46,10 +46,18 @@ def test_sum_beyond_64_bits(spark):
     assert rows(df.agg(total(F.col("u"), 4).alias("t"))) == [(Decimal(2**62 * 1000).scaleb(-4),)]
 
 
-@pytest.mark.parametrize("kind, value", [("int", 3), ("decimal(10,2)", 3.25), ("float", 3.25), ("double", 3.25)])
+@pytest.mark.parametrize("kind, value", [("int", 3), ("decimal(10,2)", "3.25"), ("decimal(30,6)", "3.250001"), ("float", 3.1), ("double", 3.0001)])
 def test_units_of_every_number_type(spark, kind, value):
     df = spark.range(1).select(F.lit(value).cast(kind).alias("v"))
-    assert rows(df.select(units(df, "v"))) == [(round(value * 100),)]
+    places = {"int": 0, "decimal(10,2)": 2, "decimal(30,6)": 6}.get(kind, 4)
+    assert rows(df.select(units(df, "v"))) == [(int(Decimal(str(value)).scaleb(places)),)]
+
+
+@pytest.mark.parametrize("value", [0.00001, 1.23456, float("inf"), 1e16])
+def test_values_that_do_not_fit_raise(spark, value):
+    df = spark.createDataFrame([(1.0,), (value,)], "price double")
+    with pytest.raises(Exception, match="price has more than 4 decimal places|OVERFLOW|overflow"):
+        df.select(units(df, "price")).collect()
 
 
 def test_rounding_and_percentages(spark):

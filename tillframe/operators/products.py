@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tillframe.constants import TOP_ROWS
-from tillframe.functions.numbers import quantity, total, units
+from tillframe.functions.numbers import quantity, unit_total, units
 from tillframe.operators.checks import require_columns
 
 
@@ -20,7 +20,7 @@ def _sold(order_items: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
     require_columns(products, ["product_id", *keep], "products")
     per_product = order_items.groupBy("product_id").agg(
         F.sum(units(order_items, "quantity")).alias("sold"),
-        total(units(order_items, "total_price")).alias("revenue"),
+        unit_total(order_items, "total_price").alias("revenue"),
         F.count("order_id").alias("items"),
     )
     return per_product.join(products.select("product_id", *keep), "product_id")

@@ -6,16 +6,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tillframe.constants import TOP_ROWS
 from tillframe.functions.numbers import (
-    LOW_BITS, PLACES, amount, cents, high_sum, joined, low_sum, mean, quantity, scaled, units,
+    LOW_BITS, PLACES, amount, cents, high_sum, joined, low_sum, mean, places_of, quantity, scaled, units,
 )
 from tillframe.operators.checks import require_columns
 
-REVENUE_PLACES = 2 * PLACES
+
+def revenue_places(orders: DataFrame, products: DataFrame) -> int:
+    """Decimal places of quantity times price."""
+    require_columns(orders, ["product_id", "quantity"], "orders")
+    require_columns(products, ["product_id", "price"], "products")
+    return places_of(orders.schema["quantity"].dataType) + places_of(products.schema["price"].dataType)
 
 
 def priced_lines(orders: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
     """The columns `keep` of each order line, with its quantity, price and revenue in whole units.
 
+    Revenue is the unrounded product; it counts 10**-revenue_places.
+
     The join is left to Spark: products are broadcast while their size allows it,
     and beyond that adaptive execution splits the partitions of a hot product.
     """
@@ -36,9 +43,9 @@ def line_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
         "order_id",
         "customer_id",
         "product_id",
-        amount(F.col("quantity_units")).alias("quantity"),
-        amount(F.col("price_units")).alias("price"),
-        amount(F.col("revenue_units"), REVENUE_PLACES).alias("revenue"),
+        amount(F.col("quantity_units"), places_of(orders.schema["quantity"].dataType)).alias("quantity"),
+        amount(F.col("price_units"), places_of(products.schema["price"].dataType)).alias("price"),
+        amount(F.col("revenue_units"), revenue_places(orders, products)).alias("revenue"),
     )
 
 
@@ -49,14 +56,18 @@ def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
     Without headers, `orders` carries the keys and the sums are still single lines.
     With headers, the keys stand once per order in `headers`, and lines are summed
     per order before they meet them: an order with very many lines reaches the join
-    as one row, and the join reuses the partitioning of that sum.
+    as one row, and the join reuses the partitioning of that sum. The metadata of `high` says
+    how many decimal places the sums have.
     """
     revenue = F.col("revenue_units")
+    if headers is None:
+        require_columns(orders, ["product_id", "quantity", *keys], "orders")
+    places = {"places": revenue_places(orders, products)}
     if headers is None:
         order_id = ["order_id"] if "order_id" in orders.columns else []
         return priced_lines(orders, products, *keys, *order_id).select(
             *keys,
-            F.shiftright(revenue, LOW_BITS).alias("high"),
+            F.shiftright(revenue, LOW_BITS).alias("high", metadata=places),
             revenue.bitwiseAND(F.lit(2**LOW_BITS - 1)).alias("low"),
             revenue.isNotNull().cast("bigint").alias("priced"),
             (F.col("order_id").isNotNull() if order_id else F.lit(None)).cast("bigint").alias("lines"),
@@ -72,27 +83,39 @@ def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
             F.count("order_id").alias("lines"),
         )
     )
-    return per_order.join(headers.select("order_id", *keys), "order_id").drop("order_id")
+    kept = per_order.join(headers.select("order_id", *keys), "order_id")
+    return kept.select(*keys, F.col("high").alias("high", metadata=places), "low", "priced", "lines")
 
 
-def summed_revenue() -> Column:
+def summed_revenue(sums: DataFrame) -> Column:
     """The exact revenue of a group of `revenue_sums`."""
-    return joined(F.sum("high"), F.sum("low"), REVENUE_PLACES)
+    return joined(F.sum("high"), F.sum("low"), sums.schema["high"].metadata["places"])
 
 
 def customer_revenue(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """(customer_id, revenue) of every customer who bought something."""
     sums = revenue_sums(orders, products, ["customer_id"], headers)
-    return sums.groupBy("customer_id").agg(summed_revenue().cast("double").alias("revenue"))
+    return sums.groupBy("customer_id").agg(summed_revenue(sums).cast("double").alias("revenue"))
 
 
 def customer_revenue_sql(orders: DataFrame, products: DataFrame) -> DataFrame:
-    """The same as `customer_revenue`, written in SQL over decimals, as a second opinion."""
+    """The same as `customer_revenue`, written in SQL over decimals, as a second opinion.
+
+    It holds quantities and prices below 10**13; more digits raise, as do more decimal places.
+    """
+
+    def exact(df: DataFrame, name: str) -> str:
+        places = places_of(df.schema[name].dataType)
+        decimal = f"CAST({name} AS DECIMAL({13 + places}, {places}))"
+        if places != PLACES:
+            return decimal
+        error = f"raise_error('column {name} has more than {places} decimal places')"
+        return f"CASE WHEN {name} IS NULL OR CAST({decimal} AS DOUBLE) = {name} THEN {decimal} ELSE {error} END"
+
     return orders.sparkSession.sql(
-        """
-        SELECT customer_id,
-               CAST(SUM(CAST(quantity AS DECIMAL(12, 2)) * CAST(price AS DECIMAL(12, 2))) AS DOUBLE) AS revenue
-        FROM {orders} JOIN {products} USING (product_id)
+        f"""
+        SELECT customer_id, CAST(SUM({exact(orders, "quantity")} * {exact(products, "price")}) AS DOUBLE) AS revenue
+        FROM {{orders}} JOIN {{products}} USING (product_id)
         GROUP BY customer_id
         """,
         orders=orders, products=products,
@@ -115,7 +138,7 @@ def top_customers(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
 
 def top_customers_of(sums: DataFrame, n: int = TOP_ROWS) -> DataFrame:
     per_customer = sums.groupBy("customer_id").agg(
-        summed_revenue().alias("revenue"),
+        summed_revenue(sums).alias("revenue"),
         F.sum("priced").alias("priced"),
         F.sum("lines").alias("order_count"),
     )
@@ -144,8 +167,9 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
         F.sum(units(orders, "quantity")).alias("sold"), F.count(F.lit(1)).alias("lines")
     )
     catalogue = products.select(
-        "product_id", "category", units(products, "price").cast("decimal(14,0)").alias("price")
+        "product_id", "category", units(products, "price").cast("decimal(19,0)").alias("price")
     )
+    places = places_of(products.schema["price"].dataType)
     price = F.col("price")
     per_category = (
         sold.join(catalogue, "product_id")
@@ -160,8 +184,8 @@ def sales_by_category(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
     return per_category.select(
         "category",
-        cents(scaled(F.col("revenue"), REVENUE_PLACES)).alias("total_revenue"),
+        cents(scaled(F.col("revenue"), revenue_places(orders, products))).alias("total_revenue"),
         quantity(orders, "quantity", F.col("sold")).alias("total_units_sold"),
         "unique_products",
-        cents(mean(scaled(F.col("prices")), F.col("priced"))).alias("avg_price_per_unit"),
+        cents(mean(scaled(F.col("prices"), places), F.col("priced"))).alias("avg_price_per_unit"),
     ).orderBy(F.desc("total_revenue"), "category")

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillframe import constants as fixed
-from tillframe.functions.numbers import score_at_least, score_at_most, total, units
+from tillframe.functions.numbers import score_at_least, score_at_most, unit_total
 from tillframe.operators.checks import require_columns
 
 
@@ -40,7 +40,7 @@ def _exact_metrics(orders: DataFrame, as_of: date | str | Column | None) -> Data
         .agg(
             F.max("order_date").alias("last_order_date"),
             F.count("order_id").alias("frequency"),
-            total(units(orders, "order_total")).alias("monetary"),
+            unit_total(orders, "order_total").alias("monetary"),
         )
         .withColumn(
             "recency_days",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillframe.functions.numbers import cents, mean, percent_growth, total, units
+from tillframe.functions.numbers import cents, mean, percent_growth, unit_total
 from tillframe.operators.checks import require_columns
 from tillframe.operators.revenue import revenue_sums, summed_revenue
 
@@ -28,7 +28,7 @@ def monthly_trends(orders: DataFrame, products: DataFrame, headers: DataFrame |
 
 def monthly_trends_of(sums: DataFrame) -> DataFrame:
     months = sums.groupBy(_year("order_date"), _month("order_date")).agg(
-        summed_revenue().alias("revenue")
+        summed_revenue(sums).alias("revenue")
     )
     previous = F.lag("revenue").over(Window.orderBy("year", "month"))
     revenue, before = F.col("revenue"), F.col("previous")
@@ -48,7 +48,7 @@ def monthly_trends_of(sums: DataFrame) -> DataFrame:
 def _order_measures(orders: DataFrame) -> list[Column]:
     return [
         F.count("order_id").alias("order_count"),
-        total(units(orders, "order_total")).alias("total"),
+        unit_total(orders, "order_total").alias("total"),
         F.count("order_total").alias("valued"),
     ]
 

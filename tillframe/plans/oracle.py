@@ -19,7 +19,7 @@ def _cents(value: str) -> str:
 
 
 def _money(column: str) -> str:
-    return f"CAST({column} AS DECIMAL(12, 2))"
+    return f"CAST({column} AS DECIMAL(17, 4))"
 
 
 LINE = f"""
