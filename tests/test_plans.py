@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tests.conftest import SMALL, rows
 from tillframe.operators import revenue
+from tillframe.plans.catalog import QUERIES
 from tillframe.plans.reports import run
 
 WRITING = {"csv_roundtrip", "json_roundtrip", "parquet_roundtrip", "orc_roundtrip", "file_size_report",
@@ -18,17 +18,17 @@ def plan(df):
     return df._jdf.queryExecution().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_pairs_and_no_python_rows(spark, settings, name):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
-    text = plan(entry.queries()[name](spark, SMALL))
+    text = plan(QUERIES[name](spark, SMALL))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
         assert node not in text
 
 
 @pytest.mark.parametrize("name", ["top_customers_by_revenue", "customer_revenue_top10", "top_products", "preview_rows"])
 def test_top_rows_need_no_full_sort(spark, name):
-    assert "TakeOrderedAndProject" in plan(entry.queries()[name](spark, SMALL))
+    assert "TakeOrderedAndProject" in plan(QUERIES[name](spark, SMALL))
 
 
 def read_columns(df):
@@ -43,13 +43,13 @@ def read_columns(df):
     ("rfm_metrics", {"o_orderkey", "o_custkey", "o_orderdate", "o_totalprice"}),
 ])
 def test_scans_read_only_what_is_used(spark, name, columns):
-    assert read_columns(entry.queries()[name](spark, SMALL)) == columns
+    assert read_columns(QUERIES[name](spark, SMALL)) == columns
 
 
 @pytest.mark.parametrize("name", ["sales_by_category", "top_products", "category_performance"])
 def test_items_are_shuffled_once_and_already_summed(spark, settings, name):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
-    text = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(product_id", text)) == 2  # one for the items, one for the products
     assert re.search(r"Exchange hashpartitioning\(product_id[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text)
 
@@ -57,7 +57,7 @@ def test_items_are_shuffled_once_and_already_summed(spark, settings, name):
 @pytest.mark.parametrize("name", ["top_customers_by_revenue", "customer_revenue_top10", "monthly_trends"])
 def test_lines_reach_the_headers_summed_per_order(spark, settings, name):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
-    text = entry.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    text = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(order_id", text)) == 2
     assert re.search(r"Exchange hashpartitioning\(order_id[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text)
 

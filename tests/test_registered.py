@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import database, differences
 from tests.conftest import SMALL
+from tillframe.plans.catalog import QUERIES
+from tillframe.plans.oracle import ORACLE_SQL
 
-SQL = entry.oracle_sql()
+SQL = ORACLE_SQL
 JOINING = [
     "line_revenue", "top_customers_by_revenue", "customer_revenue_top10", "sales_by_category",
     "monthly_trends", "top_products", "category_performance", "gen_orders",
@@ -20,14 +22,14 @@ def tables():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_same_rows_as_sql(spark, tables, name):
-    assert differences(entry.queries()[name](spark, SMALL), tables, SQL[name]) == []
+    assert differences(QUERIES[name](spark, SMALL), tables, SQL[name]) == []
 
 
 @pytest.mark.parametrize("name", JOINING)
 def test_same_rows_without_broadcast(spark, settings, tables, name):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
     settings("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
-    assert differences(entry.queries()[name](spark, SMALL), tables, SQL[name]) == []
+    assert differences(QUERIES[name](spark, SMALL), tables, SQL[name]) == []
 
 
 def test_entry_has_rows(spark):
@@ -37,4 +39,4 @@ def test_entry_has_rows(spark):
 
 
 def test_queries_without_sql_only_measure():
-    assert set(entry.queries()) - set(SQL) == {"file_size_report", "timed_report", "storage_format_report"}
+    assert set(QUERIES) - set(SQL) == {"file_size_report", "timed_report", "storage_format_report"}
