@@ -30,6 +30,8 @@ from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, utf8
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
 FOLDS, HELD_OUT = 4, 2
+#: The threshold is at most this much above even chances.
+NEARLY_EVEN = 0.4
 _SPACE = 32
 _LETTERS = np.full(256, _SPACE, dtype=np.uint8)
 _LETTERS[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -187,7 +189,8 @@ def _fit(samples: list[tuple[np.ndarray, np.ndarray, str]], bits: int, width: in
     temperature = min(np.geomspace(0.05, 20, 60), key=loss)
     chances = softmax(logits / temperature)
     right = chances.max(axis=1)[chances.argmax(axis=1) == truth]
-    threshold = min(0.5, float(np.quantile(right, false_rejections))) if len(right) else 0.0
+    even = (1 + NEARLY_EVEN) / len(languages)  # rejection is for texts that no language explains
+    threshold = min(even, float(np.quantile(right, false_rejections))) if len(right) else 0.0
     return LanguageModel(languages, bits, scores.astype(np.float32), bias.astype(np.float64), float(temperature), threshold)
 
 
