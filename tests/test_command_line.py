@@ -1,3 +1,5 @@
+import re
+
 import pytest
 
 from tillframe import __main__ as command_line
@@ -33,6 +35,22 @@ def test_store_commands(call, tmp_path):
     assert len(list((tmp_path / "processed").glob("*.csv"))) == 6
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "json"])
+def test_formats_are_honoured(call, tmp_path, fmt):
+    sizes = ("--customers", "20", "--products", "10", "--orders", "60", "--format", fmt)
+    out = call("generate", "--kind", "store", *sizes)
+    assert "size_bytes" in out and "last_modified" in out and (tmp_path / "raw" / f"orders.{fmt}").exists()
+    assert "segment" in call("report", "--format", fmt)
+    other = "csv" if fmt == "parquet" else "orc"
+    call("generate", "--customers", "20", "--products", "10", "--orders", "60", "--format", other)
+    assert "monthly_growth_pct" in call("analyze", "--format", other) and "true" in call("compare", "--format", other)
+
+
+def test_no_customers_are_no_customers(call):
+    out = call("generate", "--customers", "0", "--products", "5", "--orders", "10")
+    assert re.search(r"\|customers *\|0 ", out) and re.search(r"\|products *\|5 ", out)
+
+
 def test_formats(call):
     out = call("formats", "--rows", "1000")
     assert "PARQUET" in out and "file_size_mb" in out

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +26,29 @@ def test_round_trip_keeps_every_row(typed, fmt):
     assert reconcile(typed, back).first()["same_rows"]
 
 
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "orc"])
+def test_round_trip_keeps_odd_values(spark, fmt):
+    texts = ["007", "", None, " blank ends ", "line\nbreak", "cr\r\nlf", 'a "quoted", one', "\\n", "\\", "\\\\n\n", "\\N", "null", "1e5", "é日", ",", '"', '""']
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").select(
+        "id", "text", F.expr("timestamp_ntz'2024-03-10 02:30:00.000001' + make_dt_interval(0, 0, id, 0.123456)").alias("at"),
+        F.expr("timestamp'2024-03-10 02:30:00.999999Z' + make_dt_interval(0, id)").alias("instant"),
+        F.expr("cast(id as double) / 7").alias("ratio"), F.expr("cast(id as decimal(20,6)) / 8").alias("part"),
+        F.when(F.col("id") % 3 == 0, F.col("id")).cast("bigint").alias("some"), F.lit("x").alias("odd `name`.1".replace("`", "")))
+    back = files.round_trip(df, fmt)
+    assert back.dtypes == df.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_csv_lines_are_records(spark, tmp_path):
+    path = files.write_table(spark.createDataFrame([("a\nb",), ("c",)], "t string").coalesce(1), str(tmp_path / "x.csv"), "csv")
+    assert [r[0] for r in spark.read.text(path).collect()] == ["t", "a\\nb", "c"]
+
+
+def test_plain_csv_of_others(spark, tmp_path):
+    (tmp_path / "y.csv").write_text('id,path,note\n1,C:\\new,\n2,"say ""x""",""\n')
+    assert rows(files.load_csv(spark, str(tmp_path / "y.csv"))) == [(1, "C:\\new", None), (2, 'say "x"', None)]
+
+
 def test_paths(spark, tmp_path):
     assert files.table_path("/data/", "raw") == "/data/raw/raw_data.parquet"
     assert files.table_path("/data", "processed", "x.csv") == "/data/processed/x.csv"
@@ -69,17 +94,30 @@ def test_scratch_follows_the_session(spark):
 
 def test_storage_report(spark):
     df = spark.range(2000).select("id", F.md5(F.col("id").cast("string")).alias("text"))
-    report = storage.storage_format_report(df, ["csv", "parquet", "xlsx"])
+    folder = os.path.dirname(files.write_table(spark.range(1), files.scratch_path(spark, "x"))).removeprefix("file:")
+    before = set(os.listdir(folder))
+    report = storage.storage_format_report(df, ["csv", "parquet", "xlsx"], sums=["id"])
     by_format = {r["format"]: r for r in report.collect()}
     assert set(by_format) == {"CSV", "PARQUET", "XLSX"}
-    assert "xlsx" in by_format["XLSX"]["error"] and by_format["XLSX"]["size_pct"] is None
+    assert by_format["XLSX"]["error"].startswith("ValueError: unknown format 'xlsx'") and by_format["XLSX"]["size_pct"] is None
+    assert [(by_format[f]["row_count"], by_format[f]["sum_id"]) for f in ("CSV", "PARQUET")] == [(2000, 1999000.0)] * 2
     csv = by_format["CSV"]
     assert csv["error"] is None and csv["size_pct"] == csv["time_pct"] == 100.0
     assert csv["total_time_s"] == pytest.approx(csv["write_time_s"] + csv["read_time_s"])
-    assert csv["total_cpu_time_s"] > 0  # from the event log that the test session keeps
+    # from the event log that the test session keeps
+    assert csv["write_cpu_time_s"] > 0 and csv["read_cpu_time_s"] > 0 and csv["scan_time_s"] > 0
+    assert csv["total_cpu_time_s"] == pytest.approx(csv["write_cpu_time_s"] + csv["read_cpu_time_s"])
+    assert csv["peak_memory_mb"] is None or csv["peak_memory_mb"] > 0
     assert csv["energy_consumption_wh"] == pytest.approx(csv["total_cpu_time_s"] * 65 / 3600)
     best = dict((r["metric"], r["best"]) for r in storage.best_formats(report).collect())
     assert set(best) == set(storage.METRICS) and best["file_size_mb"] in ("CSV", "PARQUET")
+    assert {p for p in os.listdir(folder) if p.startswith("format")} <= before  # nothing is left behind
+
+
+def test_unfinished_jobs_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(storage, "LOG_SECONDS", 0.0)
+    with pytest.raises(TimeoutError, match="lacks the end"):
+        storage._usage(spark, [10**6])
 
 
 def test_timed_report(spark):

@@ -10,8 +10,7 @@ from tillframe.operators import revenue
 from tillframe.plans.catalog import QUERIES
 from tillframe.plans.reports import run
 
-WRITING = {"csv_roundtrip", "json_roundtrip", "parquet_roundtrip", "orc_roundtrip", "file_size_report",
-           "storage_format_report", "timed_report"}
+WRITING = {"file_size_report", "storage_format_report", "timed_report", *(name for name in QUERIES if "_roundtrip" in name)}
 
 
 def plan(df):
@@ -62,6 +61,14 @@ def test_lines_reach_the_headers_summed_per_order(spark, settings, name):
     assert re.search(r"Exchange hashpartitioning\(order_id[^\n]*\n[^\n]*HashAggregate[^\n]*partial_sum", text)
 
 
+def test_the_sales_report_reads_the_lines_twice(spark):
+    """Once for the categories, once for customers and months together."""
+    report = QUERIES["sales_report"](spark, SMALL)
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[l_", final)) == 2
+
+
 def test_a_hot_product_is_split(spark, settings):
     """A product with half of all lines, too large to broadcast: its partition is cut up, and the result is whole."""
     for name, value in {

@@ -38,5 +38,17 @@ def test_entry_has_rows(spark):
     assert df.count() == 10
 
 
-def test_queries_without_sql_only_measure():
-    assert set(QUERIES) - set(SQL) == {"file_size_report", "timed_report", "storage_format_report"}
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
+
+
+WRITING = {"file_size_report", "timed_report", "storage_format_report", *(name for name in QUERIES if "_roundtrip" in name)}
+
+
+def test_building_a_query_starts_no_job(spark):
+    context = spark.sparkContext
+    context.setJobGroup("building", "building")
+    for name in sorted(set(QUERIES) - WRITING - {"scan_parquet", "input_audit"}):  # these two read unknown files' footers
+        QUERIES[name](spark, SMALL)
+    assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    context.setLocalProperty("spark.jobGroup.id", None)

@@ -151,7 +151,8 @@ def test_benchmark_rows(spark):
 
 def test_summary(spark):
     shop = synthetic.shop_tables(spark, 20, 200, 50, as_of=AS_OF)
-    assert rows(synthetic.data_summary(shop)) == [("customers", 20, None), ("products", 200, 5), ("orders", 50, None)]
+    assert rows(synthetic.data_summary(shop)) == [
+        ("customers", 20, None, None), ("products", 200, 5, "Books, Clothing, Electronics, Home, Sports"), ("orders", 50, None, None)]
 
 
 def test_reports_over_generated_files(spark, tmp_path):
@@ -185,3 +186,14 @@ def test_reports_over_generated_files(spark, tmp_path):
     assert reports.load_store(spark, str(tmp_path))["orders"] is None
     with pytest.raises(ValueError, match="not loaded: order_items"):
         reports.full_report({**store, "order_items": None})
+
+
+def test_benchmark_hours_do_not_repeat(spark):
+    ids = spark.createDataFrame([(1,), (2_000_001,), (2_000_002,), (100_000_000,)], "id bigint")
+    hours = [r[0] for r in rows(synthetic.benchmark_rows(ids).selectExpr(
+        "timestampdiff(HOUR, timestamp_ntz'2020-01-01', date)").orderBy(F.col("timestampdiff(HOUR, TIMESTAMP_NTZ '2020-01-01 00:00:00', date)")))]
+    assert hours == [0, 2_000_000, 2_000_001, 99_999_999]
+
+
+def test_spread_deals_to_the_named_tasks(spark):
+    assert synthetic.spread(spark.range(100), 3).select(F.spark_partition_id().alias("p")).distinct().count() == 3

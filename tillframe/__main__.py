@@ -2,13 +2,14 @@
 
     python -m tillframe generate --kind shop  --data DIR [--customers N --products N --orders N]
     python -m tillframe generate --kind store --data DIR
-    python -m tillframe analyze  --data DIR [--top N] [--save]
-    python -m tillframe report   --data DIR [--as-of YYYY-MM-DD]
+    python -m tillframe analyze  --data DIR [--top N] [--save] [--format F]
+    python -m tillframe report   --data DIR [--as-of YYYY-MM-DD] [--format F]
     python -m tillframe compare  --data DIR
     python -m tillframe formats  [--rows N]
 
-DIR holds the folders `raw` and `processed`. Shop tables are Parquet with one product
-line per order; store tables are CSV with order items.
+DIR holds the folders `raw` and `processed`. Shop tables have one product line per order
+and are Parquet; store tables have order items and are CSV. `--format` names another
+format, for the tables written as well as for those read.
 """
 
 from __future__ import annotations
@@ -22,33 +23,38 @@ from tillframe.operators import revenue
 from tillframe.operators.checks import preview_rows, reconcile, table_row_counts
 from tillframe.plans import reports, storage
 from tillframe.session import get_session
-from tillframe.sources import files, synthetic
+from tillframe.sources import files, synthetic, tables
 
 MAKERS = {"shop": (synthetic.shop_tables, fixed.SHOP_SIZES, "parquet"),
           "store": (synthetic.store_tables, fixed.STORE_SIZES, "csv")}
+SCHEMAS = {"shop": tables.SHOP_SCHEMAS, "store": tables.STORE_SCHEMAS}
 
 
-def shop_paths(spark: SparkSession, data: str) -> dict[str, str]:
+def shop_paths(spark: SparkSession, data: str, fmt: str = "parquet") -> dict[str, str]:
     return files.check_inputs(
-        spark, {name: files.table_path(data, "raw", f"{name}.parquet") for name in fixed.SHOP_SIZES}
+        spark, {name: files.table_path(data, "raw", f"{name}.{fmt}") for name in fixed.SHOP_SIZES}
     )
 
 
 def generate(spark: SparkSession, args: argparse.Namespace) -> None:
     make, sizes, fmt = MAKERS[args.kind]
-    chosen = {name: getattr(args, name) or size for name, size in sizes.items()}
-    tables = make(spark, **chosen, seed=args.seed, as_of=args.as_of)
-    saved = files.save_tables(tables, args.data, "raw", args.format or fmt)
-    stored = {name: files.read_table(spark, path, args.format or fmt) for name, path in saved.items()}
-    synthetic.data_summary(stored).show(truncate=False)
-    files.file_size_report(spark, saved).show(truncate=False)
+    chosen = {name: size if getattr(args, name) is None else getattr(args, name) for name, size in sizes.items()}
+    made = make(spark, **chosen, seed=args.seed, as_of=args.as_of)
+    saved = files.save_tables(made, args.data, "raw", args.format or fmt)
+    schemas = SCHEMAS[args.kind]
+    stored = {name: files.read_table(spark, path, args.format or fmt, schemas[name]) for name, path in saved.items()}
+    sizes = files.file_size_report(spark, saved)
+    synthetic.data_summary(stored, sizes).show(truncate=False)
+    sizes.show(truncate=False)
     for name, df in stored.items():
         preview_rows(df, [df.columns[0]]).show(truncate=False)
 
 
 def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
-    paths = shop_paths(spark, args.data)
-    results = reports.sales_report_from(spark, paths["orders"], paths["products"], args.top, args.cache)
+    fmt = args.format or "parquet"
+    paths = shop_paths(spark, args.data, fmt)
+    results = reports.sales_report_from(
+        spark, paths["orders"], paths["products"], args.top, args.cache, fmt, tables.SHOP_SCHEMAS)
 
     def finish(name: str) -> DataFrame:
         """Compute a result once: into its file, or else into memory for display."""
@@ -64,18 +70,19 @@ def analyze(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
-    tables = reports.load_store(spark, args.data)
-    results = reports.full_report(tables, args.top, args.as_of)
+    store = reports.load_store(spark, args.data, tables.STORE_SCHEMAS, args.format or "csv")
+    results = reports.full_report(store, args.top, args.as_of)
     saved = files.save_tables(results, args.data, fmt="csv")
     for name, path in saved.items():
         print(name, path)
         files.read_table(spark, path, "csv").show(5, truncate=False)
-    table_row_counts(tables).show()
+    table_row_counts(store).show()
 
 
 def compare(spark: SparkSession, args: argparse.Namespace) -> None:
-    paths = shop_paths(spark, args.data)
-    orders, products = (files.load_parquet(spark, paths[name]) for name in ("orders", "products"))
+    fmt = args.format or "parquet"
+    paths = shop_paths(spark, args.data, fmt)
+    orders, products = (files.read_table(spark, paths[name], fmt, tables.SHOP_SCHEMAS[name]) for name in ("orders", "products"))
     by_functions = revenue.customer_revenue(orders, products)
     by_sql = revenue.customer_revenue_sql(orders, products)
     reconcile(by_functions, by_sql).show()

@@ -80,7 +80,6 @@ BENCHMARK_CATEGORIES = (
 )
 BENCHMARK_AMOUNT_RANGE = (1, 1000)
 BENCHMARK_START = "2020-01-01 00:00:00"
-BENCHMARK_HOURS = 2_000_000
 
 # Word pools for readable text columns.
 FIRST_NAMES = (

@@ -55,9 +55,10 @@ def lomax(key: str, seed: int, name: str, shape: float) -> Column:
     return draw.cast("decimal(24,6)")
 
 
-def whole(draw: Column, low: int, high: int) -> Column:
+def whole(draw: Column, low: int, high: int | Column) -> Column:
     """A whole number from `low` to `high`, both included."""
-    return F.lit(low) + F.floor(draw * F.lit(float(high - low + 1)))
+    width = (high - low + 1).cast("double") if isinstance(high, Column) else F.lit(float(high - low + 1))
+    return F.lit(low) + F.floor(draw * width)
 
 
 def hundredths(draw: Column, low: Column | float, high: Column | float) -> Column:

@@ -83,6 +83,9 @@ def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
             F.count("order_id").alias("lines"),
         )
     )
+    # holds for every order with an id; it makes all sums part of each use, so that several
+    # analyses of a report have the same plan up to here, and Spark shuffles the lines once
+    per_order = per_order.filter("lines >= priced")
     kept = per_order.join(headers.select("order_id", *keys), "order_id")
     return kept.select(*keys, F.col("high").alias("high", metadata=places), "low", "priced", "lines")
 

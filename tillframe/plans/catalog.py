@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillframe.functions.numbers import cents
 from tillframe.functions.text import readable_bytes
@@ -49,8 +50,13 @@ def _headers(analysis: Callable[..., DataFrame], *args) -> Query:
     return lambda spark, sf: analysis(tables.order_headers(spark, sf), *args)
 
 
-def _round_trip(fmt: str) -> Query:
-    return lambda spark, sf: files.round_trip(tables.table(spark, sf, "orders"), fmt)
+def _round_trip(fmt: str, name: str = "orders") -> Query:
+    return lambda spark, sf: files.round_trip(tables.table(spark, sf, name), fmt)
+
+
+def _size(spark: SparkSession, sf: str, name: str) -> Column:
+    """Rows of a table, as a scalar subquery."""
+    return tables.table(spark, sf, name).agg(F.count(F.lit(1))).scalar()
 
 
 def _paths(sf: str) -> dict[str, str]:
@@ -87,7 +93,7 @@ def table_row_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def preview_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.preview_rows(tables.customers(spark, sf), ["customer_id"], 3)
+    return checks.preview_rows(tables.table(spark, sf, "customer"), ["c_custkey"], 3)
 
 
 def format_bytes(spark: SparkSession, sf: str) -> DataFrame:
@@ -140,7 +146,7 @@ def _generated_shop(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     """Shop tables of the test tables' own sizes, over their keys counted from 1."""
     customer_ids = _keys(spark, sf, "customer", "c_custkey", "customer_id")
     product_ids = _keys(spark, sf, "part", "p_partkey", "product_id")
-    orders, products = (tables.table(spark, sf, name).count() for name in ("orders", "part"))
+    orders, products = (_size(spark, sf, name) for name in ("orders", "part"))
     return {
         "customers": synthetic.shop_customers(customer_ids, SEED, GENERATED_AS_OF),
         "products": synthetic.shop_products(product_ids, SEED),
@@ -162,7 +168,7 @@ def gen_products(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gen_pareto_counts(spark: SparkSession, sf: str) -> DataFrame:
-    total = tables.table(spark, sf, "orders").count()
+    total = _size(spark, sf, "orders")
     ids = _keys(spark, sf, "customer", "c_custkey", "customer_id")
     return synthetic.pareto_counts(ids, "customer_id", total, seed=SEED)
 
@@ -172,7 +178,7 @@ def gen_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gen_shuffle(spark: SparkSession, sf: str) -> DataFrame:
-    return synthetic.shuffle_rows(tables.order_headers(spark, sf), "order_id", SEED)
+    return synthetic.shuffle_rows(tables.table(spark, sf, "orders"), "o_orderkey", SEED)
 
 
 def gen_customers_profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -184,12 +190,12 @@ def gen_products_catalog(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gen_order_items(spark: SparkSession, sf: str) -> DataFrame:
-    products = tables.table(spark, sf, "part").count()
+    products = _size(spark, sf, "part")
     return synthetic.store_order_items(_keys(spark, sf, "orders", "o_orderkey", "order_id"), products, SEED)
 
 
 def gen_orders_header(spark: SparkSession, sf: str) -> DataFrame:
-    customers = tables.table(spark, sf, "customer").count()
+    customers = _size(spark, sf, "customer")
     ids = _keys(spark, sf, "orders", "o_orderkey", "order_id")
     return synthetic.store_orders(ids, customers, SEED, GENERATED_AS_OF)
 
@@ -220,8 +226,16 @@ def full_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def file_size_report(spark: SparkSession, sf: str) -> DataFrame:
-    stored = files.save_tables(_store(spark, sf), files.scratch_path(spark, "sizes"), "raw")
-    return files.file_size_report(spark, stored)
+    """The whole raw tables, saved and read back: columns, rows, and whether the sizes add up to the total."""
+    raw = {"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}
+    saved = files.save_tables({name: tables.table(spark, sf, file) for name, file in raw.items()}, files.scratch_path(spark, "sizes"), "raw")
+    sizes = files.file_size_report(spark, saved)
+    is_total = F.col("name") == "TOTAL"
+    adds_up = sizes.agg(F.sum(F.when(is_total, F.col("size_bytes"))) == F.sum(F.when(~is_total, F.col("size_bytes")))).scalar()
+    back = {name: files.load_parquet(spark, path) for name, path in saved.items()}
+    widths = F.create_map(*[F.lit(x) for name, df in back.items() for x in (name, len(df.columns))])
+    return checks.table_row_counts(back).select(
+        F.col("table").alias("name"), widths[F.col("table")].cast("bigint").alias("column_count"), "row_count", adds_up.alias("total_adds_up"))
 
 
 def timed_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -230,13 +244,18 @@ def timed_report(spark: SparkSession, sf: str) -> DataFrame:
         "category_sales": _items(revenue.sales_by_category),
         "monthly_trends": _with_headers(trends.monthly_trends),
     }
-    return reports.timed_report(
+    report = reports.timed_report(
         spark, {name: lambda query=query: query(spark, sf) for name, query in analyses.items()}
     )
+    adds_up = F.abs(report.agg(F.sum("pct")).scalar() - 100) < 1e-6
+    return report.select("operation", "row_count", (F.col("seconds") > 0).alias("timed"), adds_up.alias("pct_adds_up"))
 
 
 def storage_format_report(spark: SparkSession, sf: str) -> DataFrame:
-    return storage.storage_format_report(gen_benchmark_rows(spark, sf))
+    """The order lines in every format: what was read back, and that each measure was taken."""
+    report = storage.storage_format_report(tables.table(spark, sf, "lineitem"), sums=["l_quantity", "l_extendedprice"])
+    measured = reduce(lambda a, b: a & b, [F.col(name) > 0 for name in ("file_size_mb", "write_time_s", "read_time_s", "scan_time_s")])
+    return report.select("format", "error", measured.alias("measured"), "row_count", "sum_l_quantity", "sum_l_extendedprice")
 
 
 QUERIES: dict[str, Query] = {
@@ -249,6 +268,10 @@ QUERIES: dict[str, Query] = {
     "json_roundtrip": _round_trip("json"),
     "parquet_roundtrip": _round_trip("parquet"),
     "orc_roundtrip": _round_trip("orc"),
+    "csv_roundtrip_events": _round_trip("csv", "events"),
+    "json_roundtrip_events": _round_trip("json", "events"),
+    "parquet_roundtrip_events": _round_trip("parquet", "events"),
+    "orc_roundtrip_events": _round_trip("orc", "events"),
     "file_size_report": file_size_report,
     "line_revenue": line_revenue,
     "top_customers_by_revenue": _with_headers(revenue.top_customers),

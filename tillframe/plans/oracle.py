@@ -376,10 +376,7 @@ GEN_ORDERS = f"""
 """
 
 GEN_SHUFFLE = f"""
-    SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS order_date,
-           o_totalprice AS order_total,
-           {_bits("o_orderkey", "shuffle")} AS shuffle_key
-    FROM orders
+    SELECT *, {_bits("o_orderkey", "shuffle")} AS shuffle_key FROM orders
 """
 
 _GROUP = _draw("id", "age", 0, 2)
@@ -462,15 +459,34 @@ GEN_ORDERS_HEADER = f"""
 GEN_BENCHMARK_ROWS = f"""
     SELECT id, 'Product_' || id AS name, 'user' || id || '@example.com' AS email,
            {_between(_draw("id", "row", 0, 2), "1e0", "1000e0")} AS amount,
-           TIMESTAMP '2020-01-01 00:00:00' + to_hours(CAST((id - 1) % 2000000 AS INTEGER)) AS date,
+           TIMESTAMP '2020-01-01 00:00:00' + to_hours(id - 1) AS date,
            {_pick(_draw("id", "row", 1, 2), fixed.BENCHMARK_CATEGORIES)} AS category
     FROM (SELECT o_orderkey + 1 AS id FROM orders)
 """
 
 GEN_SUMMARY = f"""
-    SELECT 'customers' AS "table", count(*) AS row_count, CAST(NULL AS BIGINT) AS categories FROM customer
-    UNION ALL SELECT 'products', count(*), count(DISTINCT category) FROM ({GEN_PRODUCTS})
-    UNION ALL SELECT 'orders', count(*), NULL FROM orders
+    SELECT 'customers' AS "table", count(*) AS row_count, CAST(NULL AS BIGINT) AS categories, CAST(NULL AS VARCHAR) AS category_names
+    FROM customer
+    UNION ALL SELECT 'products', count(*), count(DISTINCT category), string_agg(DISTINCT category, ', ' ORDER BY category)
+    FROM ({GEN_PRODUCTS})
+    UNION ALL SELECT 'orders', count(*), NULL, NULL FROM orders
+"""
+
+STORED_TABLES = " UNION ALL ".join(
+    f"SELECT '{name}' AS name, CAST({columns} AS BIGINT) AS column_count, count(*) AS row_count, true AS total_adds_up FROM {table}"
+    for name, table, columns in (("customers", "customer", 5), ("products", "part", 6), ("orders", "orders", 6), ("order_items", "lineitem", 11))
+)
+
+TIMED_ANALYSES = " UNION ALL ".join(
+    f"SELECT '{name}' AS operation, count(*) AS row_count, true AS timed, true AS pct_adds_up FROM ({sql})"
+    for name, sql in (("top_customers", TOP_CUSTOMERS), ("category_sales", SALES_BY_CATEGORY), ("monthly_trends", MONTHLY_TRENDS))
+)
+
+FORMAT_ROWS = f"""
+    SELECT format, CAST(NULL AS VARCHAR) AS error, true AS measured, count(*) AS row_count,
+           CAST(sum({_money("l_quantity")}) AS DOUBLE) AS sum_l_quantity,
+           CAST(sum({_money("l_extendedprice")}) AS DOUBLE) AS sum_l_extendedprice
+    FROM lineitem, (VALUES ('CSV'), ('JSON'), ('PARQUET'), ('ORC')) AS f(format) GROUP BY format
 """
 
 
@@ -518,11 +534,15 @@ ORACLE_SQL: dict[str, str] = {
     "input_audit": INPUT_AUDIT,
     "schema_audit": SCHEMA_AUDIT,
     "table_row_counts": _counts({"customers": "customer", "products": "part", "orders": "orders", "order_items": "lineitem"}),
-    "preview_rows": "SELECT c_custkey AS customer_id, c_name AS name FROM customer ORDER BY 1 LIMIT 3",
+    "preview_rows": "SELECT * FROM customer ORDER BY c_custkey LIMIT 3",
     "csv_roundtrip": ORDERS_AS_WRITTEN,
     "json_roundtrip": ORDERS_AS_WRITTEN,
     "parquet_roundtrip": ORDERS_AS_WRITTEN,
     "orc_roundtrip": ORDERS_AS_WRITTEN,
+    **{f"{fmt}_roundtrip_events": "SELECT * FROM events" for fmt in ("csv", "json", "parquet", "orc")},
+    "file_size_report": STORED_TABLES,
+    "timed_report": TIMED_ANALYSES,
+    "storage_format_report": FORMAT_ROWS,
     "line_revenue": f"SELECT order_id, customer_id, product_id, quantity, price, CAST(revenue AS DOUBLE) AS revenue FROM ({LINE})",
     "top_customers_by_revenue": TOP_CUSTOMERS,
     "customer_revenue_top10": f"SELECT customer_id, CAST(sum(revenue) AS DOUBLE) AS revenue FROM ({LINE}) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10",

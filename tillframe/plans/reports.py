@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Mapping
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import NumericType
 
 from tillframe.constants import TOP_ROWS
@@ -14,7 +14,7 @@ from tillframe.operators import products as by_product
 from tillframe.operators import revenue, segments, trends
 from tillframe.operators.checks import require_tables, union_all
 from tillframe.operators.rankings import share_of_total
-from tillframe.sources.files import load_csv, load_parquet, table_path
+from tillframe.sources.files import load_table, table_path
 
 STORE_TABLES = ("customers", "products", "orders", "order_items")
 
@@ -41,19 +41,24 @@ def sales_report(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
 
 
 def sales_report_from(spark: SparkSession, orders_path: str, products_path: str,
-                      n: int = TOP_ROWS, cache: bool = False) -> dict[str, DataFrame]:
-    orders, products = load_parquet(spark, orders_path), load_parquet(spark, products_path)
-    return sales_report(orders, products, n, cache=cache)
+                      n: int = TOP_ROWS, cache: bool = False, fmt: str = "parquet",
+                      schemas: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+    paths = {"orders": orders_path, "products": products_path}
+    found = {name: load_table(spark, path, fmt, schemas and schemas[name]) for name, path in paths.items()}
+    absent = [path for name, path in paths.items() if found[name] is None]
+    if absent:
+        raise FileNotFoundError(f"no such path: {', '.join(absent)}")
+    return sales_report(found["orders"], found["products"], n, cache=cache)
 
 
-def load_store(spark: SparkSession, base: str,
-               schemas: Mapping[str, str] | None = None) -> dict[str, DataFrame | None]:
-    """The store tables among the raw CSV files; a missing file gives None.
+def load_store(spark: SparkSession, base: str, schemas: Mapping[str, str] | None = None,
+               fmt: str = "csv") -> dict[str, DataFrame | None]:
+    """The store tables among the raw files of a format; a missing file gives None.
 
-    Without schemas, types are inferred, which reads every file once more.
+    Without schemas, the types of CSV and JSON are inferred, which reads every file once more.
     """
     return {
-        name: load_csv(spark, table_path(base, "raw", f"{name}.csv"), schemas[name] if schemas else None)
+        name: load_table(spark, table_path(base, "raw", f"{name}.{fmt}"), fmt, schemas and schemas[name])
         for name in STORE_TABLES
     }
 
@@ -108,12 +113,14 @@ def run(df: DataFrame) -> float:
 
 
 def timed_report(spark: SparkSession, analyses: Mapping[str, Callable[[], DataFrame]]) -> DataFrame:
-    """(operation, seconds, pct) of each analysis, planning and execution included."""
+    """(operation, seconds, row_count, pct) of each analysis, planning and execution included."""
 
-    def seconds(build: Callable[[], DataFrame]) -> float:
+    def measured(name: str, build: Callable[[], DataFrame]) -> tuple[str, float, int]:
+        seen = Observation()
         start = time.perf_counter()
-        run(build())
-        return time.perf_counter() - start
+        run(build().observe(seen, F.count(F.lit(1)).alias("rows")))
+        return name, time.perf_counter() - start, seen.get["rows"]
 
-    rows = [(name, seconds(build)) for name, build in analyses.items()]
-    return share_of_total(spark.createDataFrame(rows, "operation string, seconds double"), "seconds", "pct")
+    rows = [measured(name, build) for name, build in analyses.items()]
+    timed = spark.createDataFrame(rows, "operation string, seconds double, row_count bigint")
+    return share_of_total(timed, "seconds", "pct")

@@ -1,50 +1,34 @@
-"""Comparison of storage formats: size, write and read time, CPU and energy."""
+"""Comparison of storage formats: size, write and read time, CPU, memory and energy."""
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tillframe.constants import FORMATS, TDP_WATTS
+from tillframe.functions.numbers import unit_total
 from tillframe.operators.rankings import best_by_metric, energy_estimate, ratio_to_baseline
 from tillframe.plans.reports import run
-from tillframe.sources.files import read_table, scratch_path, table_files, write_table
+from tillframe.sources.files import read_table, remove, scratch_path, table_files, write_table
 
 EVENT_SCHEMA = """
     Event string,
-    `Stage Info` struct<`Stage ID`: bigint>,
-    Properties struct<`spark.job.description`: string>,
+    `Job ID` bigint,
+    `Stage IDs` array<bigint>,
     `Stage ID` bigint,
-    `Task Metrics` struct<`Executor CPU Time`: bigint, `Peak Execution Memory`: bigint>
+    `Task Metrics` struct<`Executor CPU Time`: bigint>,
+    `Task Executor Metrics` struct<JVMHeapMemory: bigint, JVMOffHeapMemory: bigint>
 """
 METRICS = [
     "file_size_mb", "write_time_s", "read_time_s", "total_time_s", "energy_consumption_wh",
     "peak_memory_mb",
 ]
 BYTES_PER_MB = 1024 * 1024
-
-
-def task_usage(spark: SparkSession, event_log: str) -> DataFrame:
-    """(job, cpu_time_s, peak_memory_mb) per job description, from Spark's own event log."""
-    events = (
-        spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(event_log)
-    )
-    stages = events.filter(F.col("Event") == "SparkListenerStageSubmitted").select(
-        F.col("`Stage Info`.`Stage ID`").alias("stage"),
-        F.col("Properties.`spark.job.description`").alias("job"),
-    ).distinct()
-    tasks = events.filter(F.col("Event") == "SparkListenerTaskEnd").groupBy(
-        F.col("`Stage ID`").alias("stage")
-    ).agg(
-        F.sum("`Task Metrics`.`Executor CPU Time`").alias("cpu_ns"),
-        F.max("`Task Metrics`.`Peak Execution Memory`").alias("peak"),
-    )
-    return tasks.join(stages, "stage").filter(F.col("job").isNotNull()).groupBy("job").agg(
-        (F.sum("cpu_ns") / F.lit(1e9)).alias("cpu_time_s"),
-        (F.max("peak") / F.lit(float(BYTES_PER_MB))).alias("peak_memory_mb"),
-    )
+#: The log is written by another thread; beyond this it counts as broken, and that is reported.
+LOG_SECONDS = 120.0
 
 
 def event_log_path(spark: SparkSession) -> str | None:
@@ -52,59 +36,117 @@ def event_log_path(spark: SparkSession) -> str | None:
     conf = spark.sparkContext.getConf()
     readable = conf.get("spark.eventLog.enabled", "false") == "true" \
         and conf.get("spark.eventLog.compress", "true") == "false"
-    if not readable:
-        return None
-    return f"{conf.get('spark.eventLog.dir', '/tmp/spark-events').rstrip('/')}/*{spark.sparkContext.applicationId}*"
+    folder = conf.get("spark.eventLog.dir", None)
+    return f"{folder.rstrip('/')}/*{spark.sparkContext.applicationId}*" if readable and folder else None
 
 
-def _usage(spark: SparkSession, jobs: list[str], patience_s: float = 5.0) -> dict[str, tuple]:
-    """CPU seconds and peak memory per job, as far as the event log tells; the log may lag a little."""
-    log = event_log_path(spark)
-    deadline = time.perf_counter() + patience_s
-    usage: dict[str, tuple] = {}
-    while log and not usage.keys() >= set(jobs) and time.perf_counter() < deadline:
-        found = task_usage(spark, log).filter(F.col("job").isin(jobs))
-        usage = {r["job"]: (r["cpu_time_s"], r["peak_memory_mb"]) for r in found.collect()}
-    return usage
+def job_usage(spark: SparkSession, event_log: str, jobs: list[int]) -> DataFrame:
+    """(job, ended, cpu_time_s, peak_memory_mb) of the given jobs, from Spark's own event log.
+
+    Memory is the largest JVM memory, heap and off-heap, that a task's executor reported;
+    it is null where executors report none.
+    """
+    events = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(event_log)
+    started = events.filter((F.col("Event") == "SparkListenerJobStart") & F.col("Job ID").isin(jobs)).select(
+        F.col("Job ID").alias("job"), F.explode_outer("Stage IDs").alias("stage"))
+    ended = events.filter(F.col("Event") == "SparkListenerJobEnd").select(F.col("Job ID").alias("job"), F.lit(True).alias("ended"))
+    memory = F.col("`Task Executor Metrics`.JVMHeapMemory") + F.col("`Task Executor Metrics`.JVMOffHeapMemory")
+    tasks = events.filter(F.col("Event") == "SparkListenerTaskEnd").groupBy(F.col("Stage ID").alias("stage")).agg(
+        F.sum("`Task Metrics`.`Executor CPU Time`").alias("cpu_ns"), F.max(memory).alias("peak"))
+    peak = F.max("peak")
+    return started.join(tasks, "stage", "left").join(ended, "job", "left").groupBy("job").agg(
+        F.coalesce(F.bool_and("ended"), F.lit(False)).alias("ended"),
+        (F.coalesce(F.sum("cpu_ns"), F.lit(0)) / F.lit(1e9)).alias("cpu_time_s"),
+        F.when(peak > 0, peak / F.lit(float(BYTES_PER_MB))).alias("peak_memory_mb"),
+    )
 
 
-def measure_formats(df: DataFrame, formats: Iterable[str] = FORMATS) -> DataFrame:
+def _usage(spark: SparkSession, jobs: list[int]) -> tuple[float | None, float | None]:
+    """CPU seconds and peak memory of all the jobs together; nulls without a readable log.
+
+    It waits until the log has the end of every job, which comes after all their tasks.
+    """
+    log = event_log_path(spark)
+    if log is None:
+        return None, None
+    deadline = time.perf_counter() + LOG_SECONDS
+    while True:
+        found = job_usage(spark, log, jobs).collect()
+        if len(found) == len(jobs) and all(row["ended"] for row in found):
+            peaks = [row["peak_memory_mb"] for row in found if row["peak_memory_mb"] is not None]
+            return sum(row["cpu_time_s"] for row in found), max(peaks, default=None)
+        if time.perf_counter() > deadline:
+            raise TimeoutError(f"the event log {log} lacks the end of some of the jobs {jobs}")
+        time.sleep(0.2)
+
+
+def _measured(spark: SparkSession, work) -> tuple[float, float | None, float | None]:
+    """Seconds, CPU seconds and peak memory of the jobs that `work` runs."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, group)
+    try:
+        start = time.perf_counter()
+        work()
+        seconds = time.perf_counter() - start
+        jobs = sorted(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        for name in ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel"):
+            context.setLocalProperty(name, None)
+    return (seconds, *_usage(spark, jobs))
+
+
+def measure_formats(df: DataFrame, formats: Iterable[str] = FORMATS, sums: Iterable[str] = ()) -> DataFrame:
     """One row per format; a format that fails gives a row with its error.
 
-    CPU seconds, peak memory and energy are null unless the application keeps an
-    uncompressed event log.
+    The rows are stored once, and every format is written from that table and read back,
+    after one such round that is not measured. `scan_time_s` is a plain pass over
+    the stored table, which every write contains. Reading counts the rows and adds up the columns `sums`
+    exactly. CPU seconds, peak memory and energy are null unless the application
+    keeps an uncompressed event log. All files are removed afterwards.
     """
-    spark, context = df.sparkSession, df.sparkSession.sparkContext
-    rows, jobs = [], {}
+    spark, sums = df.sparkSession, list(sums)
+    totals = [unit_total(df, name).cast("double").alias(f"sum_{name}") for name in sums]
+    source = scratch_path(spark, "formats-source")
+    write_table(df, source)
+    stored = read_table(spark, source, schema=df.schema)
+    run(stored)
+    scan = run(stored)
+    rows = []
     for fmt in formats:
+        path = scratch_path(spark, f"format-{fmt}")
         try:
-            path = scratch_path(spark, f"format-{fmt}")
-            jobs[fmt] = path
-            context.setJobDescription(path)
-            start = time.perf_counter()
-            write_table(df, path, fmt)
-            written = time.perf_counter() - start
-            read = run(read_table(spark, path, fmt, df.schema))
-            context.setJobDescription(None)
+            seen = Observation()
+            back = lambda: read_table(spark, path, fmt, df.schema, written_here=True)
+            write_table(stored, path, fmt)
+            run(back())
+            write = _measured(spark, lambda: write_table(stored, path, fmt))
+            read = _measured(spark, lambda: run(back().observe(seen, F.count(F.lit(1)).alias("rows"), *totals)))
             size = table_files(spark, path).agg(F.sum("length")).first()[0]
-            rows.append([fmt.upper(), size / BYTES_PER_MB, written, read, written + read, None])
+            found = seen.get
+            cpu = [used[1] for used in (write, read)]
+            peaks = [used[2] for used in (write, read) if used[2] is not None]
+            rows.append((
+                fmt.upper(), size / BYTES_PER_MB, write[0], read[0], write[0] + read[0], scan, None, *cpu,
+                sum(cpu) if None not in cpu else None, write[2], read[2], max(peaks, default=None),
+                found["rows"], *[found[f"sum_{name}"] for name in sums]))
         except Exception as error:  # a failing format must not end the comparison
-            rows.append([fmt.upper(), None, None, None, None, str(error).splitlines()[0]])
+            rows.append((fmt.upper(), *[None] * 4, scan, f"{type(error).__name__}: {str(error).splitlines()[0]}", *[None] * (7 + len(sums))))
         finally:
-            context.setJobDescription(None)
-    usage = _usage(spark, [jobs[row[0].lower()] for row in rows if row[-1] is None])
-    measured = [(*row, *usage.get(jobs.get(row[0].lower()), (None, None))) for row in rows]
+            remove(spark, path)
+    remove(spark, source)
     return spark.createDataFrame(
-        measured,
-        "format string, file_size_mb double, write_time_s double, read_time_s double, "
-        "total_time_s double, error string, total_cpu_time_s double, peak_memory_mb double",
+        rows,
+        "format string, file_size_mb double, write_time_s double, read_time_s double, total_time_s double, scan_time_s double, "
+        "error string, write_cpu_time_s double, read_cpu_time_s double, total_cpu_time_s double, "
+        "write_memory_mb double, read_memory_mb double, peak_memory_mb double, row_count bigint"
+        + "".join(f", sum_{name} double" for name in sums),
     )
 
 
 def storage_format_report(df: DataFrame, formats: Iterable[str] = FORMATS,
-                          tdp_watts: float = TDP_WATTS) -> DataFrame:
+                          tdp_watts: float = TDP_WATTS, sums: Iterable[str] = ()) -> DataFrame:
     """Measures per format, with size, time and energy as percentages of CSV."""
-    measured = energy_estimate(measure_formats(df, formats), "total_cpu_time_s", tdp_watts)
+    measured = energy_estimate(measure_formats(df, formats, sums), "total_cpu_time_s", tdp_watts)
     return ratio_to_baseline(
         measured, "format", "CSV",
         {"file_size_mb": "size_pct", "total_time_s": "time_pct", "energy_consumption_wh": "energy_pct"},

@@ -16,9 +16,6 @@ def get_session(name: str = "tillframe", master: str | None = None,
     builder = (
         SparkSession.builder.appName(name)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
     )
     if master:

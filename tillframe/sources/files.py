@@ -4,16 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from tillframe.constants import FORMATS, ZONES
 from tillframe.functions.text import readable_bytes
 from tillframe.operators.checks import union_all
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+#: What every CSV file here has: a header, and quotes doubled inside quotes.
+CSV = {"header": "true", "escape": '"'}
+#: Written times keep their microseconds.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+#: Written text keeps its blanks; null is nothing and empty text is "".
+CSV_WRITTEN = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "nullValue": "", "emptyValue": '""'}
+#: On reading, nothing between commas becomes this and then null, so that "" stays empty text.
+CSV_READ_BACK = {"nullValue": "\u0001", "emptyValue": ""}
+
+
+_local_scratch: dict[str, str] = {}
 
 
 def table_path(base: str, zone: str, filename: str | None = None, fmt: str = "parquet") -> str:
@@ -54,21 +65,48 @@ def input_audit(spark: SparkSession, paths: Mapping[str, str], fmt: str = "parqu
     return union_all(audit(name, path) for name, path in paths.items())
 
 
-def _options(fmt: str) -> dict[str, str]:
+def _check(fmt: str) -> None:
     if fmt not in FORMATS:
         raise ValueError(f"unknown format {fmt!r}; expected one of {', '.join(FORMATS)}")
-    return {"header": "true"} if fmt == "csv" else {}
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType | str | None = None) -> DataFrame:
-    """Read a table; CSV without a schema is inferred, which costs one more pass."""
-    reader = spark.read.format(fmt).options(**_options(fmt))
+               schema: StructType | str | None = None, written_here: bool = False) -> DataFrame:
+    """Read a table; CSV without a schema is inferred, which costs one more pass.
+
+    `written_here` says that `write_table` made a CSV file: then empty text is told from
+    null, and line breaks and backslashes in text come back.
+    """
+    _check(fmt)
+    reader = spark.read.format(fmt)
+    if fmt == "csv":
+        reader = reader.options(**CSV, **(CSV_READ_BACK if written_here else {}))
     if schema is not None:
         reader = reader.schema(schema)
     elif fmt == "csv":
         reader = reader.option("inferSchema", "true")
-    return reader.load(path)
+    df = reader.load(path)
+    return _each_text(df, _unescaped) if fmt == "csv" and written_here else df
+
+
+def _each_text(df: DataFrame, change: Callable[[Column], Column]) -> DataFrame:
+    return df.select(*[
+        change(F.col(f"`{field.name}`")).alias(field.name) if isinstance(field.dataType, StringType) else F.col(f"`{field.name}`")
+        for field in df.schema.fields
+    ])
+
+
+def _escaped(text: Column) -> Column:
+    """Line breaks as \\n and \\r, backslashes doubled: a record stays one line, so that files can be split."""
+    for found, written in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        text = F.replace(text, F.lit(found), F.lit(written))
+    return text
+
+
+def _unescaped(text: Column) -> Column:
+    parts = F.transform(F.split(text, r"\\\\"), lambda part: F.replace(
+        F.replace(part, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r")))
+    return F.array_join(parts, "\\")
 
 
 def load_parquet(spark: SparkSession, path: str, cache: bool = False) -> DataFrame:
@@ -78,13 +116,22 @@ def load_parquet(spark: SparkSession, path: str, cache: bool = False) -> DataFra
     return df.cache() if cache else df
 
 
+def load_table(spark: SparkSession, path: str, fmt: str, schema: StructType | str | None = None) -> DataFrame | None:
+    """Read a table of any format, or None if it does not exist."""
+    return read_table(spark, path, fmt, schema) if path_exists(spark, path) else None
+
+
 def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
     """Read a CSV table, or None if it does not exist."""
-    return read_table(spark, path, "csv", schema) if path_exists(spark, path) else None
+    return load_table(spark, path, "csv", schema)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    df.write.mode("overwrite").format(fmt).options(**_options(fmt)).save(path)
+    """Write the rows; CSV and JSON keep microseconds, and CSV keeps text as `_escaped` has it."""
+    _check(fmt)
+    options = {"csv": {**CSV, **CSV_WRITTEN, **TIMES}, "json": TIMES}.get(fmt, {})
+    rows = _each_text(df, _escaped) if fmt == "csv" else df
+    rows.write.mode("overwrite").format(fmt).options(**options).save(path)
     return path
 
 
@@ -101,28 +148,30 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path in the shared folder that `spark.checkpoint.dir` names.
 
     A machine-local folder is used only where that setting is absent and the
-    session itself is local.
+    session itself is local; it is the same one throughout the session.
     """
     context = spark.sparkContext
     base = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="tillframe-")
-        context.setCheckpointDir(base)
+        if context.applicationId not in _local_scratch:
+            _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="tillframe-")
+        base = _local_scratch[context.applicationId]
     return f"{base.rstrip('/')}/tillframe/{label}-{uuid.uuid4().hex}"
 
 
-def round_trip(df: DataFrame, fmt: str) -> DataFrame:
-    """Write the rows, and read them back in the given format.
+def remove(spark: SparkSession, path: str) -> bool:
+    """Delete a path on whichever file system its scheme names; False if there was none."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
-    CSV comes back with inferred types, cast to the types written; JSON carries no
-    types, so it is read with the schema.
-    """
+
+def round_trip(df: DataFrame, fmt: str) -> DataFrame:
+    """Write the rows, and read them back in the given format with the schema that is known."""
     spark = df.sparkSession
     path = write_table(df, scratch_path(spark, f"round-trip-{fmt}"), fmt)
-    back = read_table(spark, path, fmt, df.schema if fmt == "json" else None)
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    return read_table(spark, path, fmt, df.schema, written_here=True)
 
 
 def table_files(spark: SparkSession, path: str) -> DataFrame:

@@ -30,13 +30,13 @@ def entity_ids(spark: SparkSession, n: int, name: str) -> DataFrame:
     return spark.range(1, n + 1, 1, tasks).toDF(name)
 
 
-def spread(ids: DataFrame) -> DataFrame:
-    """The same keys over all cores, if a scan of few files left them on fewer.
+def spread(ids: DataFrame, tasks: int | None = None) -> DataFrame:
+    """The same keys dealt to `tasks` partitions, by default one for each core.
 
-    Drawing a row costs far more than moving its key.
+    Drawing a row costs far more than moving its key. For tables beyond
+    ROWS_PER_TASK rows a core, name the number of tasks.
     """
-    cores = ids.sparkSession.sparkContext.defaultParallelism
-    return ids if ids.rdd.getNumPartitions() >= cores else ids.repartition(cores)
+    return ids.repartition(tasks or ids.sparkSession.sparkContext.defaultParallelism)
 
 
 def _day(as_of: date | str | None) -> Column:
@@ -116,7 +116,7 @@ def shop_products(ids: DataFrame, seed: int = 42) -> DataFrame:
     )
 
 
-def pareto_counts(ids: DataFrame, key: str, total: int, shape: float = fixed.PARETO_SHAPE,
+def pareto_counts(ids: DataFrame, key: str, total: int | Column, shape: float = fixed.PARETO_SHAPE,
                   seed: int = 42, out: str = "order_count") -> DataFrame:
     """Split `total` over the keys by a Pareto distribution, so that the parts add up exactly.
 
@@ -124,6 +124,7 @@ def pareto_counts(ids: DataFrame, key: str, total: int, shape: float = fixed.PAR
     key among equals. Both sums are one-row scalar subqueries; no row is shuffled.
     """
     require_columns(ids, [key], "ids")
+    rows = total if isinstance(total, Column) else F.lit(total)
     weights = ids.select(key, lomax(key, seed, "pareto", shape).alias("weight"))
     overall = weights.agg(F.struct(
         F.sum("weight").cast("double").alias("weight"),
@@ -131,13 +132,13 @@ def pareto_counts(ids: DataFrame, key: str, total: int, shape: float = fixed.PAR
     )).scalar()
     parts = weights.select(
         key,
-        F.bround(F.col("weight").cast("double") / overall["weight"] * F.lit(float(total)), 0)
+        F.bround(F.col("weight").cast("double") / overall["weight"] * rows.cast("double"), 0)
         .cast("bigint").alias("part"),
     )
-    leftover = F.lit(total).cast("bigint") - parts.agg(F.sum("part")).scalar()
+    leftover = rows.cast("bigint") - parts.agg(F.sum("part")).scalar()
     is_top = F.col(key) == -overall["top"]["minus_key"]
     adjusted = parts.select(key, (F.col("part") + F.when(is_top, leftover).otherwise(F.lit(0))).alias(out))
-    message = F.lit(f"{total} is too few to spread: the largest part would be negative")
+    message = F.concat(rows.cast("string"), F.lit(" is too few to spread: the largest part would be negative"))
     return adjusted.select(key, F.when(F.col(out) < 0, F.raise_error(message)).otherwise(F.col(out)).alias(out))
 
 
@@ -174,19 +175,22 @@ def running_offsets(df: DataFrame, key: str, value: str, out: str = "offset") ->
     )
 
 
-def shop_orders(customers: DataFrame, products: int, orders: int, seed: int = 42,
-                as_of: date | str | None = None) -> DataFrame:
+def shop_orders(customers: DataFrame, products: int | Column, orders: int | Column, seed: int = 42,
+                as_of: date | str | None = None, tasks: int | None = None) -> DataFrame:
     """`orders` order lines, Pareto-distributed over the customers, numbered 1..orders.
 
     A customer's orders are first cut into blocks of at most 10,000, and the blocks
     spread over the tasks, so that a customer who holds a large share of all orders
-    is written by many tasks. Products are drawn evenly from 1..products.
+    is written by many tasks. Products are drawn evenly from 1..products. Both sizes
+    may be columns, such as scalar subqueries; `tasks` is the number of partitions, by
+    default one for each core, or for each ROWS_PER_TASK orders where their number is known.
     """
     require_columns(customers, ["customer_id"], "customers")
-    if products < 1:
+    if not isinstance(products, Column) and products < 1:
         raise ValueError("products must exist before orders")
     counts = pareto_counts(customers, "customer_id", orders, seed=seed)
-    tasks = max(customers.sparkSession.sparkContext.defaultParallelism, -(-orders // ROWS_PER_TASK))
+    known = 0 if isinstance(orders, Column) else -(-orders // ROWS_PER_TASK)
+    tasks = tasks or max(customers.sparkSession.sparkContext.defaultParallelism, known)
     size = F.lit(ORDERS_PER_BLOCK).cast("bigint")
     last_block = F.floor((F.col("order_count") - 1) / size)
     block_numbers = F.when(F.col("order_count") > 0, F.sequence(F.lit(0).cast("bigint"), last_block))
@@ -306,7 +310,7 @@ def _item_price(item_bits: str) -> Column:
     return hundredths(fraction(item_bits, 1, 2), *fixed.UNIT_PRICE_RANGE)
 
 
-def store_order_items(ids: DataFrame, products: int, seed: int = 42) -> DataFrame:
+def store_order_items(ids: DataFrame, products: int | Column, seed: int = 42) -> DataFrame:
     """One to five items per order; `ids` has an order_id column."""
     require_columns(ids, ["order_id"], "ids")
     numbers = F.sequence(F.lit(1).cast("bigint"), _item_count("order_id", seed))
@@ -326,7 +330,7 @@ def store_order_items(ids: DataFrame, products: int, seed: int = 42) -> DataFram
     )
 
 
-def store_orders(ids: DataFrame, customers: int, seed: int = 42,
+def store_orders(ids: DataFrame, customers: int | Column, seed: int = 42,
                  as_of: date | str | None = None) -> DataFrame:
     """Order headers; the total is the sum of the order's own items.
 
@@ -395,8 +399,8 @@ def store_tables(spark: SparkSession, customers: int = fixed.STORE_SIZES["custom
 def benchmark_rows(ids: DataFrame, seed: int = 42) -> DataFrame:
     """Rows with an hourly date from 2020 on; `ids` has an id column that starts at 1.
 
-    Hours start over after BENCHMARK_HOURS rows, so that dates stay within four digits
-    however many rows there are.
+    Every row has its own hour. Beyond the calendar of Spark's timestamps, some two
+    billion rows, it raises.
     """
     require_columns(ids, ["id"], "ids")
     key = "id"
@@ -406,17 +410,24 @@ def benchmark_rows(ids: DataFrame, seed: int = 42) -> DataFrame:
         F.concat(F.lit("Product_"), F.col(key).cast("string")).alias("name"),
         _email(key).alias("email"),
         amount(hundredths(uniform(key, seed, "row", 0, 2), *fixed.BENCHMARK_AMOUNT_RANGE)).alias("amount"),
-        F.timestamp_add("HOUR", F.pmod(F.col(key) - 1, F.lit(fixed.BENCHMARK_HOURS)), start).alias("date"),
+        F.timestamp_add("HOUR", F.col(key) - 1, start).alias("date"),
         pick(uniform(key, seed, "row", 1, 2), fixed.BENCHMARK_CATEGORIES).alias("category"),
     )
 
 
-def data_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """(table, row_count, categories): sizes, and the number of categories where a table has them."""
+def data_summary(tables: Mapping[str, DataFrame], files: DataFrame | None = None) -> DataFrame:
+    """(table, row_count, categories, category_names): sizes, and the categories where a table has them.
+
+    With `files`, a report by `file_size_report`, also its size_bytes, size and last_modified.
+    """
     counts = table_row_counts(tables)
     categorised = [name for name, df in tables.items() if "category" in df.columns]
-    found = F.lit(None).cast("bigint")
+    found, names = F.lit(None).cast("bigint"), F.lit(None).cast("string")
     for name in categorised:
-        distinct = tables[name].agg(F.countDistinct("category")).scalar()
-        found = F.when(F.col("table") == name, distinct).otherwise(found)
-    return counts.withColumn("categories", found)
+        distinct = tables[name].agg(F.sort_array(F.collect_set("category"))).scalar()  # a fixed list of names
+        found = F.when(F.col("table") == name, F.size(distinct).cast("bigint")).otherwise(found)
+        names = F.when(F.col("table") == name, F.array_join(distinct, ", ")).otherwise(names)
+    summary = counts.withColumn("categories", found).withColumn("category_names", names)
+    if files is None:
+        return summary
+    return summary.join(files.select(F.col("name").alias("table"), "size_bytes", "size", "last_modified"), "table", "left")
