@@ -40,6 +40,9 @@ EXPRESSIONS = {
 _TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 _EDGE = "!\"#$%&'()*,-./:;<=>?[\\]^_`{|}~"
 _SPAN = "array<struct<start:int,end:int,found:string>>"
+_RUN = 128
+#: Code points in a bucket of places, for joining candidates and entities that touch.
+_BUCKET = 64
 
 
 @dataclass(frozen=True)
@@ -51,18 +54,31 @@ class Bootstrap:
     min_seeds: int = 5
 
 
-def placed_matches(text: str, expression: str) -> Column:
-    """All matches in order, as (start, end, found)."""
+def matches(text: str, expression: str) -> Column:
+    """All matches in order, each with the text before it; the last has only the text after all matches."""
     pattern = "'" + expression.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return F.expr(f"""if(regexp_like({text}, {pattern}), aggregate(
+    return F.expr(f"""if(regexp_like({text}, {pattern}),
         zip_with(regexp_extract_all({text}, {pattern}, 0), split({text}, {pattern}, -1),
             (found, before) -> named_struct('found', found, 'before', before)),
-        named_struct('at', 0, 'spans', cast(array() as {_SPAN})),
-        (seen, x) -> if(x.found is null, seen, named_struct(
-            'at', seen.at + length(x.before) + length(x.found),
-            'spans', array_append(seen.spans, named_struct(
-                'start', seen.at + length(x.before), 'end', seen.at + length(x.before) + length(x.found), 'found', x.found)))),
-        seen -> seen.spans), cast(array() as {_SPAN}))""")
+        cast(array() as array<struct<found:string,before:string>>))""")
+
+
+def placed(parts: str) -> Column:
+    """(start, end, found) of the matches in a column of `matches`.
+
+    Places are summed over runs of _RUN matches, so that the work is linear in the matches.
+    """
+    return F.expr(f"""flatten(transform(aggregate(
+        if(size({parts}) = 0, cast(array() as array<int>), sequence(0, cast((size({parts}) - 1) div {_RUN} as int))),
+        cast(array() as array<struct<at:int,spans:{_SPAN}>>),
+        (runs, run) -> array_append(runs, aggregate(
+            slice({parts}, run * {_RUN} + 1, {_RUN}),
+            named_struct('at', coalesce(get(runs, size(runs) - 1).at, 0), 'spans', cast(array() as {_SPAN})),
+            (seen, x) -> if(x.found is null, seen, named_struct(
+                'at', seen.at + length(x.before) + length(x.found),
+                'spans', array_append(seen.spans, named_struct(
+                    'start', seen.at + length(x.before), 'end', seen.at + length(x.before) + length(x.found), 'found', x.found))))))),
+        run -> run.spans))""")
 
 
 def _digits(found: Column) -> Column:
@@ -103,10 +119,10 @@ def base_entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with `base` (start, rank of the kind, end; in order) and `candidates` (start, end, found, word, words)."""
     kept = [name for name in docs.columns if name not in ("base", "candidates")]
     df = docs.select(*kept, F.when(F.regexp_like(F.col(text), F.lit("[0-9@]")), F.col(text)).otherwise(F.lit("")).alias("__text"))
-    df = df.select(*kept, "__text", *[placed_matches("__text", expression).alias(f"__{kind}") for kind, expression in EXPRESSIONS.items()],
-                   placed_matches("__text", _TOKEN).alias("__tokens"))
-    before = F.split("__text", _TOKEN, -1)
-    found = F.zip_with("__tokens", before, lambda token, gap: F.when(token.isNotNull(), _candidate(token, gap)))
+    df = df.select(*kept, *[matches("__text", expression).alias(f"__parts_{kind}") for kind, expression in EXPRESSIONS.items()],
+                   matches("__text", _TOKEN).alias("__parts_tokens"))
+    df = df.select(*kept, *[placed(f"__parts_{kind}").alias(f"__{kind}") for kind in (*KINDS, "tokens")], "__parts_tokens")
+    found = F.zip_with("__tokens", "__parts_tokens", lambda token, part: F.when(token.isNotNull(), _candidate(token, part["before"])))
     return df.select(*kept, F.sort_array(F.concat(*map(_spans, KINDS))).alias("base"),
                      F.filter(found, lambda token: token.isNotNull()).alias("candidates"))
 
@@ -124,14 +140,25 @@ def shape(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(token, "[A-Za-z]+", "a"), "[0-9]+", "9")
 
 
+def _buckets(start: Column, end: Column) -> Column:
+    return F.sequence(F.floor(F.greatest(start, F.lit(0)) / _BUCKET), F.floor(end / _BUCKET))
+
+
 def occurrences(entities: DataFrame, row: str) -> DataFrame:
     """(row, start, end, instance, rank, pattern): rank of the base entity that starts in the candidate, null where none
     touches it; candidates inside an entity are left out. Two patterns for each occurrence."""
-    one = entities.select(row, "base", F.explode("candidates").alias("c"))
-    starts = F.filter("base", lambda span: (span["start"] >= F.col("c.start") - 1) & (span["start"] < F.col("c.end")))
-    touched = F.exists("base", lambda span: (span["start"] < F.col("c.end")) & (span["end"] > F.col("c.start")))
+    one = entities.select(row, F.explode("candidates").alias("c"))
+    places = entities.select(F.col(row).alias("__of"), F.explode("base").alias("b")).select(
+        "__of", "b", F.explode(_buckets(F.col("b.start"), F.col("b.end"))).alias("__place"))
+    near = one.select(row, "c", F.explode(_buckets(F.col("c.start") - 1, F.col("c.end"))).alias("__bucket")).join(
+        places, (F.col(row) == F.col("__of")) & (F.col("__bucket") == F.col("__place")))
+    starts = (F.col("b.start") >= F.col("c.start") - 1) & (F.col("b.start") < F.col("c.end"))
+    touches = (F.col("b.start") < F.col("c.end")) & (F.col("b.end") > F.col("c.start"))
+    met = near.groupBy(F.col(row).alias("__of"), F.col("c.start").alias("__at")).agg(
+        F.max(touches).alias("__touched"), F.min(F.when(starts, F.struct(F.col("b.start").alias("start"), F.col("b.rank").alias("rank"))))["rank"].alias("rank"))
+    one = one.join(met, (F.col(row) == F.col("__of")) & (F.col("c.start") == F.col("__at")), "left")
     one = one.select(row, F.col("c.start").alias("start"), F.col("c.end").alias("end"), F.lower("c.found").alias("instance"),
-                     F.get(starts, F.lit(0))["rank"].alias("rank"), touched.alias("__touched"), shape(F.col("c.found")).alias("__shape"),
+                     "rank", F.coalesce("__touched", F.lit(False)).alias("__touched"), shape(F.col("c.found")).alias("__shape"),
                      F.col("c.word").alias("__word"), F.col("c.words").alias("__words"))
     one = one.filter(F.expr("rank is not null or not __touched") & F.regexp_like("__word", F.lit(r"\p{L}")))
     contexts = F.array_distinct(F.array(F.concat_ws("\t", "__word", "__shape"), F.concat_ws("\t", "__words", "__shape")))
@@ -175,7 +202,7 @@ def find_entities(docs: DataFrame, text: str = "text", settings: Bootstrap = Boo
         F.min("rank").alias("rank")).groupBy("__row").agg(F.collect_list(F.struct("start", "rank", "end")).alias("__new"))
     joined = entities.join(new, "__row", "left")
     spans = F.sort_array(F.concat("base", F.coalesce("__new", F.array().cast("array<struct<start:int,rank:int,end:int>>"))))
-    return joined.select(*[name for name in entities.columns if name not in ("__row", "candidates")], spans.alias("spans"))
+    return joined.select(*[name for name in entities.columns if name not in ("__row", "candidates", "spans")], spans.alias("spans"))
 
 
 def span_text(spans: Column) -> Column:
