@@ -53,7 +53,7 @@ def suffix_array(symbols: np.ndarray, bits: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for i in range(depth):
         key <<= bits
-        key[:n - i] |= wide[i:]
+        key[:max(0, n - i)] |= wide[i:]
     order = np.argsort(key)
     ordered = key[order]
     rank = np.empty(n, np.int64)
@@ -318,17 +318,18 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "
                          max_phrase_bytes: int = MAX_PHRASE_BYTES) -> DataFrame:
     """The rows of `docs` with all spans cut from the text and the column `length` brought in line.
 
-    Rows that lose all their words go; rows without a hit stay exactly as they are.
+    Rows that lose all their words go; rows without a hit stay exactly as they are,
+    whatever their columns are called.
     """
-    if set(FOUND.names) & set(docs.columns):
-        raise ValueError(f"columns {FOUND.names} are results")
-    found = _scan(docs, _tests(docs, benchmark, item, item_text, window, max_phrase_bytes), text, docs.columns, cut_spans)
+    tests = _tests(docs, benchmark, item, item_text, window, max_phrase_bytes)
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col(text).alias("__text"))
+    found = _scan(rows, tests, "__text", ["__row", "__text"], cut_spans)
     hit = F.col("n_hit") > 0
-    wordless = ~F.regexp_like(F.col(text), F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
-    found = found.filter(~(hit & wordless))
+    wordless = ~F.regexp_like("__text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+    changed = {text: F.col("__text")}
     if length in docs.columns:
-        found = found.withColumn(length, F.when(hit, F.length(text)).otherwise(F.col(length)).cast(docs.schema[length].dataType))
-    return found.select(*docs.columns)
+        changed[length] = F.when(hit, F.length("__text")).otherwise(F.col("__row")[length]).cast(docs.schema[length].dataType)
+    return found.filter(~(hit & wordless)).select(*[changed.get(name, F.col("__row")[name]).alias(name) for name in docs.columns])
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

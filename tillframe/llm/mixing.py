@@ -85,7 +85,8 @@ def mix(docs: DataFrame, *, sources: Mapping[str, float] = SOURCES, languages: M
     """`docs` with topic, n_tokens, weight, probability and kept; `budget` is the share of all tokens to keep."""
     spark = docs.sparkSession
     kept = [name for name in docs.columns if name not in RESULTS]
-    rows = docs.withColumn("__topic", text_kind(text) if topic is None else topic).withColumn("__tokens", token_count(text))
+    named = (text_kind(text) if topic is None else topic).alias("__topic")
+    rows = docs.select(*kept, named, token_count(text).alias("__tokens"))
     axes = [(source, sources), (lang, languages), ("__topic", topics)]
     names = ["__s", "__l", "__t"]
     cells = [column.alias(name) for column, name in zip(_cells(docs, axes), names)]

@@ -11,8 +11,8 @@ known from the counts of blocks, plus the row's place in its block, so no task s
 Defined cases: the size of a null text is its row overhead. A null old shard, or one
 outside the new range, has no place to stay, so its rows all move. Null ids are allowed;
 rows that are equal in id and size share a block and are told apart by their place in it.
-Result columns may not clash with input columns: that raises. An empty table gives an
-empty result.
+Result columns replace input columns of the same name. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -136,11 +136,11 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | int = NE
     `capacities` are bytes per new shard, or a number of shards of equal capacity. Rows are
     those of `docs` with old_shard, shard, slot and size.
     """
-    if set(RESULTS) & set(docs.columns):
-        raise ValueError(f"columns {RESULTS} are results")
     spark = docs.sparkSession
+    kept = [name for name in docs.columns if name not in RESULTS]
+    docs = docs.select(*kept, old_shard.cast("int").alias("old_shard"))
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint")
-    rows = docs.withColumn("old_shard", old_shard.cast("int")).withColumn("size", size).withColumn(
+    rows = docs.withColumn("size", size).withColumn(
         "__block", F.pmod(F.xxhash64(F.col(key), F.col("size")), F.lit(blocks)).cast("int"))
     # at most `blocks` rows for each old shard
     found = [Block(*row) for row in rows.groupBy("old_shard", "__block").agg(F.sum("size"), F.count(F.lit(1))).collect()]
@@ -161,9 +161,9 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | int = NE
     moves = F.broadcast(spark.createDataFrame(plan, "__old int, __part int, shard int, __offset bigint"))
     placed = rows.join(moves, rows["old_shard"].eqNullSafe(moves["__old"]) & (rows["__block"] == moves["__part"])).withColumn(
         "__file", F.pmod(F.col("__block"), F.lit(files)))
-    place = F.row_number().over(Window.partitionBy("shard", "__file", "old_shard", "__block").orderBy(key, F.xxhash64(*docs.columns)))
+    place = F.row_number().over(Window.partitionBy("shard", "__file", "old_shard", "__block").orderBy(key, F.xxhash64(*kept)))
     placed = placed.repartition(len(capacities) * files, "shard", "__file").withColumn("slot", F.col("__offset") + place - 1)
-    placed = placed.select(*docs.columns, "old_shard", "slot", "size", "shard")
+    placed = placed.select(*kept, "old_shard", "slot", "size", "shard")
     path = path or scratch_path(spark, "shards")
     (placed.filter(F.col("shard").isin(list(written))) if untouched else placed).write.partitionBy("shard").parquet(path)
     back = spark.read.schema(placed.schema).parquet(path).select(*placed.columns)
@@ -188,4 +188,4 @@ def shard_report(docs: DataFrame) -> DataFrame:
 
 def resharded(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with shard and slot, read from the written shards."""
-    return reshard(docs, old_layout()).rows.select(*docs.columns, "shard", "slot")
+    return reshard(docs, old_layout()).rows.drop("old_shard", "size")
