@@ -335,5 +335,4 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "
 def contamination_report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = find_contamination(docs.select("doc_id", "text"), benchmark, keep=["doc_id"])
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
-                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-                        "spans")
+                        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))

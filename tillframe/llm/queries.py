@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tillframe.llm import decontaminate, jaccard, langid, lm, mixing, packing, pii, resharding, rules, tokens
 from tillframe.llm.common import read
+from tillframe.llm.oracle import ORACLE_SQL
 
 
 def op1_mixture_raking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +51,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predicted_languages(read(spark, sf_dir, "documents"))
 
 
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query for query in (
         op1_mixture_raking, op2_benchmark_decontamination, op3_min_cost_flow_sharding, op4_decision_list_rules, op5_token_counts,
@@ -58,4 +61,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_mixture_raking": mixing.mixture_sql()}
