@@ -69,6 +69,15 @@ def test_the_sales_report_reads_the_lines_twice(spark):
     assert len(re.findall(r"FileScan parquet \[l_", final)) == 2
 
 
+def test_the_full_report_reads_the_orders_twice(spark):
+    """Once for customers and the overview, once for months and hours; the items once."""
+    report = QUERIES["full_report"](spark, SMALL)
+    report.collect()
+    final = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[o_", final)) == 2
+    assert len(re.findall(r"FileScan parquet \[l_", final)) == 1
+
+
 def test_a_hot_product_is_split(spark, settings):
     """A product with half of all lines, too large to broadcast: its partition is cut up, and the result is whole."""
     for name, value in {

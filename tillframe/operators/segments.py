@@ -8,8 +8,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tillframe import constants as fixed
-from tillframe.functions.numbers import score_at_least, score_at_most, unit_total
+from tillframe.functions.numbers import score_at_least, score_at_most
 from tillframe.operators.checks import require_columns
+from tillframe.operators.orders import customer_sums, group_total
 
 
 @dataclass(frozen=True)
@@ -30,30 +31,35 @@ def _as_date(as_of: date | str | Column | None) -> Column:
 
 def rfm_metrics(orders: DataFrame, as_of: date | str | Column | None = None) -> DataFrame:
     """Last order, order count and spend per customer with orders; recency counts to `as_of`."""
-    return _exact_metrics(orders, as_of).withColumn("monetary", F.col("monetary").cast("double"))
-
-
-def _exact_metrics(orders: DataFrame, as_of: date | str | Column | None) -> DataFrame:
-    require_columns(orders, ["customer_id", "order_id", "order_date", "order_total"], "orders")
-    return (
-        orders.groupBy("customer_id")
-        .agg(
-            F.max("order_date").alias("last_order_date"),
-            F.count("order_id").alias("frequency"),
-            unit_total(orders, "order_total").alias("monetary"),
-        )
-        .withColumn(
-            "recency_days",
-            F.datediff(_as_date(as_of), F.col("last_order_date").cast("date")).cast("bigint"),
-        )
+    return _exact_metrics(_sums(orders), as_of).withColumn("monetary", F.col("monetary").cast("double"))
+
+
+def _sums(orders: DataFrame) -> DataFrame:
+    require_columns(orders, ["order_date"], "orders")
+    return customer_sums(orders)
+
+
+def _exact_metrics(sums: DataFrame, as_of: date | str | Column | None) -> DataFrame:
+    return sums.select(
+        "customer_id",
+        "last_order_date",
+        F.col("order_count").alias("frequency"),
+        group_total(sums).alias("monetary"),
+        F.datediff(_as_date(as_of), F.col("last_order_date").cast("date")).cast("bigint").alias("recency_days"),
     )
 
 
 def rfm_scores(orders: DataFrame, as_of: date | str | Column | None = None,
                thresholds: Thresholds = Thresholds()) -> DataFrame:
     """Metrics with a score from 1 to 5 each and their sum."""
+    return rfm_scores_of(_sums(orders), as_of, thresholds)
+
+
+def rfm_scores_of(sums: DataFrame, as_of: date | str | Column | None = None,
+                  thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """The scores, from sums per customer."""
     parts = ("recency_score", "frequency_score", "monetary_score")
-    scored = _exact_metrics(orders, as_of).select(
+    scored = _exact_metrics(sums, as_of).select(
         "*",
         score_at_most(F.col("recency_days"), thresholds.recency, fixed.LOWEST_SCORE).alias(parts[0]),
         score_at_least(F.col("frequency"), thresholds.frequency, fixed.LOWEST_SCORE).alias(parts[1]),
@@ -67,6 +73,12 @@ def rfm_scores(orders: DataFrame, as_of: date | str | Column | None = None,
 def customer_segments(orders: DataFrame, as_of: date | str | Column | None = None,
                       thresholds: Thresholds = Thresholds()) -> DataFrame:
     """Scores with the segment name; customers without orders do not appear."""
-    return rfm_scores(orders, as_of, thresholds).withColumn(
+    return customer_segments_of(_sums(orders), as_of, thresholds)
+
+
+def customer_segments_of(sums: DataFrame, as_of: date | str | Column | None = None,
+                         thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """The segments, from sums per customer."""
+    return rfm_scores_of(sums, as_of, thresholds).withColumn(
         "segment", score_at_least(F.col("rfm_score"), thresholds.segment, fixed.LOWEST_SEGMENT)
     )

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillframe.functions.numbers import cents, mean, percent_growth, unit_total
+from tillframe.functions.numbers import cents, mean, percent_growth
 from tillframe.operators.checks import require_columns
+from tillframe.operators.orders import customer_sums, order_sums, summed_total
 from tillframe.operators.revenue import revenue_sums, summed_revenue
 
 
@@ -17,6 +18,10 @@ def _month(date: str) -> Column:
     return F.month(date).cast("bigint").alias("month")
 
 
+def _hour(date: str) -> Column:
+    return F.hour(date).cast("bigint").alias("hour")
+
+
 def monthly_trends(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
     """Revenue per month, with growth and change against the previous month on record.
 
@@ -45,11 +50,11 @@ def monthly_trends_of(sums: DataFrame) -> DataFrame:
     )
 
 
-def _order_measures(orders: DataFrame) -> list[Column]:
+def _order_measures(sums: DataFrame) -> list[Column]:
     return [
-        F.count("order_id").alias("order_count"),
-        unit_total(orders, "order_total").alias("total"),
-        F.count("order_total").alias("valued"),
+        F.coalesce(F.sum("order_count"), F.lit(0)).alias("order_count"),
+        summed_total(sums).alias("total"),
+        F.sum("valued").alias("valued"),
     ]
 
 
@@ -62,12 +67,16 @@ def _total_and_mean() -> list[Column]:
 
 def sales_overview(orders: DataFrame) -> DataFrame:
     """One row over all orders of every status."""
-    require_columns(orders, ["order_id", "customer_id", "order_total"], "orders")
-    return orders.agg(
-        *_order_measures(orders),
-        F.max("order_total").alias("max_order_value"),
-        F.min("order_total").alias("min_order_value"),
-        F.countDistinct("customer_id").alias("unique_customers"),
+    return sales_overview_of(customer_sums(orders))
+
+
+def sales_overview_of(sums: DataFrame) -> DataFrame:
+    """The overview, from sums per customer."""
+    return sums.agg(
+        *_order_measures(sums),
+        F.max("highest").alias("max_order_value"),
+        F.min("lowest").alias("min_order_value"),
+        F.count("customer_id").alias("unique_customers"),
     ).select(
         F.col("order_count").alias("total_orders"),
         *_total_and_mean(),
@@ -77,11 +86,21 @@ def sales_overview(orders: DataFrame) -> DataFrame:
     )
 
 
+def calendar_sums(orders: DataFrame) -> DataFrame:
+    """Sums per year, month and hour of the day; as many rows as the calendar has, at most."""
+    require_columns(orders, ["order_date"], "orders")
+    return order_sums(orders, _year("order_date"), _month("order_date"), _hour("order_date"))
+
+
 def monthly_sales(orders: DataFrame) -> DataFrame:
-    require_columns(orders, ["order_id", "order_date", "order_total"], "orders")
+    require_columns(orders, ["order_date"], "orders")
+    return monthly_sales_of(order_sums(orders, _year("order_date"), _month("order_date")))
+
+
+def monthly_sales_of(sums: DataFrame) -> DataFrame:
     return (
-        orders.groupBy(_year("order_date"), _month("order_date"))
-        .agg(*_order_measures(orders))
+        sums.groupBy("year", "month")
+        .agg(*_order_measures(sums))
         .select("year", "month", "order_count", *_total_and_mean())
         .orderBy("year", "month")
     )
@@ -89,10 +108,14 @@ def monthly_sales(orders: DataFrame) -> DataFrame:
 
 def hourly_sales(orders: DataFrame) -> DataFrame:
     """Orders per hour of the day; hours without orders are left out."""
-    require_columns(orders, ["order_id", "order_date", "order_total"], "orders")
+    require_columns(orders, ["order_date"], "orders")
+    return hourly_sales_of(order_sums(orders, _hour("order_date")))
+
+
+def hourly_sales_of(sums: DataFrame) -> DataFrame:
     return (
-        orders.groupBy(F.hour("order_date").cast("bigint").alias("hour"))
-        .agg(*_order_measures(orders))
+        sums.groupBy("hour")
+        .agg(*_order_measures(sums))
         .select("hour", "order_count", *_total_and_mean())
         .orderBy("hour")
     )

@@ -13,6 +13,7 @@ from tillframe.constants import TOP_ROWS
 from tillframe.operators import products as by_product
 from tillframe.operators import revenue, segments, trends
 from tillframe.operators.checks import require_tables, union_all
+from tillframe.operators.orders import customer_sums, shared
 from tillframe.operators.rankings import share_of_total
 from tillframe.sources.files import load_table, table_path
 
@@ -65,16 +66,20 @@ def load_store(spark: SparkSession, base: str, schemas: Mapping[str, str] | None
 
 def full_report(tables: Mapping[str, DataFrame | None], n: int = TOP_ROWS,
                 as_of: date | str | Column | None = None) -> dict[str, DataFrame]:
-    """The six analyses of orders with items."""
+    """The six analyses of orders with items.
+
+    The orders are grouped once by customer and once by the calendar, for two analyses each.
+    """
     require_tables(tables, STORE_TABLES)
     orders, items, products = tables["orders"], tables["order_items"], tables["products"]
+    per_customer, calendar = shared(customer_sums(orders)), trends.calendar_sums(orders)
     return {
-        "sales_overview": trends.sales_overview(orders),
-        "monthly_sales_trends": trends.monthly_sales(orders),
+        "sales_overview": trends.sales_overview_of(per_customer),
+        "monthly_sales_trends": trends.monthly_sales_of(calendar),
         "top_products": by_product.top_products(items, products, n),
-        "customer_segments": segments.customer_segments(orders, as_of),
+        "customer_segments": segments.customer_segments_of(per_customer, as_of),
         "category_performance": by_product.category_performance(items, products),
-        "hourly_sales_pattern": trends.hourly_sales(orders),
+        "hourly_sales_pattern": trends.hourly_sales_of(calendar),
     }
 
 
