@@ -138,9 +138,10 @@ def test_op6(spark, texts):
     assert {row.doc_id for row in kept.select("doc_id").collect()} == set(group.values())
 
 
-def test_links_across_blocks(spark, documents, monkeypatch):
+@pytest.mark.parametrize("name, size", [("BLOCK", 16), ("BLOCK_GRAMS", 400)])
+def test_links_across_blocks(spark, documents, monkeypatch, name, size):
     """A group of near copies over several blocks: the same counts as from pairs."""
-    monkeypatch.setattr(jaccard, "BLOCK", 16)
+    monkeypatch.setattr(jaccard, name, size)
     base = [f"word{i}" for i in range(200)]
     docs = documents(*[(i, " ".join(base[:i % 190] + [f"new{i}"] + base[i % 190 + 1:])) for i in range(100)])
     found = jaccard.near_copies(docs).collect()

@@ -8,8 +8,8 @@
    that reach the target recall at the threshold. Classes are shuffled on band hashes, and
    each bucket gives one edge per member, to the bucket's smallest member: as many rows as
    members, not as pairs. Connected buckets make a candidate group.
-3. A candidate group is cut into blocks of at most BLOCK classes, dealt by a hash. A task
-   holds one pair of blocks, intersects the full sets of all their classes by matrix
+3. A candidate group is cut into blocks of about BLOCK classes and at most about BLOCK_GRAMS
+   n-grams, dealt by a hash. A task holds one pair of blocks, intersects the full sets of all their classes by matrix
    products over slices of the n-grams, and emits per class the number of linked rows and
    classes, and a spanning forest of the links. So no group is held whole by a task, and
    pairs are counted exactly without being emitted. Pairs inside a candidate group are all
@@ -34,8 +34,8 @@ from tillframe.llm.common import LETTERS, gram_hashes, map_batches, mixed, store
 from tillframe.llm.components import components
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 192
-#: Classes in a block; a task holds two.
-BLOCK = 2048
+#: Classes, and n-grams, in a block; a task holds two.
+BLOCK, BLOCK_GRAMS = 512, 1 << 21
 _SLICE = 4096
 
 
@@ -84,16 +84,18 @@ def _digest(grams: np.ndarray) -> bytes | None:
 
 
 def _sketches(docs: DataFrame, text: str, n: int, bands: int, rows: int) -> DataFrame:
-    """(id, row, class, node, bands) of every row of (id, row, text); bands is null where there is no word."""
+    """(id, row, class, node, size, bands) of every row of (id, row, text); size counts n-grams, bands is null where there is no word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = utf8(batch.column(2))
             classes: list[bytes | None] = []
+            sizes: list[int] = []
             marks: list[bytes | None] = []
             for first, last, hashes, begins in words_of(texts, LETTERS):
                 sets = [gram_set(hashes[a:b], n) for a, b in zip(begins[:-1], begins[1:])]
                 classes += [_digest(grams) or _digest(np.frombuffer(text, np.uint8)) for grams, text in zip(sets, texts[first:last])]
+                sizes += map(len, sets)
                 full = [grams for grams in sets if len(grams)]
                 folded = iter(signatures(full, bands, rows)) if full else iter(())
                 marks += [next(folded).tobytes() if len(grams) else None for grams in sets]
@@ -102,11 +104,11 @@ def _sketches(docs: DataFrame, text: str, n: int, bands: int, rows: int) -> Data
             nodes = [None if c is None else int.from_bytes(c[:8], "little", signed=True) for c in classes]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(classes, pa.binary()), pa.array(nodes, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                ["id", "row", "class", "node", "bands"])
+                 pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
+                ["id", "row", "class", "node", "size", "bands"])
 
     return map_batches(docs.select("id", "row", F.col(text).alias("text")), run,
-                       f"id {docs.schema['id'].dataType.simpleString()}, row bigint, class binary, node bigint, bands array<bigint>")
+                       f"id {docs.schema['id'].dataType.simpleString()}, row bigint, class binary, node bigint, size bigint, bands array<bigint>")
 
 
 def _grams(docs: DataFrame, n: int) -> DataFrame:
@@ -185,6 +187,8 @@ def _verified(parts: DataFrame, threshold: float) -> DataFrame:
 
         def done() -> Iterator[pa.RecordBatch]:
             nodes, rows, sides = (np.array([row[i] for row in held], np.int64) for i in range(3))
+            if last[1] != last[2] and sides.min() == sides.max():
+                return  # the other block of the pair is empty
             sums, counts, roots = _verify(nodes, rows, sides, [np.frombuffer(row[3], np.uint64) for row in held], threshold)
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (nodes, sums, counts, roots)],
                                              ["node", "linked_rows", "linked_classes", "root"])
@@ -218,13 +222,14 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n:
     classes = stored(
         sketches.filter("class is not null").groupBy("class", "node").agg(
             F.count(F.lit(1)).alias("rows"), F.min(F.struct("id", "row")).alias("first"), F.min("id").alias("copy_id"),
-            F.first("bands").alias("bands")), "classes")
+            F.first("size").alias("size"), F.first("bands").alias("bands")), "classes")
     member = classes.filter("bands is not null").select("node", F.explode("bands").alias("bucket"))
     hubs = member.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("top")).filter("hub < top")
     edges = member.join(hubs.select("bucket", "hub"), "bucket").filter("node <> hub").select(
         F.col("node").alias("child"), F.col("hub").alias("parent")).distinct()
     groups = stored(components(edges, "candidates"), "groups")
-    blocks = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    weight = F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("size") / F.lit(BLOCK_GRAMS))
+    blocks = classes.select("node", "size").join(groups, "node").groupBy("root").agg(F.ceil(weight).cast("int").alias("blocks"))
     wanted = classes.select("node", "class", "rows", "first").join(groups, "node").join(blocks, "root").select(
         "node", "class", "rows", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
         F.col("first.id").alias("__id"), F.col("first.row").alias("__row"))
@@ -236,7 +241,7 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n:
     checked = stored(_verified(parts.repartition("root", "one", "two").sortWithinPartitions("root", "one", "two"), threshold), "links")
     counts = checked.groupBy("node").agg(F.sum("linked_rows").alias("linked_rows"), F.sum("linked_classes").alias("linked_classes"))
     joined = components(checked.filter("node <> root").select(F.col("node").alias("child"), F.col("root").alias("parent")), "joined")
-    labelled = classes.drop("bands").join(joined, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labelled = classes.drop("bands", "size").join(joined, "node", "left").join(counts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     leaders = labelled.groupBy("root").agg(F.min("first").alias("leader"), F.min("copy_id").alias("class_id"))
     found = labelled.join(leaders, "root").select(
         "class", "copy_id", "class_id", "leader", (F.col("rows") - 1 + F.coalesce("linked_rows", F.lit(0))).alias("n_links"),
