@@ -13,6 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tillframe.sources.files import scratch_path
 
@@ -47,8 +48,14 @@ def crc32_of_id(name: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(0))
 
 
+def without_columns(df: DataFrame, *results: str) -> list[str]:
+    """The columns of `df` but for those that carry a result's name in any case."""
+    taken = {name.lower() for name in results}
+    return [name for name in df.columns if name.lower() not in taken]
+
+
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-                schema: str) -> DataFrame:
+                schema: str | StructType) -> DataFrame:
     importable(df.sparkSession)
     return df.mapInArrow(function, schema)
 

@@ -48,8 +48,68 @@ NEAR_COPIES = f"""
     FROM d JOIN joined USING (r) LEFT JOIN sets USING (r) LEFT JOIN copies USING (class) LEFT JOIN links USING (r)
 """
 
+_LEVEL = "list_reduce([y, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))"
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of an ASCII text, bit by bit."""
+    codes = f"list_transform(string_split({text}, ''), lambda c: CAST(ascii(c) AS BIGINT))"
+    step = _LEVEL.replace("[y,", "[xor(crc, x),")
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda crc, x: {step}), CAST(4294967295 AS BIGINT))"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+
+_HEAD = " || ".join(_field(f"CAST({name} AS VARCHAR)") for name in ("doc_id", "source", "lang", "n_chars"))
+
+MERKLE = f"""
+    WITH RECURSIVE leaves AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(':' || source, '') AS tree, sha256({_HEAD} || {_field("text")}) AS leaf,
+               CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN sha256({_HEAD} || {_field(_LOWER)}) END AS changed
+        FROM documents
+    ), placed AS MATERIALIZED (
+        SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY tree) AS size
+        FROM leaves
+    ), nodes(tree, level, place, size, digest) AS (
+        SELECT tree, 0, place, size, leaf FROM placed
+        UNION ALL
+        SELECT tree, level + 1, place // 16, (min(size) + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+        FROM nodes WHERE size > 1 GROUP BY tree, level, place // 16
+    ), subroots AS MATERIALIZED (
+        SELECT tree, digest, row_number() OVER (ORDER BY tree) - 1 AS place, count(*) OVER () AS size FROM nodes WHERE size = 1
+    ), over_sources(level, place, size, digest) AS (
+        SELECT 0, place, size, digest FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 16, (min(size) + 15) // 16, sha256(string_agg(digest, '' ORDER BY place))
+        FROM over_sources WHERE size > 1 GROUP BY level, place // 16
+    ), runs AS MATERIALIZED (
+        SELECT tree, level, place // 16 AS parent, list(digest ORDER BY place) AS run FROM nodes GROUP BY ALL
+    ), runs_over AS MATERIALIZED (
+        SELECT level, place // 16 AS parent, list(digest ORDER BY place) AS run FROM over_sources GROUP BY ALL
+    ), inside(r, tree, level, place, size, own, proof) AS (
+        SELECT r, tree, 0, place, size, coalesce(changed, leaf), '' FROM placed
+        UNION ALL
+        SELECT r, tree, level + 1, place // 16, (size + 15) // 16,
+               sha256(array_to_string(run[1:place % 16] || [own] || run[place % 16 + 2:], '')),
+               proof || array_to_string(run[1:place % 16] || run[place % 16 + 2:], '')
+        FROM (SELECT i.*, u.run FROM inside i JOIN runs u ON u.tree = i.tree AND u.level = i.level AND u.parent = i.place // 16 WHERE i.size > 1)
+    ), outside(r, level, place, size, own, proof) AS (
+        SELECT r, 0, s.place, s.size, own, proof FROM inside JOIN subroots s USING (tree) WHERE inside.size = 1
+        UNION ALL
+        SELECT r, level + 1, place // 16, (size + 15) // 16,
+               sha256(array_to_string(run[1:place % 16] || [own] || run[place % 16 + 2:], '')),
+               proof || array_to_string(run[1:place % 16] || run[place % 16 + 2:], '')
+        FROM (SELECT o.*, u.run FROM outside o JOIN runs_over u ON u.level = o.level AND u.parent = o.place // 16 WHERE o.size > 1)
+    )
+    SELECT doc_id, leaf, s.digest AS subroot, t.digest AS root, sha256(o.proof) AS proof_sha256, o.own AS folded_root, o.own = t.digest AS verified
+    FROM placed p JOIN outside o ON o.r = p.r AND o.size = 1 JOIN subroots s ON s.tree = p.tree, (SELECT digest FROM over_sources WHERE size = 1) t
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_mixture_raking": mixture_sql(),
     "op2_benchmark_decontamination": CONTAMINATION,
     "op6_ngram_jaccard_join": NEAR_COPIES,
+    "op12_merkle_manifest": MERKLE,
 }
