@@ -80,7 +80,7 @@ def test_random_strings_in_sensitive_context_are_reported_and_words_are_not(spar
         at = text.find(" ", len(text) // 2) + 1
         planted[i] = (f"{text[:at]}Authorization bearer {key} {text[at:]}", at + 21)
         plain[1000 + i] = f"{text[:at]}Authorization bearer {key} {text[at:]}".replace("Authorization bearer", "and then")
-        words = draw.choices(re.findall("[a-z]{3,9}", text), k=4)
+        words = draw.choices(re.findall("[a-z]{3,9}", text) or ["some"], k=4)
         plain[2000 + i] = f"{text[:at]}session {words[0]}{words[1].capitalize()}{words[2].capitalize()}{words[3].capitalize()} {text[at:]}"
     docs = documents(*[(i, text) for i, (text, _) in planted.items()], *plain.items())
     found = {row.doc_id: row.secrets for row in secret_scan.find_secrets(docs).collect()}
@@ -231,7 +231,7 @@ def plain_alignment(texts):
 
 
 STRANGE = ["a", " a", "a  b\n\n c\t", "<s> </s> <|endoftext|> <unk> <0x41>", "▁ under", "héllo ñandú 日本語 🤖 é", "\x00\x01​", "don't can't 123456 1,000.50",
-           " " * 50 + "x", "\r\n\r\n", None, "", "naïve café — “quotes”", "﻿mark"]
+           " " * 50 + "x", "\r\n\r\n", None, "", "naïve café — “quotes”", "ends in a space ", " begins with one", " ", "\n", "\tx y", "﻿mark"]
 
 
 def test_op13(spark):
@@ -249,13 +249,18 @@ def test_alignment_of_odd_texts(documents, table_rows):
     assert {row.doc_id: tuple(getattr(row, name) for name in alignment.RESULTS) for row in found} == dict(enumerate(expected))
 
 
-def test_long_texts_are_cut_where_both_tokenizers_cut(monkeypatch):
-    text = "".join(STRANGE[i % 10] + " and then some words follow here " for i in range(60)).replace("▁", "")
+def test_chunks_are_cut_where_both_tokenizers_cut(monkeypatch):
+    text = " ".join(STRANGE[i % 10] + " and  then some\n words\u3000 follow \t here" for i in range(60)).replace("▁", "")
+    for each in (text, " " + text, "\n x", "x ", "  ", "plain words only"):
+        assert "".join(" " + key for key in alignment.chunks(each)) == " " + each
     pair = alignment.Pair.at(alignment.default_files())
-    whole = pair.encode([text])
-    monkeypatch.setattr(alignment.parts, "__defaults__", (50,))
-    assert len(alignment.parts(text)) > 20 and "".join(alignment.parts(text)) == text
-    assert pair.encode([text]) == whole and whole[0][0]
+    found = [[row[:3] for row in alignment.align_texts(pair, [text, "", "short one", text])]]
+    monkeypatch.setattr(alignment, "RUN", 50)
+    monkeypatch.setattr(alignment, "CHUNKS", 30)
+    found.append([row[:3] for row in alignment.align_texts(pair, [text, "", "short one", text])])
+    assert found[0] == found[1]
+    assert found[0] == [(row[0], row[1], row[6]) for row in plain_alignment([text, "", "short one", text])]
+    pair.forget()
 
 
 def test_pointer_doubling_finds_groups():

@@ -7,6 +7,9 @@ one of B before one of A where they end together, and successors are doubled unt
 nothing changes: each token then points to the last token of its component, which is the group between two
 shared cuts. Each group has one link, its last A and last B token.
 
+Texts are encoded chunk by chunk, cut before single spaces, where neither tokenizer has a token across; a bounded cache in
+each worker holds the ids of chunks it has met.
+
 The links of each text are kept once, as 32-bit codes of id pairs, in a table in the shared scratch folder, so nothing is
 encoded twice. Counts of pairs are summed per task before the shuffle. For the way back,
 pairs at least as frequent as a threshold, which a histogram of their counts (64 rows) sets so that at most `table_rows`
@@ -15,7 +18,8 @@ with the counts by pair. The highest count of each B id is bounded by the vocabu
 
 Defined cases: null and empty texts, and texts whose tokens give other bytes (B reads U+2581 as a space), have no tokens:
 zeros, and an empty groups_sha256. Special tokens in a text are plain text. Ties for the highest count all count as highest. Rows are answered
-one by one, repeated or null ids notwithstanding. Long texts are encoded in parts that are cut only where both tokenizers cut.
+one by one, repeated or null ids notwithstanding. Long texts are aligned in
+pieces that are cut only where both tokenizers cut.
 Result columns replace input columns of the same name, whatever their case. An empty table gives an empty result.
 """
 
@@ -25,7 +29,8 @@ import hashlib
 import json
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +43,15 @@ FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 TABLE_ROWS = 1 << 20
 #: Pairs are one number, a * 2**SHIFT + b.
 SHIFT = 15
-#: Characters of a text that are encoded in one go, and of the texts that are aligned in one go.
-PART, RUN = 1 << 18, 1 << 20
+#: Characters of texts, and rows, that are aligned in one go.
+RUN, ROWS = 1 << 19, 1 << 9
+#: Chunks whose tokens a worker keeps.
+CHUNKS = 1 << 18
 #: Links that a task sorts at once when it counts pairs.
-LINKS = 1 << 21
-#: Before a single space between two ASCII letters neither tokenizer joins.
-_CUT = re.compile("(?<=[A-Za-z])(?= [A-Za-z])")
+LINKS = 1 << 20
+#: A space beside other white space (U+180E is white space to some), and the places where chunks begin.
+_WIDE = re.compile("[\\s\u180e] | [\\s\u180e]")
+_CUT = re.compile("(?<=[^\\s\u180e])(?= [^\\s\u180e])")
 RESULTS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -60,16 +68,14 @@ def byte_values() -> dict[str, int]:
     return {chr(byte): byte for byte in plain} | {chr(256 + i): byte for i, byte in enumerate(rest)}
 
 
-def parts(text: str, size: int = PART) -> list[str]:
-    """A text in parts of about `size` characters, cut where no token of either tokenizer reaches across."""
-    found, start = [], 0
-    while len(text) - start > size:
-        cut = _CUT.search(text, start + size)
-        if cut is None:
-            break
-        found.append(text[start:cut.start()])
-        start = cut.start()
-    return [*found, text[start:]]
+def chunks(text: str) -> list[str]:
+    """Space + text in chunks that each begin with a space, which is left out here.
+
+    Neither tokenizer has a token across the start of a chunk: it is a single space between two characters that are no white space.
+    """
+    if _WIDE.search(text) is None and text[:1] != " " and text[-1:] != " ":
+        return text.split(" ")
+    return [chunk[1:] for chunk in _CUT.split(" " + text)]
 
 
 class Pair:
@@ -100,6 +106,7 @@ class Pair:
             raise ValueError("a vocabulary has an entry without bytes")
         self.length_a, self.length_b = (np.array([len(x) for x in table], np.int64) for table in (self.bytes_a, self.bytes_b))
         # the text of an id with what follows it: "," inside a side; "|" between the sides, ";" between groups
+        self.forget()
         self.written = [f"{i}{end}" for size, end in ((len(self.bytes_a), ","), (len(self.bytes_a), "|"),
                                                       (len(self.bytes_b), ","), (len(self.bytes_b), ";")) for i in range(size)]
 
@@ -109,22 +116,48 @@ class Pair:
             cls._open[files] = cls(*files)
         return cls._open[files]
 
-    def encode(self, texts: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids of A and of B for each text; both empty where the bytes differ or there is no text."""
-        pieces = [parts(text) for text in texts]
-        flat = [(i == 0, part) for text in pieces for i, part in enumerate(text)]
-        of_a = iter(self.a.encode_batch_fast([" " + part if first else part for first, part in flat], add_special_tokens=False))
-        of_b = iter(self.b.encode([part if first else part[1:] for first, part in flat], num_threads=1))  # later parts begin with the space
-        found = []
-        for text, cut in zip(texts, pieces):
-            a, b = [], []
-            for _ in cut:
-                a += next(of_a).ids
-                b += next(of_b)
-            whole = b" " + text.encode()
-            same = text and b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
-            found.append((a, b) if same else ([], []))
-        return found
+    def forget(self) -> None:
+        """Start the cache of chunks anew: their places, and ids of both sides one after the other."""
+        self.place: dict[str, int] = {}
+        self.ids = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+        self.faithful = np.empty(0, bool)
+
+    def learn(self, keys: list[str]) -> None:
+        """Encode the chunks that the cache lacks."""
+        new = [key for key in dict.fromkeys(keys) if key not in self.place]
+        if len(self.place) + len(new) > CHUNKS or len(self.ids[0]) > 4 * CHUNKS:
+            self.forget()
+            new = list(dict.fromkeys(keys))
+        if not new:
+            return
+        a = [found.ids for found in self.a.encode_batch_fast([" " + key for key in new], add_special_tokens=False)]
+        b = self.b.encode(new, num_threads=1)
+        same = [self.spelled(x, y, b" " + key.encode()) for key, x, y in zip(new, a, b)]
+        for side, found in enumerate((a, b)):
+            self.ids[side] = np.concatenate([self.ids[side], np.fromiter((i for x in found for i in x), np.int64)])
+            self.ends[side] = np.concatenate([self.ends[side], self.ends[side][-1] + np.cumsum([len(x) for x in found])])
+        self.faithful = np.append(self.faithful, same)
+        first = len(self.place)
+        self.place.update((key, first + i) for i, key in enumerate(new))
+
+    def spelled(self, a: list[int], b: list[int], whole: bytes) -> bool:
+        return b"".join(map(self.bytes_a.__getitem__, a)) == whole and b"".join(map(self.bytes_b.__getitem__, b)) == whole
+
+    def encode(self, pieces: list[list[str]]) -> tuple[tuple[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray], np.ndarray]:
+        """For lists of chunks: ids of A and how many for each list, the same of B, and whether all bytes are those of the chunks."""
+        keys = list(chain.from_iterable(pieces))
+        self.learn(keys)
+        at = np.fromiter(map(self.place.__getitem__, keys), np.int64, len(keys))
+        bounds = np.cumsum([0, *map(len, pieces)])
+        sides = []
+        for ids, ends in zip(self.ids, self.ends):
+            sizes = ends[at + 1] - ends[at]
+            until = np.cumsum(sizes)
+            flat = ids[np.repeat(ends[at] - until + sizes, sizes) + np.arange(until[-1] if len(until) else 0)]
+            sides.append((flat, np.diff(np.append(0, until)[bounds])))
+        wrong = np.append(0, np.cumsum(~self.faithful[at]))
+        return *sides, np.diff(wrong[bounds]) == 0
 
 
 def terminal_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,14 +177,14 @@ def terminal_tokens(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray,
         successor = doubled
 
 
-def aligned(pair: Pair, texts: list[str]) -> list[tuple[int, int, int, str, np.ndarray]]:
-    """(n_a, n_b, n_groups, groups_sha256, links) of each text, all texts on one line of bytes."""
-    encoded = pair.encode(texts)
-    counts_a, counts_b = (np.array([len(x[side]) for x in encoded], np.int64) for side in (0, 1))
-    a, b = (np.fromiter((i for x in encoded for i in x[side]), np.int64, int(counts.sum())) for side, counts in ((0, counts_a), (1, counts_b)))
-    del encoded
+def aligned(pair: Pair, pieces: list[list[str]]) -> list[tuple[int, int, str, np.ndarray] | None]:
+    """(n_a, n_b, groups as text, links) of each list of chunks, all on one line of bytes; None where bytes differ."""
+    (a, counts_a), (b, counts_b), same = pair.encode(pieces)
+    if not same.all():  # leave out what is not on the line
+        right = iter(aligned(pair, [piece for piece, good in zip(pieces, same) if good]))
+        return [next(right) if good else None for good in same]
     if not len(a):
-        return [(0, 0, 0, "", np.empty(0, np.int32)) for _ in texts]
+        return []
     ends_a, ends_b = np.cumsum(pair.length_a[a]), np.cumsum(pair.length_b[b])
     of_a, of_b = terminal_tokens(ends_a, ends_b)
     last_b = np.flatnonzero(of_b == np.arange(len(b)))  # the B tokens that end groups, in order: one link each
@@ -163,35 +196,68 @@ def aligned(pair: Pair, texts: list[str]) -> list[tuple[int, int, int, str, np.n
     code_a[last_a] += size_a
     code_b[last_b] += size_b
     order = np.empty(len(a) + len(b), np.int64)
-    before_b, until_a = np.searchsorted(group_b, np.arange(len(last_b))), np.searchsorted(group_a, np.arange(len(last_b)), "right")
+    groups = np.arange(len(last_b))
+    before_b, until_a = np.searchsorted(group_b, groups), np.searchsorted(group_a, groups, "right")
     order[np.arange(len(a)) + before_b[group_a]] = code_a
     order[np.arange(len(b)) + until_a[group_b]] = code_b
-    first_a, first_b = np.cumsum(counts_a) - counts_a, np.cumsum(counts_b) - counts_b
-    groups_at = np.searchsorted(last_b, np.append(first_b, len(b)))
-    found = []
-    for i in range(len(texts)):
-        if not counts_a[i]:
-            found.append((0, 0, 0, "", links[:0]))
-            continue
-        start = first_a[i] + first_b[i]
-        codes = order[start:start + counts_a[i] + counts_b[i]].tolist()
-        written = "".join(map(pair.written.__getitem__, codes))[:-1]
-        found.append((int(counts_a[i]), int(counts_b[i]), int(groups_at[i + 1] - groups_at[i]), hashlib.sha256(written.encode()).hexdigest(),
-                      links[groups_at[i]:groups_at[i + 1]]))
-    return found
-
-
-def _runs(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in runs of about RUN characters."""
-    run, size = [], 0
+    first_a, first_b = (np.cumsum(np.append(0, counts)) for counts in (counts_a, counts_b))
+    groups_at = np.searchsorted(last_b, first_b)
+    return [(int(counts_a[i]), int(counts_b[i]),
+             "".join(map(pair.written.__getitem__, order[first_a[i] + first_b[i]:first_a[i + 1] + first_b[i + 1]].tolist())),
+             links[groups_at[i]:groups_at[i + 1]]) for i in range(len(pieces))]
+
+
+class Alignment:
+    """The result of one text, from those of its pieces."""
+
+    def __init__(self):
+        self.n_a = self.n_b = 0
+        self.hash, self.last, self.links, self.whole = hashlib.sha256(), "", [], True
+
+    def add(self, found: tuple[int, int, str, np.ndarray] | None) -> None:
+        if found is None:
+            self.whole = False
+        if not self.whole:
+            self.links = []
+            return
+        self.n_a, self.n_b = self.n_a + found[0], self.n_b + found[1]
+        self.hash.update((self.last + found[2][:-1]).encode())  # without the mark after the last group
+        self.last = found[2][-1]
+        self.links.append(found[3])
+
+    def result(self) -> tuple[int, int, str, np.ndarray]:
+        if not self.whole or not self.links:
+            return 0, 0, "", np.empty(0, np.int32)
+        return self.n_a, self.n_b, self.hash.hexdigest(), np.concatenate(self.links)
+
+
+def align_texts(pair: Pair, texts: Iterable[str]) -> Iterator[tuple[int, int, str, np.ndarray]]:
+    """(n_a, n_b, groups_sha256, links) of each text. Texts are aligned together in runs of about RUN characters, long ones in pieces."""
+    run: list[tuple[Alignment, list[str]]] = []
+    waiting, size = [], 0
+
+    def flush() -> None:
+        for (alignment, _), found in zip(run, aligned(pair, [piece for _, piece in run])):
+            alignment.add(found)
+        run.clear()
+
     for text in texts:
-        if run and size + len(text) > RUN:
-            yield run
-            run, size = [], 0
-        run.append(text)
-        size += len(text)
-    if run:
-        yield run
+        now, piece = Alignment(), []
+        waiting.append(now)
+        for key in chunks(text) if text else ():
+            piece.append(key)
+            size += len(key) + 1
+            if size >= RUN:
+                run.append((now, piece))
+                flush()
+                piece, size = [], 0
+        if piece:
+            run.append((now, piece))
+        if not run:
+            yield from (x.result() for x in waiting)
+            waiting = []
+    flush()
+    yield from (x.result() for x in waiting)
 
 
 def _list_of(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -209,18 +275,21 @@ def alignments(docs: DataFrame, files: tuple[str, str] | None = None, text: str
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair.at(files)
-        for batch in batches:
-            done = 0
-            for run in _runs([value or "" for value in batch.column(columns.index(text)).to_pylist()]):
-                n_a, n_b, groups, digests, links = zip(*aligned(pair, run))
-                rows = batch.slice(done, len(run))
-                yield pa.RecordBatch.from_arrays([*rows.columns[:len(kept)], *[pa.array(x, pa.int64()) for x in (n_a, n_b, groups)],
-                                                  pa.array(digests, pa.string()), _list_of(links)], schema.names)
-                done += len(run)
+        for rows in _slices(batches, ROWS):
+            n_a, n_b, digests, links = zip(*align_texts(pair, (value or "" for value in rows.column(columns.index(text)).to_pylist())))
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns[:len(kept)], *[pa.array(x, pa.int64()) for x in (n_a, n_b, [len(x) for x in links])],
+                 pa.array(digests, pa.string()), _list_of(links)], schema.names)
 
     return map_batches(docs.select(*[docs[f"`{name}`"] for name in columns]), align, schema)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+
+
 def pair_counts(links: DataFrame) -> DataFrame:
     """(pair, n): how many links hold each id pair, from a column `links`; summed in the tasks first."""
 
@@ -233,7 +302,7 @@ def pair_counts(links: DataFrame) -> DataFrame:
             both, where = np.unique(np.concatenate([pairs, new]), return_inverse=True)
             return both, np.bincount(where, np.concatenate([counts, n]), len(both)).astype(np.int64)
 
-        for batch in batches:
+        for batch in _slices(batches, ROWS):
             values = batch.column(0).flatten().to_numpy(zero_copy_only=False)
             waiting.append(values)
             size += len(values)
@@ -279,7 +348,7 @@ def with_pair_counts(found: DataFrame, table_rows: int = TABLE_ROWS) -> DataFram
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, numbers, best = shared.value
-        for batch in batches:
+        for batch in _slices(batches, ROWS):
             lists = batch.column(len(kept))
             sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
             links = lists.flatten().to_numpy(zero_copy_only=False)
