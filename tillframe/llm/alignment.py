@@ -29,6 +29,7 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -44,9 +45,9 @@ TABLE_ROWS = 1 << 20
 #: Pairs are one number, a * 2**SHIFT + b.
 SHIFT = 15
 #: Characters of texts, and rows, that are aligned in one go.
-RUN, ROWS = 1 << 19, 1 << 9
-#: Chunks whose tokens a worker keeps.
-CHUNKS = 1 << 18
+RUN, ROWS = 1 << 18, 1 << 9
+#: Chunks whose tokens a worker keeps, and those encoded in one call.
+CHUNKS, AT_ONCE = 1 << 18, 1 << 11
 #: Links that a task sorts at once when it counts pairs.
 LINKS = 1 << 20
 #: A space beside other white space (U+180E is white space to some), and the places where chunks begin.
@@ -119,7 +120,7 @@ class Pair:
     def forget(self) -> None:
         """Start the cache of chunks anew: their places, and ids of both sides one after the other."""
         self.place: dict[str, int] = {}
-        self.ids = [np.empty(0, np.int64), np.empty(0, np.int64)]
+        self.ids = [np.empty(0, np.int32), np.empty(0, np.int32)]
         self.ends = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
         self.faithful = np.empty(0, bool)
 
@@ -131,12 +132,19 @@ class Pair:
             new = list(dict.fromkeys(keys))
         if not new:
             return
-        a = [found.ids for found in self.a.encode_batch_fast([" " + key for key in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
-        same = [self.spelled(x, y, b" " + key.encode()) for key, x, y in zip(new, a, b)]
-        for side, found in enumerate((a, b)):
-            self.ids[side] = np.concatenate([self.ids[side], np.fromiter((i for x in found for i in x), np.int64)])
-            self.ends[side] = np.concatenate([self.ends[side], self.ends[side][-1] + np.cumsum([len(x) for x in found])])
+        sides, sizes, same = (array("i"), array("i")), ([], []), []
+        for first in range(0, len(new), AT_ONCE):
+            some = new[first:first + AT_ONCE]
+            of_a = self.a.encode_batch_fast([" " + key for key in some], add_special_tokens=False)
+            for key, x, b in zip(some, of_a, self.b.encode(some, num_threads=1)):
+                a = x.ids
+                same.append(self.spelled(a, b, b" " + key.encode()))
+                for side, size, found in zip(sides, sizes, (a, b)):
+                    side.extend(found)
+                    size.append(len(found))
+        for i in (0, 1):
+            self.ids[i] = np.concatenate([self.ids[i], np.frombuffer(sides[i], np.int32)])
+            self.ends[i] = np.concatenate([self.ends[i], self.ends[i][-1] + np.cumsum(sizes[i])])
         self.faithful = np.append(self.faithful, same)
         first = len(self.place)
         self.place.update((key, first + i) for i, key in enumerate(new))
