@@ -10,7 +10,9 @@ from tillframe.operators import revenue
 from tillframe.plans.catalog import QUERIES
 from tillframe.plans.reports import run
 
-WRITING = {"file_size_report", "storage_format_report", "timed_report", *(name for name in QUERIES if "_roundtrip" in name)}
+# these run jobs while they are built
+WRITING = {"file_size_report", "storage_format_report", "timed_report", "frequent_products",
+           *(name for name in QUERIES if "_roundtrip" in name or name.startswith(("salted_", "bucketed_")))}
 
 
 def plan(df):

@@ -29,8 +29,8 @@ def units(df: DataFrame, name: str) -> Column:
 
     Sums and products of whole numbers do not depend on the order of the rows, and
     stay primitive, unlike decimals, in generated code. Nothing is rounded: a double
-    with more than PLACES places raises an error that names the column (give such
-    values as decimals), and so does a number beyond 64 bits.
+    with more than PLACES places raises an error that names the column, and so does a
+    number beyond 64 bits; `operators.doubles` has the analyses for such values.
     """
     column, kind = F.col(name), df.schema[name].dataType
     places = places_of(kind)

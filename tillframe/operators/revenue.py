@@ -9,32 +9,38 @@ from tillframe.functions.numbers import (
     LOW_BITS, PLACES, amount, cents, high_sum, joined, low_sum, mean, places_of, quantity, scaled, units,
 )
 from tillframe.operators.checks import require_columns
+from tillframe.operators.hotkeys import HotKeys, salted_join
 
 
-def revenue_places(orders: DataFrame, products: DataFrame) -> int:
+def revenue_places(orders: DataFrame, products: DataFrame | None) -> int:
     """Decimal places of quantity times price."""
     require_columns(orders, ["product_id", "quantity"], "orders")
-    require_columns(products, ["product_id", "price"], "products")
-    return places_of(orders.schema["quantity"].dataType) + places_of(products.schema["price"].dataType)
+    priced = orders if products is None else products
+    require_columns(priced, ["product_id", "price"], "products")
+    return places_of(orders.schema["quantity"].dataType) + places_of(priced.schema["price"].dataType)
 
 
-def priced_lines(orders: DataFrame, products: DataFrame, *keep: str) -> DataFrame:
+def priced_lines(orders: DataFrame, products: DataFrame | None, *keep: str, hot: HotKeys | None = None) -> DataFrame:
     """The columns `keep` of each order line, with its quantity, price and revenue in whole units.
 
-    Revenue is the unrounded product; it counts 10**-revenue_places.
+    Revenue is the unrounded product; it counts 10**-revenue_places. Without products, the lines
+    carry their price, as those of `sources.layout` do, and nothing is joined.
 
     The join is left to Spark: products are broadcast while their size allows it,
-    and beyond that adaptive execution splits the partitions of a hot product.
+    and beyond that adaptive execution splits the partitions of a hot product. Where neither
+    helps, `hot` (from `hotkeys.hot_keys`) deals the lines of hot products over more tasks.
     """
     require_columns(orders, ["product_id", "quantity", *keep], "orders")
-    require_columns(products, ["product_id", "price"], "products")
-    prices = products.select("product_id", units(products, "price").alias("price_units"))
-    lines = orders.select(
-        "product_id", *keep, units(orders, "quantity").alias("quantity_units")
-    )
-    return lines.join(prices, "product_id").withColumn(
-        "revenue_units", F.col("quantity_units") * F.col("price_units")
-    )
+    quantities = ["product_id", *keep, units(orders, "quantity").alias("quantity_units")]
+    if products is None:
+        require_columns(orders, ["price"], "orders")
+        joined_lines = orders.select(*quantities, units(orders, "price").alias("price_units"))
+    else:
+        require_columns(products, ["product_id", "price"], "products")
+        prices = products.select("product_id", units(products, "price").alias("price_units"))
+        lines = orders.select(*quantities)
+        joined_lines = salted_join(lines, prices, hot) if hot else lines.join(prices, "product_id")
+    return joined_lines.withColumn("revenue_units", F.col("quantity_units") * F.col("price_units"))
 
 
 def line_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
@@ -49,8 +55,8 @@ def line_revenue(orders: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
-                 headers: DataFrame | None = None) -> DataFrame:
+def revenue_sums(orders: DataFrame, products: DataFrame | None, keys: list[str],
+                 headers: DataFrame | None = None, hot: HotKeys | None = None) -> DataFrame:
     """Partial sums to be grouped further by the keys: `high`, `low`, `priced` and `lines`.
 
     Without headers, `orders` carries the keys and the sums are still single lines.
@@ -65,7 +71,7 @@ def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
     places = {"places": revenue_places(orders, products)}
     if headers is None:
         order_id = ["order_id"] if "order_id" in orders.columns else []
-        return priced_lines(orders, products, *keys, *order_id).select(
+        return priced_lines(orders, products, *keys, *order_id, hot=hot).select(
             *keys,
             F.shiftright(revenue, LOW_BITS).alias("high", metadata=places),
             revenue.bitwiseAND(F.lit(2**LOW_BITS - 1)).alias("low"),
@@ -74,7 +80,7 @@ def revenue_sums(orders: DataFrame, products: DataFrame, keys: list[str],
         )
     require_columns(headers, ["order_id", *keys], "headers")
     per_order = (
-        priced_lines(orders, products, "order_id")
+        priced_lines(orders, products, "order_id", hot=hot)
         .groupBy("order_id")
         .agg(
             high_sum(revenue).alias("high"),
@@ -95,9 +101,10 @@ def summed_revenue(sums: DataFrame) -> Column:
     return joined(F.sum("high"), F.sum("low"), sums.schema["high"].metadata["places"])
 
 
-def customer_revenue(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+def customer_revenue(orders: DataFrame, products: DataFrame | None, headers: DataFrame | None = None,
+                     hot: HotKeys | None = None) -> DataFrame:
     """(customer_id, revenue) of every customer who bought something."""
-    sums = revenue_sums(orders, products, ["customer_id"], headers)
+    sums = revenue_sums(orders, products, ["customer_id"], headers, hot)
     return sums.groupBy("customer_id").agg(summed_revenue(sums).cast("double").alias("revenue"))
 
 
@@ -132,11 +139,11 @@ def customer_revenue_top(orders: DataFrame, products: DataFrame, n: int = TOP_RO
     return top.orderBy("customer_id")
 
 
-def top_customers(orders: DataFrame, products: DataFrame, n: int = TOP_ROWS,
-                  headers: DataFrame | None = None) -> DataFrame:
+def top_customers(orders: DataFrame, products: DataFrame | None, n: int = TOP_ROWS,
+                  headers: DataFrame | None = None, hot: HotKeys | None = None) -> DataFrame:
     """The n customers with most revenue; `order_count` counts order lines."""
     require_columns(orders, ["order_id"], "orders")
-    return top_customers_of(revenue_sums(orders, products, ["customer_id"], headers), n)
+    return top_customers_of(revenue_sums(orders, products, ["customer_id"], headers, hot), n)
 
 
 def top_customers_of(sums: DataFrame, n: int = TOP_ROWS) -> DataFrame:

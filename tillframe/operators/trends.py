@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillframe.functions.numbers import cents, mean, percent_growth
 from tillframe.operators.checks import require_columns
+from tillframe.operators.hotkeys import HotKeys
 from tillframe.operators.orders import customer_sums, order_sums, summed_total
 from tillframe.operators.revenue import revenue_sums, summed_revenue
 
@@ -22,13 +23,14 @@ def _hour(date: str) -> Column:
     return F.hour(date).cast("bigint").alias("hour")
 
 
-def monthly_trends(orders: DataFrame, products: DataFrame, headers: DataFrame | None = None) -> DataFrame:
+def monthly_trends(orders: DataFrame, products: DataFrame | None, headers: DataFrame | None = None,
+                   hot: HotKeys | None = None) -> DataFrame:
     """Revenue per month, with growth and change against the previous month on record.
 
     The first month has no growth and a change of zero. The window spans one row
     per calendar month, so its size is bounded by the calendar, not by the data.
     """
-    return monthly_trends_of(revenue_sums(orders, products, ["order_date"], headers))
+    return monthly_trends_of(revenue_sums(orders, products, ["order_date"], headers, hot))
 
 
 def monthly_trends_of(sums: DataFrame) -> DataFrame:

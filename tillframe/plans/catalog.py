@@ -7,16 +7,19 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tillframe.functions import exact
 from tillframe.functions.numbers import cents
 from tillframe.functions.text import readable_bytes
-from tillframe.operators import checks, products as by_product, rankings, revenue, segments, trends
+from tillframe.operators import checks, doubles, hotkeys, products as by_product, rankings, revenue, segments, trends
 from tillframe.plans import reports, storage
-from tillframe.sources import files, synthetic, tables
+from tillframe.sources import files, layout, synthetic, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SEED = 42
 AS_OF = "2001-08-02"
+#: Tasks that the salted joins aim to fill evenly; a product with more than a two-thousandth of all lines is hot.
+HOT_TASKS = 1000
 GENERATED_AS_OF = "2024-01-01"
 SCALED_THRESHOLDS = segments.Thresholds(
     frequency=((14, 5), (11, 4), (9, 3), (6, 2)),
@@ -258,6 +261,43 @@ def storage_format_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("format", "error", measured.alias("measured"), "row_count", "sum_l_quantity", "sum_l_extendedprice")
 
 
+def frequent_products(spark: SparkSession, sf: str) -> DataFrame:
+    """The products with a tenth more lines than an even deal over all products would give each."""
+    items = tables.order_items(spark, sf)
+    share = 1.1 / max(1, tables.products(spark, sf).count())
+    return hotkeys.frequent_key_report(items, "product_id", share)
+
+
+def _salted(analysis: Callable[..., DataFrame]) -> Query:
+    """An analysis whose join with the products deals the lines of hot products over more tasks."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        items = tables.order_items(spark, sf)
+        hot = hotkeys.hot_keys(items, "product_id", HOT_TASKS)
+        return analysis(items, tables.products(spark, sf), headers=tables.order_headers(spark, sf), hot=hot)
+
+    return query
+
+
+def _from_layout(analysis: Callable[..., DataFrame]) -> Query:
+    """An analysis over lines and headers that are stored bucketed by order."""
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        stored = layout.write_sales_layout(tables.order_items(spark, sf), tables.products(spark, sf), tables.order_headers(spark, sf))
+        lines, headers = stored.read(spark)
+        return analysis(lines, None, headers=headers)
+
+    return query
+
+
+def exact_customer_revenue(spark: SparkSession, sf: str) -> DataFrame:
+    """Discounted, taxed lines per customer: doubles with as many places as multiplication gives them, summed exactly."""
+    lines = tables.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("charge"))
+    bands = exact.banded(lines, ["order_id"], F.col("charge"))
+    headers = tables.order_headers(spark, sf).select("order_id", "customer_id")
+    merged = exact.merged(bands.join(headers, "order_id"), ["customer_id"])
+    return merged.groupBy("customer_id").agg(exact.exact_total().alias("revenue"))
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "input_audit": input_audit,
@@ -308,4 +348,13 @@ QUERIES: dict[str, Query] = {
     "full_report": full_report,
     "timed_report": timed_report,
     "storage_format_report": storage_format_report,
+    "frequent_products": frequent_products,
+    "salted_top_customers": _salted(revenue.top_customers),
+    "salted_monthly_trends": _salted(trends.monthly_trends),
+    "bucketed_top_customers": _from_layout(revenue.top_customers),
+    "bucketed_monthly_trends": _from_layout(trends.monthly_trends),
+    "exact_customer_revenue": exact_customer_revenue,
+    "exact_top_customers": _with_headers(doubles.top_customers),
+    "exact_sales_by_category": _items(doubles.sales_by_category),
+    "exact_monthly_trends": _with_headers(doubles.monthly_trends),
 }

@@ -529,6 +529,18 @@ FULL_REPORT = " UNION ALL ".join((
     _cells("hourly_sales_pattern", HOURLY_ORDERS, "CAST(hour AS VARCHAR)", _BASE_MEASURES),
 ))
 
+FREQUENT_PRODUCTS = """
+    SELECT l_partkey AS product_id, count(*) AS rows, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM lineitem) * 100 AS share_pct
+    FROM lineitem GROUP BY 1 HAVING count(*) >= (SELECT count(*) FROM lineitem) * (1.1e0 / (SELECT count(*) FROM part))
+"""
+
+#: Charges below 2**18 are whole multiples of 2**-52 * 2**8, so scaled by 2**44 they add up exactly as whole numbers; text is parsed to the nearest double.
+EXACT_CUSTOMER_REVENUE = """
+    SELECT o_custkey AS customer_id, CAST(CAST(sum(CAST(charge * 17592186044416e0 AS HUGEINT)) AS VARCHAR) AS DOUBLE) / 17592186044416e0 AS revenue
+    FROM (SELECT l_orderkey, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS charge FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+    GROUP BY 1
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": _scan(),
     "input_audit": INPUT_AUDIT,
@@ -576,4 +588,13 @@ ORACLE_SQL: dict[str, str] = {
     "gen_summary": GEN_SUMMARY,
     "sales_report": SALES_REPORT,
     "full_report": FULL_REPORT,
+    "frequent_products": FREQUENT_PRODUCTS,
+    "salted_top_customers": TOP_CUSTOMERS,
+    "salted_monthly_trends": MONTHLY_TRENDS,
+    "bucketed_top_customers": TOP_CUSTOMERS,
+    "bucketed_monthly_trends": MONTHLY_TRENDS,
+    "exact_customer_revenue": EXACT_CUSTOMER_REVENUE,
+    "exact_top_customers": TOP_CUSTOMERS,
+    "exact_sales_by_category": SALES_BY_CATEGORY,
+    "exact_monthly_trends": MONTHLY_TRENDS,
 }
