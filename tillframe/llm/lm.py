@@ -11,11 +11,12 @@ with one set of mixture weights for each bucket b of the context's frequency, fl
    training counts, in one piece per key range. So a frequent word is one key per chunk, and
    no key is hot. A task that owns a range adds the counts and answers every chunk in the
    order asked.
-3. Chunks meet their answers by the bucketing, without moving again. In a first pass the
-   own counts of a quarter of the chunk's texts are deleted from the answers: what remains are
-   held-out counts for the training tokens of that quarter. They go into a histogram of a bounded number of cells (bucket,
-   and both likelihood ratios in quarter powers of two), on which expectation-maximisation
-   learns the weights. A second pass scores every text with the full counts.
+3. Chunks meet their answers by the bucketing, without moving again. All counts are kept for four folds of the
+   corpus apart, by a hash of the whole text, so that equal texts share a fold. In a first pass the counts of a whole
+   fold are deleted: what remains are held-out counts for the training tokens of that fold. They go into a histogram of
+   a bounded number of cells (bucket, and both likelihood ratios in quarter powers of two), on which
+   expectation-maximisation learns the weights. A second pass scores every text with the full counts.
+   Neither chunks nor the order of rows or files have a part in counts, weights or scores.
 
 All counts cover all training rows; the driver holds the histogram and the weights. Words and
 bigrams are told apart by 64-bit hashes.
@@ -35,7 +36,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillframe.llm.common import NOT_SPACE, crc32_of_id, gram_hashes, importable, stored, utf8, words_of
 from tillframe.sources.files import scratch_path
@@ -76,13 +77,13 @@ def unpacked_sorted(data: bytes) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Chunk:
-    """Sorted distinct words (the end included), tokens and contexts as places in them, and each token's part and training flag."""
+    """Sorted distinct words (the end included), tokens and contexts as places in them, and each token's part and fold, -1 outside training."""
 
     words: np.ndarray
     tokens: np.ndarray
     contexts: np.ndarray
     part: np.ndarray
-    train: np.ndarray
+    fold: np.ndarray
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct keys of the bigrams, the pair (context * words + token) of each, and each token's place in them."""
@@ -101,13 +102,19 @@ def _part_column(kind: str) -> str:
     return f"chunk bigint, ids array<{kind}>, rows array<bigint>, trained binary, lengths binary, firsts binary, words binary, tokens binary"
 
 
+def fold_of(key: str, text: str) -> Column:
+    """The deleted fold of a training row, -1 for others."""
+    fold = F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(DELETED_FOLDS)).cast("int")
+    return F.when(crc32_of_id(key) % FOLDS != HELD_OUT, fold).otherwise(-1)
+
+
 def _chunks(docs: DataFrame, key: str, text: str, chunk_tokens: int) -> DataFrame:
     """One row for each chunk."""
     names = ["chunk", "ids", "rows", "trained", "lengths", "firsts", "words", "tokens"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 32
-        held: list[tuple[object, int, bool, np.uint64, np.ndarray]] = []
+        held: list[tuple[object, int, int, np.uint64, np.ndarray]] = []
         size = made = row = 0
 
         def done() -> pa.RecordBatch:
@@ -116,7 +123,7 @@ def _chunks(docs: DataFrame, key: str, text: str, chunk_tokens: int) -> DataFram
             return pa.RecordBatch.from_arrays(
                 [pa.array([base + made], pa.int64()), pa.array([[part[0] for part in held]], pa.list_(id_type)),
                  pa.array([[base + part[1] for part in held]], pa.list_(pa.int64())),
-                 pa.array([packed(np.array([part[2] for part in held], np.uint8))], pa.binary()),
+                 pa.array([packed(np.array([part[2] for part in held], np.int8))], pa.binary()),
                  pa.array([packed(np.array([len(part[4]) for part in held], np.int64))], pa.binary()),
                  pa.array([packed(firsts)], pa.binary()), pa.array([packed_sorted(words)], pa.binary()),
                  pa.array([packed(tokens[1:].astype(np.uint32))], pa.binary())], names)
@@ -141,8 +148,7 @@ def _chunks(docs: DataFrame, key: str, text: str, chunk_tokens: int) -> DataFram
         if held:
             yield done()
 
-    trained = crc32_of_id(key) % FOLDS != HELD_OUT
-    return docs.select(F.col(key).alias("id"), trained.alias("trained"), F.col(text).alias("text")).mapInArrow(
+    return docs.select(F.col(key).alias("id"), fold_of(key, text).alias("trained"), F.col(text).alias("text")).mapInArrow(
         run, _part_column(docs.schema[key].dataType.simpleString()))
 
 
@@ -159,7 +165,7 @@ def _open(row: dict) -> Chunk:
         moved = np.searchsorted(all_words, words)
         words, tokens, contexts = all_words, moved[tokens], moved[contexts]
     contexts[begins] = np.searchsorted(words, firsts)
-    return Chunk(words, tokens, contexts, part, unpacked(row["trained"], np.uint8).astype(bool)[part])
+    return Chunk(words, tokens, contexts, part, unpacked(row["trained"], np.int8)[part])
 
 
 # --- counts ----------------------------------------------------------------------------
@@ -170,6 +176,11 @@ def _ranges(keys: np.ndarray, n: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, np.array(edges, np.uint64)), [len(keys)]))
 
 
+def _by_fold(chunk: Chunk, places: np.ndarray, size: int) -> np.ndarray:
+    """How often each place is met in training, one row per fold."""
+    return np.stack([np.bincount(places[chunk.fold == fold], minlength=size) for fold in range(DELETED_FOLDS)]).astype(np.uint32)
+
+
 def _requests(chunks: DataFrame, n: int) -> DataFrame:
     """(part, chunk, words, word_counts, pairs, pair_counts): keys of a chunk in each of n ranges, and its own training counts."""
 
@@ -178,14 +189,13 @@ def _requests(chunks: DataFrame, n: int) -> DataFrame:
             for row in batch.to_pylist():
                 chunk = _open(row)
                 keys, _, place = chunk.pairs()
-                own = np.bincount(chunk.tokens[chunk.train], minlength=len(chunk.words)).astype(np.uint32)
-                own_pairs = np.bincount(place[chunk.train], minlength=len(keys)).astype(np.uint32)
+                own, own_pairs = _by_fold(chunk, chunk.tokens, len(chunk.words)), _by_fold(chunk, place, len(keys))
                 a, b = _ranges(chunk.words, n), _ranges(keys, n)
                 columns: list[list] = [[], [], [], []]
                 for i in range(n):
                     for column, (values, packing) in zip(columns, (
-                            (chunk.words[a[i]:a[i + 1]], packed_sorted), (own[a[i]:a[i + 1]], packed),
-                            (keys[b[i]:b[i + 1]], packed_sorted), (own_pairs[b[i]:b[i + 1]], packed))):
+                            (chunk.words[a[i]:a[i + 1]], packed_sorted), (own[:, a[i]:a[i + 1]].ravel(), packed),
+                            (keys[b[i]:b[i + 1]], packed_sorted), (own_pairs[:, b[i]:b[i + 1]].ravel(), packed))):
                         column.append(packing(values))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(n), pa.int32()), pa.array([row["chunk"]] * n, pa.int64()), *[pa.array(c, pa.binary()) for c in columns]],
@@ -194,16 +204,24 @@ def _requests(chunks: DataFrame, n: int) -> DataFrame:
     return chunks.mapInArrow(run, "part int, chunk bigint, words binary, word_counts binary, pairs binary, pair_counts binary")
 
 
-def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], int, int]:
-    """For each list of keys the counts over all lists; the distinct keys that were counted, and the sum."""
+def _added(keys: list[np.ndarray], counts: list[bytes]) -> tuple[list[list[bytes]], int, list[int]]:
+    """For each list of keys the packed counts over all lists, fold by fold; the distinct keys that were counted, and each fold's sum."""
     distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate(counts), minlength=len(distinct)).astype(np.int64)
     borders = np.cumsum([len(x) for x in keys])[:-1]
-    return np.split(total[inverse], borders), int((total > 0).sum()), int(total.sum())
+    found: list[list[bytes]] = [[] for _ in keys]
+    met, sums = np.zeros(len(distinct), bool), []
+    for fold in range(DELETED_FOLDS):  # one at a time, which bounds the memory
+        own = np.concatenate([unpacked(x, np.uint32).reshape(DELETED_FOLDS, -1)[fold] for x in counts])
+        total = np.bincount(inverse, own, minlength=len(distinct)).astype(np.int64)
+        met |= total > 0
+        sums.append(int(total.sum()))
+        for answer, part in zip(found, np.split(total[inverse], borders)):
+            answer.append(packed(part))
+    return found, int(met.sum()), sums
 
 
 def _answers(requests: DataFrame, n: int) -> DataFrame:
-    """(chunk, part, words, pairs): the counts over the corpus in the order asked; chunk -1 has distinct and all training tokens."""
+    """(chunk, part, words, pairs): counts over the corpus by fold, in the order asked; chunk -1 has distinct words and each fold's training tokens."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -217,17 +235,17 @@ def _answers(requests: DataFrame, n: int) -> DataFrame:
             yield done(held)
 
     def done(held: list[dict]) -> pa.RecordBatch:
-        words, distinct, tokens = _added([unpacked_sorted(row["words"]) for row in held], [unpacked(row["word_counts"], np.uint32) for row in held])
-        pairs, *_ = _added([unpacked_sorted(row["pairs"]) for row in held], [unpacked(row["pair_counts"], np.uint32) for row in held])
+        words, distinct, tokens = _added([unpacked_sorted(row["words"]) for row in held], [row["word_counts"] for row in held])
+        pairs, *_ = _added([unpacked_sorted(row["pairs"]) for row in held], [row["pair_counts"] for row in held])
         part = held[0]["part"]
         return pa.RecordBatch.from_arrays(
             [pa.array([*[row["chunk"] for row in held], -1], pa.int64()), pa.array([part] * (len(held) + 1), pa.int32()),
-             pa.array([*map(packed, words), None], pa.binary()), pa.array([*map(packed, pairs), None], pa.binary()),
-             pa.array([*[None] * len(held), distinct], pa.int64()), pa.array([*[None] * len(held), tokens], pa.int64())],
+             pa.array([*words, None], pa.list_(pa.binary())), pa.array([*pairs, None], pa.list_(pa.binary())),
+             pa.array([*[None] * len(held), distinct], pa.int64()), pa.array([*[None] * len(held), tokens], pa.list_(pa.int64()))],
             ["chunk", "part", "words", "pairs", "distinct", "tokens"])
 
     sent = requests.repartition(n, "part").sortWithinPartitions("part", "chunk")
-    return sent.mapInArrow(run, "chunk bigint, part int, words binary, pairs binary, distinct bigint, tokens bigint")
+    return sent.mapInArrow(run, "chunk bigint, part int, words array<binary>, pairs array<binary>, distinct bigint, tokens array<bigint>")
 
 
 # --- the model -------------------------------------------------------------------------
@@ -261,35 +279,48 @@ def expectation_maximisation(buckets: np.ndarray, ratios: np.ndarray, mass: np.n
     return weights
 
 
-def _counts(row: dict, chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+def learned_weights(cells: list[tuple[int, int, int, int]]) -> np.ndarray:
+    if not cells:
+        return np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
+    found = np.array(sorted(cells), np.int64)
+    ratios = np.where(found[:, 1:3] == _NONE, 0.0, 2.0 ** (found[:, 1:3] / STEPS_PER_POWER))
+    return expectation_maximisation(found[:, 0], ratios, found[:, 3].astype(float))
+
+
+def _counts(row: dict, fold: int | None = None) -> list[np.ndarray]:
+    """Counts of words and of bigrams over the corpus, or over one fold of it."""
     parts = sorted(row["answers"], key=lambda answer: answer["part"])
-    return tuple(np.concatenate([unpacked(part[name], np.int64) for part in parts]) for name in ("words", "pairs"))
+    folds = range(DELETED_FOLDS) if fold is None else (fold,)
+    return [sum(np.concatenate([unpacked(part[name][i], np.int64) for part in parts]) for i in folds) for name in ("words", "pairs")]
+
+
+def cells_of(own_pairs: np.ndarray, pairs: np.ndarray, contexts: np.ndarray, words: np.ndarray, tokens: int, distinct: int) -> np.ndarray:
+    """Bucket, step of the bigram ratio, step of the word ratio and tokens, from held-out counts of bigrams that the fold has."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        two = np.nan_to_num(pairs / contexts) * (distinct + 1)
+        one = words / max(1, tokens) * (distinct + 1)
+        steps = [np.where(x > 0, np.rint(np.log2(x) * STEPS_PER_POWER), _NONE).astype(np.int64) for x in (two, one)]
+    cells, at = np.unique(np.stack((bucket(contexts), *steps)), axis=1, return_inverse=True)
+    return np.vstack((cells, np.bincount(at.ravel(), own_pairs, cells.shape[1]).astype(np.int64)))
 
 
-def _held_out_cells(joined: DataFrame, tokens: int, distinct: int) -> list[tuple[int, int, int, int]]:
-    """(bucket, step of the bigram ratio, step of the word ratio, training tokens), counts without the token's own part of its chunk."""
+def _held_out_cells(joined: DataFrame, tokens: list[int], distinct: int) -> list[tuple[int, int, int, int]]:
+    """(bucket, step of the bigram ratio, step of the word ratio, training tokens), from counts without the whole fold of the token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = _open(row)
-                words, pairs = _counts(row, chunk)
+                words, pairs = _counts(row)
                 keys, codes, place = chunk.pairs()
                 for fold in range(DELETED_FOLDS):
-                    deleted = chunk.train & (chunk.part % DELETED_FOLDS == fold)
-                    own = np.bincount(chunk.tokens[deleted], minlength=len(words))
-                    own_pairs = np.bincount(place[deleted], minlength=len(pairs))
+                    own_pairs = np.bincount(place[chunk.fold == fold], minlength=len(pairs))
                     some = np.flatnonzero(own_pairs)
                     left, right = codes[some] // len(words), codes[some] % len(words)
-                    rest, rest_words = tokens - int(own.sum()), words - own
-                    contexts = rest_words[left]
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        two = np.nan_to_num((pairs - own_pairs)[some] / contexts) * (distinct + 1)
-                        one = rest_words[right] / max(1, rest) * (distinct + 1)
-                        steps = [np.where(x > 0, np.rint(np.log2(x) * STEPS_PER_POWER), _NONE).astype(np.int64) for x in (two, one)]
-                    cells, at = np.unique(np.stack((bucket(contexts), *steps)), axis=1, return_inverse=True)
-                    mass = np.bincount(at.ravel(), own_pairs[some], cells.shape[1])
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (*cells, mass.astype(np.int64))], ["bucket", "two", "one", "mass"])
+                    deleted_words, deleted_pairs = _counts(row, fold)
+                    rest_words = words - deleted_words
+                    found = cells_of(own_pairs[some], (pairs - deleted_pairs)[some], rest_words[left], rest_words[right], sum(tokens) - tokens[fold], distinct)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["bucket", "two", "one", "mass"])
 
     found = joined.mapInArrow(run, "bucket bigint, two bigint, one bigint, mass bigint")
     return [tuple(row) for row in found.groupBy("bucket", "two", "one").agg(F.sum("mass")).collect()]
@@ -306,7 +337,7 @@ def _scored(joined: DataFrame, mixture: Mixture, id_kind: str) -> DataFrame:
             id_type = batch.schema.field("ids").type
             for row in batch.to_pylist():
                 chunk = _open(row)
-                words, pairs = _counts(row, chunk)
+                words, pairs = _counts(row)
                 place = chunk.pairs()[2]
                 seen, context, both = words[chunk.tokens], words[chunk.contexts], pairs[place]
                 n = len(row["rows"])
@@ -332,17 +363,13 @@ def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text", chunk_tok
     try:
         chunks = spark.table(table)
         answers = stored(_answers(_requests(chunks, parts), parts), "answers")
-        sums = answers.filter("chunk = -1").agg(F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("tokens"), F.lit(0))).first()
-        distinct, tokens = int(sums[0]), int(sums[1])
+        sums = answers.filter("chunk = -1").agg(F.sum("distinct"), *[F.sum(F.get("tokens", F.lit(fold))) for fold in range(DELETED_FOLDS)]).first()
+        distinct, *by_fold = [int(x or 0) for x in sums]
+        tokens = sum(by_fold)
         by_chunk = answers.filter("chunk >= 0").groupBy("chunk").agg(F.collect_list(F.struct("part", "words", "pairs")).alias("answers"))
         joined = chunks.join(by_chunk, "chunk")
-        cells = _held_out_cells(joined, tokens, distinct)
-        weights = np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
-        if cells:
-            found = np.array(sorted(cells), np.int64)
-            ratios = np.where(found[:, 1:3] == _NONE, 0.0, 2.0 ** (found[:, 1:3] / STEPS_PER_POWER))
-            weights = expectation_maximisation(found[:, 0], ratios, found[:, 3].astype(float))
-        mixture = Mixture(tokens, distinct, weights)
+        cells = _held_out_cells(joined, by_fold, distinct)
+        mixture = Mixture(tokens, distinct, learned_weights(cells))
         pieces = stored(_scored(joined, mixture, docs.schema[key].dataType.simpleString()), "scores")
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
