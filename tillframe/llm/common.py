@@ -85,7 +85,7 @@ LETTERS = WordClass(_members([*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x6
 #: `[^\x20\x09-\x0D]+` after lower-casing A-Z.
 NOT_SPACE = WordClass(_members([0x20, *range(9, 14)]), _fold())
 
-_VALUES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_VALUES = np.random.default_rng(20240601).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -97,14 +97,13 @@ def mixed(values: np.ndarray) -> np.ndarray:
         return values ^ (values >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
-    powers = np.full(n, _BASE, dtype=np.uint64)
-    powers[0] = 1
+def _factors(n: int) -> np.ndarray:
+    """A factor for each place of a word. They follow no power law, under which some pairs of long words meet by construction."""
     with np.errstate(over="ignore"):
-        return np.cumprod(powers, dtype=np.uint64)
+        return mixed(np.arange(1, n + 1, dtype=np.uint64) * _BASE)
 
 
-_SHORT_POWERS = _powers(256)
+_SHORT_FACTORS = _factors(256)
 
 
 def hash_words(data: bytes, kind: WordClass) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -119,9 +118,9 @@ def hash_words(data: bytes, kind: WordClass) -> tuple[np.ndarray, np.ndarray, np
     at = np.cumsum(lengths) - lengths
     place = np.arange(at[-1] + lengths[-1]) - np.repeat(at, lengths)
     longest = int(lengths.max())
-    powers = _SHORT_POWERS if longest <= len(_SHORT_POWERS) else _powers(longest)
+    factors = _SHORT_FACTORS if longest <= len(_SHORT_FACTORS) else _factors(longest)
     with np.errstate(over="ignore"):
-        values = _VALUES[kind.fold[raw[inside]]] * powers[place]
+        values = _VALUES[kind.fold[raw[inside]]] * factors[place]
         return mixed(np.add.reduceat(values, at) + lengths.astype(np.uint64)), starts, ends
 
 

@@ -2,8 +2,9 @@
 
 A text is the mean of the embeddings of its hashed byte n-grams (within words, with
 word borders), fed to a softmax. Training is plain stochastic gradient descent in numpy
-on a bounded sample of labelled rows, `sample_rows` per run spread evenly over the
-languages. A part of the sample sets the temperature and the threshold for rejection.
+on a bounded sample of labelled rows: of each language, the `sample_rows` / languages different rows whose
+hash of id and text is smallest, so neither repeated nor missing ids change who may be drawn, nor does the
+sample grow with the table. A part of the sample sets the temperature and the threshold for rejection.
 
 Prediction is linear in the n-grams, so the embedding table times the softmax matrix is
 one table of a fixed size (2**bits rows, a column per language); tasks add its rows over
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, utf8
@@ -194,21 +195,26 @@ def _fit(samples: list[tuple[np.ndarray, np.ndarray, str]], bits: int, width: in
     return LanguageModel(languages, bits, scores.astype(np.float32), bias.astype(np.float64), float(temperature), threshold)
 
 
-def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: str = "doc_id", sample_rows: int = 2400,
+def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: str = "doc_id", sample_rows: int = 2400, most_languages: int = 400,
           bits: int = 16, width: int = 12, epochs: int = 6, rate: float = 1.0, false_rejections: float = 0.001,
           seed: int = 7) -> LanguageModel:
-    """Train on about `sample_rows` labelled rows, drawn by a hash of the key evenly over the languages.
+    """Train on at most `sample_rows` different labelled rows, as many of each of the `most_languages` commonest languages.
 
     Executors turn whole texts into bucket counts (2**bits at most a text), so the
     driver receives a bounded number of bounded rows.
     """
     importable(labelled.sparkSession)
-    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    sizes = {row[0]: row[1] for row in rows.groupBy(lang).count().collect()}
+    draw = F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("draw")
+    rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw)
+    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not sizes:
         return _fit([], bits, width, epochs, rate, false_rejections, seed)
-    shares = F.create_map(*[F.lit(x) for name, n in sizes.items() for x in (name, min(1.0, sample_rows / len(sizes) / n))])
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    each = max(1, sample_rows // len(sizes))
+    # the draws alone, cut to `each` per task and language before they are moved
+    first = rows.select("lang", "draw").distinct().withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("draw"))).filter(
+        F.col("nth") <= each)
+    last = first.filter(F.col("lang").isin([row["lang"] for row in sizes])).groupBy("lang").agg(F.max("draw").alias("last"))
+    drawn = rows.join(F.broadcast(last), "lang").filter(F.col("draw") <= F.col("last")).groupBy("lang", "draw").agg(F.first("text").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -217,8 +223,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
                 [batch.column(0), pa.array([b.astype(np.int32).tobytes() for b, _ in found], pa.binary()),
                  pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary())], ["lang", "buckets", "counts"])
 
-    sample = (rows.filter(draw < shares[F.col(lang)]).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-              .mapInArrow(count, "lang string, buckets binary, counts binary"))
+    sample = drawn.select("lang", "text").mapInArrow(count, "lang string, buckets binary, counts binary")
     found = sorted((row.lang, bytes(row.buckets), bytes(row.counts)) for row in sample.collect())
     return _fit([(np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(c, np.int32), label) for label, b, c in found],
                 bits, width, epochs, rate, false_rejections, seed)
