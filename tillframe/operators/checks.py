@@ -129,3 +129,44 @@ def reconcile(left: DataFrame, right: DataFrame) -> DataFrame:
         "only_right",
         (F.lit(same_width) & (F.col("only_left") == 0) & (F.col("only_right") == 0)).alias("same_rows"),
     )
+
+
+def _unequal(left: Column, right: Column, tolerance: float | None) -> Column:
+    if tolerance is None:
+        return ~left.eqNullSafe(right)
+    near = F.abs(left.cast("double") - right.cast("double")) <= F.lit(float(tolerance))
+    return ~(left.eqNullSafe(right) | F.coalesce(near, F.lit(False)))
+
+
+def match_by_key(left: DataFrame, right: DataFrame, keys: list[str], tolerances: Mapping[str, float] | None = None) -> DataFrame:
+    """The keys whose rows differ: (keys, status, columns, and `<column>_left` and `<column>_right` of every other column).
+
+    `status` is `only_left`, `only_right`, `repeated` (more than one row of the key on a side) or `differs`, for which
+    `columns` names the columns that differ, in order and comma-joined. Keys match if both are null. Values are equal
+    if both are null, or no further apart than the column's tolerance (default: none). Both sides are united and grouped by
+    key, so a key that repeats very often is combined before the shuffle.
+    """
+    require_columns(left, keys, "left")
+    columns = [name for name in left.columns if name not in keys]
+    require_columns(right, [*keys, *columns], "right")
+    tolerances = tolerances or {}
+    named = [F.col(f"`{name}`") for name in (*keys, *columns)]
+    both = left.select(*named, F.lit(True).alias("__left")).union(right.select(*named, F.lit(False).alias("__left")))
+    per_key = both.groupBy(*keys).agg(
+        F.count_if(F.col("__left")).alias("__in_left"), F.count_if(~F.col("__left")).alias("__in_right"),
+        *[F.max(F.when(F.col("__left") == side, F.col(f"`{name}`"))).alias(f"{name}_{'left' if side else 'right'}")
+          for name in columns for side in (True, False)])
+    differing = F.array_compact(F.array(*[
+        F.when(_unequal(F.col(f"`{name}_left`"), F.col(f"`{name}_right`"), tolerances.get(name)), F.lit(name)) for name in columns])
+        if columns else F.array().cast("array<string>"))
+    status = (F.when((F.col("__in_left") > 1) | (F.col("__in_right") > 1), "repeated").when(F.col("__in_right") == 0, "only_left")
+              .when(F.col("__in_left") == 0, "only_right").when(F.size("__columns") > 0, "differs"))
+    found = per_key.withColumn("__columns", differing).withColumn("status", status).filter("status is not null")
+    return found.select(*keys, "status", F.when(F.col("status") == "differs", F.array_join("__columns", ",")).alias("columns"),
+                        *[f"{name}_{side}" for name in columns for side in ("left", "right")])
+
+
+def match_summary(matched: DataFrame, numbers: list[str]) -> DataFrame:
+    """(status, columns, keys, and `<column>_change` for each of `numbers`): how many keys differ in which way, and right minus left, summed."""
+    change = [F.sum(F.col(f"{name}_right").cast("double") - F.col(f"{name}_left").cast("double")).alias(f"{name}_change") for name in numbers]
+    return matched.groupBy("status", "columns").agg(F.count(F.lit(1)).alias("keys"), *change)

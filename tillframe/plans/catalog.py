@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tillframe.functions import exact
 from tillframe.functions.numbers import cents
 from tillframe.functions.text import readable_bytes
-from tillframe.operators import checks, doubles, hotkeys, products as by_product, rankings, revenue, segments, trends
+from tillframe.operators import checks, distinct, doubles, hotkeys, products as by_product, rankings, revenue, segments, trends
 from tillframe.plans import reports, storage
 from tillframe.sources import files, layout, synthetic, tables
 
@@ -298,6 +298,25 @@ def exact_customer_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return merged.groupBy("customer_id").agg(exact.exact_total().alias("revenue"))
 
 
+def _edited_orders(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Order headers, and the same with known edits: some orders gone, some new, some totals and customers changed."""
+    orders = tables.order_headers(spark, sf).select("order_id", "customer_id", "order_total")
+    edited = orders.filter(F.col("order_id") % 97 != 0).select(
+        F.when(F.col("order_id") % 89 == 0, -F.col("order_id")).otherwise(F.col("order_id")).alias("order_id"),
+        F.when(F.col("order_id") % 83 == 0, F.lit(None)).otherwise(F.col("customer_id")).alias("customer_id"),
+        F.when(F.col("order_id") % 7 == 0, F.col("order_total") + 0.25).when(F.col("order_id") % 5 == 0, F.col("order_total") + 16)
+        .otherwise(F.col("order_total")).alias("order_total"))
+    return orders, edited
+
+
+def order_differences(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.match_by_key(*_edited_orders(spark, sf), ["order_id"], {"order_total": 0.5})
+
+
+def order_difference_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.match_summary(order_differences(spark, sf), ["order_total"]).withColumn("order_total_change", F.round("order_total_change", 2))
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "input_audit": input_audit,
@@ -356,5 +375,8 @@ QUERIES: dict[str, Query] = {
     "exact_customer_revenue": exact_customer_revenue,
     "exact_top_customers": _with_headers(doubles.top_customers),
     "exact_sales_by_category": _items(doubles.sales_by_category),
+    "customers_by_month": _headers(distinct.customers_by_month),
+    "order_differences": order_differences,
+    "order_difference_summary": order_difference_summary,
     "exact_monthly_trends": _with_headers(doubles.monthly_trends),
 }

@@ -541,6 +541,36 @@ EXACT_CUSTOMER_REVENUE = """
     GROUP BY 1
 """
 
+CUSTOMERS_BY_MONTH = """
+    SELECT CAST(year(o_orderdate) AS BIGINT) AS year, CAST(month(o_orderdate) AS BIGINT) AS month, count(DISTINCT o_custkey) AS customers
+    FROM orders GROUP BY 1, 2 UNION ALL SELECT NULL, NULL, count(DISTINCT o_custkey) FROM orders
+"""
+
+ORDER_DIFFERENCES = """
+    WITH edited AS (
+        SELECT CASE WHEN o_orderkey % 89 = 0 THEN -o_orderkey ELSE o_orderkey END AS order_id,
+               CASE WHEN o_orderkey % 83 = 0 THEN NULL ELSE o_custkey END AS customer_id,
+               CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 0.25e0 WHEN o_orderkey % 5 = 0 THEN o_totalprice + 16e0 ELSE o_totalprice END AS order_total
+        FROM orders WHERE o_orderkey % 97 <> 0
+    ), paired AS (
+        SELECT coalesce(o_orderkey, order_id) AS order_id, o_orderkey IS NULL AS is_new, e.order_id IS NULL AS is_gone,
+               o_custkey AS customer_id_left, customer_id AS customer_id_right, o_totalprice AS order_total_left, order_total AS order_total_right
+        FROM orders FULL JOIN edited e ON o_orderkey = order_id
+    ), judged AS (
+        SELECT *, customer_id_left IS DISTINCT FROM customer_id_right AS other_customer, abs(order_total_left - order_total_right) > 0.5e0 AS other_total
+        FROM paired
+    )
+    SELECT order_id, CASE WHEN is_gone THEN 'only_left' WHEN is_new THEN 'only_right' ELSE 'differs' END AS status,
+           CASE WHEN is_gone OR is_new THEN NULL ELSE concat_ws(',', CASE WHEN other_customer THEN 'customer_id' END, CASE WHEN other_total THEN 'order_total' END) END AS columns,
+           customer_id_left, customer_id_right, order_total_left, order_total_right
+    FROM judged WHERE is_gone OR is_new OR other_customer OR other_total
+"""
+
+ORDER_DIFFERENCE_SUMMARY = f"""
+    SELECT status, columns, count(*) AS keys, round(sum(order_total_right - order_total_left), 2) AS order_total_change
+    FROM ({ORDER_DIFFERENCES}) GROUP BY 1, 2
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": _scan(),
     "input_audit": INPUT_AUDIT,
@@ -597,4 +627,7 @@ ORACLE_SQL: dict[str, str] = {
     "exact_top_customers": TOP_CUSTOMERS,
     "exact_sales_by_category": SALES_BY_CATEGORY,
     "exact_monthly_trends": MONTHLY_TRENDS,
+    "customers_by_month": CUSTOMERS_BY_MONTH,
+    "order_differences": ORDER_DIFFERENCES,
+    "order_difference_summary": ORDER_DIFFERENCE_SUMMARY,
 }
