@@ -13,10 +13,6 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
-            "spark.eventLog.enabled": "true",
-            "spark.eventLog.compress": "false",
-            "spark.eventLog.rolling.enabled": "false",
-            "spark.eventLog.dir": str(tmp_path_factory.mktemp("events")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tillframe.operators.checks import reconcile
 from tillframe.plans import reports, storage
-from tillframe.sources import files
+from tillframe.sources import checked, files
 
 
 @pytest.fixture
@@ -104,18 +104,28 @@ def test_storage_report(spark):
     csv = by_format["CSV"]
     assert csv["error"] is None and csv["size_pct"] == csv["time_pct"] == 100.0
     assert csv["total_time_s"] == pytest.approx(csv["write_time_s"] + csv["read_time_s"])
-    # from the event log that the test session keeps
+    # from Spark's status store
     assert csv["write_cpu_time_s"] > 0 and csv["read_cpu_time_s"] > 0 and csv["scan_time_s"] > 0
     assert csv["total_cpu_time_s"] == pytest.approx(csv["write_cpu_time_s"] + csv["read_cpu_time_s"])
-    assert csv["peak_memory_mb"] is None or csv["peak_memory_mb"] > 0
+    assert csv["total_cpu_time_s"] <= csv["total_time_s"] * 8 * 1.1
+    assert csv["peak_memory_mb"] == max(csv["write_memory_mb"], csv["read_memory_mb"]) > 1
     assert csv["energy_consumption_wh"] == pytest.approx(csv["total_cpu_time_s"] * 65 / 3600)
     best = dict((r["metric"], r["best"]) for r in storage.best_formats(report).collect())
     assert set(best) == set(storage.METRICS) and best["file_size_mb"] in ("CSV", "PARQUET")
     assert {p for p in os.listdir(folder) if p.startswith("format")} <= before  # nothing is left behind
 
 
+def test_usage_counts_the_jobs_tasks(spark):
+    def work():
+        spark.range(40_000_000).selectExpr("sum(sqrt(id) * sin(id))").collect()
+
+    seconds, cpu, peak = storage._measured(spark, work)
+    assert 0.02 < cpu <= seconds * 8 * 1.1 and peak > 1
+    assert storage._measured(spark, lambda: None)[1] == 0
+
+
 def test_unfinished_jobs_are_an_error(spark, monkeypatch):
-    monkeypatch.setattr(storage, "LOG_SECONDS", 0.0)
+    monkeypatch.setattr(storage, "STORE_SECONDS", 0.0)
     with pytest.raises(TimeoutError, match="lacks the end"):
         storage._usage(spark, [10**6])
 
@@ -130,3 +140,75 @@ def test_timed_report(spark):
     report = reports.timed_report(spark, {"a": build, "b": lambda: spark.range(5)}).collect()
     assert built == [1] and [r["operation"] for r in report] == ["a", "b"]
     assert sum(r["pct"] for r in report) == pytest.approx(100) and all(r["seconds"] > 0 for r in report)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    path = files.write_table(spark.range(10), str(tmp_path / "t.parquet"))
+    broken = spark.range(100).select(F.when(F.col("id") == 99, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        files.write_table(broken, path)
+    assert spark.read.parquet(path).count() == 10 and os.listdir(tmp_path) == ["t.parquet"]
+
+
+def test_a_table_can_be_replaced_from_itself(spark, tmp_path):
+    path = files.write_table(spark.range(10), str(tmp_path / "t.parquet"))
+    for _ in range(2):
+        files.write_table(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
+    assert sorted(row.id for row in spark.read.parquet(path).collect()) == list(range(2, 12))
+    assert os.listdir(tmp_path) == ["t.parquet"]
+
+
+def test_a_swap_that_broke_off_is_mended(spark, tmp_path):
+    path = files.write_table(spark.range(10), str(tmp_path / "t.parquet"))
+    os.rename(path, tmp_path / ".t.parquet.old")
+    assert files.recover(spark, path) and spark.read.parquet(path).count() == 10
+    assert not files.recover(spark, path)
+    os.rename(path, tmp_path / ".t.parquet.old")
+    files.write_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3 and os.listdir(tmp_path) == ["t.parquet"]
+
+
+def test_manifest_names_lost_and_changed_files(spark, tmp_path):
+    path = files.write_table(spark.range(40).repartition(4), str(tmp_path / "a+b t.parquet"), manifest=True)
+    assert spark.read.parquet(path).count() == 40 and files.file_faults(spark, path).count() == 0
+    parts = sorted(str(p) for p in (tmp_path / "a+b t.parquet").glob("part-*"))
+    length = os.path.getsize(parts[0])
+    os.remove(parts[0])
+    with open(parts[1], "ab") as grown:
+        grown.write(b"x")
+    faults = {row.file: (row.written, row.found) for row in files.file_faults(spark, path).collect()}
+    other = os.path.getsize(parts[1])
+    assert faults == {os.path.basename(parts[0]): (length, None), os.path.basename(parts[1]): (other - 1, other)}
+
+
+LINES = ["id,when,amount,note", "1,2024-01-05,2.5,plain", "2,2024-01-06,foo,bad amount", "3,2024-01-07", "4,2024-01-08,1,too,many",
+         'x5,never,7.25,"two, faults"', "6,,,", '7,2024-01-09,3,"a ""quoted"" word"']
+
+
+@pytest.fixture
+def csv_path(tmp_path):
+    (tmp_path / "in.csv").write_text("\n".join(LINES) + "\n")
+    return str(tmp_path / "in.csv")
+
+
+def test_every_csv_record_is_a_row_or_a_reject(spark, csv_path):
+    found = checked.read_csv_checked(spark, csv_path, "id int, when date, amount double, note string")
+    assert rows(found.rows.selectExpr("id", "cast(when as string)", "amount", "note").orderBy("id")) == [
+        (1, "2024-01-05", 2.5, "plain"), (6, None, None, None), (7, "2024-01-09", 3.0, 'a "quoted" word')]
+    assert {row.record: (row.n_bytes, row.fault, row.columns) for row in found.rejects.collect()} == {
+        LINES[2]: (len(LINES[2]), "values", ["amount"]), LINES[3]: (len(LINES[3]), "fields", []),
+        LINES[4]: (len(LINES[4]), "fields", []), LINES[5]: (len(LINES[5]), "values", ["id", "when"])}
+    assert {(r.fault, r.column): (r.records, r.n_bytes) for r in checked.reject_report(found).collect()} == {
+        ("values", "amount"): (1, len(LINES[2])), ("values", "id"): (1, len(LINES[5])), ("values", "when"): (1, len(LINES[5])),
+        ("fields", None): (2, len(LINES[3]) + len(LINES[4]))}
+
+
+def test_types_from_a_sample_are_checked_on_all_rows(spark, tmp_path):
+    lines = ["a,b,c,d,e"] + [f"{i},{i},true,2024-02-0{1 + i % 9},9" for i in range(50)] + ["3000000000,x,false,2024-03-01,1.5"]
+    (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
+    found = checked.read_csv_checked(spark, str(tmp_path / "in.csv"), sample_rows=10)
+    assert [field.dataType.simpleString() for field in found.schema] == ["bigint", "string", "boolean", "date", "double"]
+    assert found.rows.count() == 51 and found.rejects.count() == 0
+    (tmp_path / "empty.csv").write_text("a,b\n")
+    empty = checked.read_csv_checked(spark, str(tmp_path / "empty.csv"))
+    assert empty.rows.dtypes == [("a", "string"), ("b", "string")] and empty.rows.count() == 0 == empty.rejects.count()

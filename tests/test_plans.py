@@ -11,7 +11,7 @@ from tillframe.plans.catalog import QUERIES
 from tillframe.plans.reports import run
 
 # these run jobs while they are built
-WRITING = {"file_size_report", "storage_format_report", "timed_report", "frequent_products",
+WRITING = {"file_size_report", "storage_format_report", "timed_report", "frequent_products", "shuffled_orders", "csv_rejects", "replaced_table",
            *(name for name in QUERIES if "_roundtrip" in name or name.startswith(("salted_", "bucketed_")))}
 
 

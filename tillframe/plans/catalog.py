@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tillframe.functions import exact
+from tillframe.functions import exact, permutation
 from tillframe.functions.numbers import cents
 from tillframe.functions.text import readable_bytes
 from tillframe.operators import checks, distinct, doubles, hotkeys, products as by_product, rankings, revenue, segments, trends
 from tillframe.plans import reports, storage
-from tillframe.sources import files, layout, synthetic, tables
+from tillframe.sources import checked, files, layout, synthetic, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +21,7 @@ SEED = 42
 AS_OF = "2001-08-02"
 #: Tasks that the salted joins aim to fill evenly; a product with more than a two-thousandth of all lines is hot.
 HOT_TASKS = 1000
+SHUFFLED_FILES = 16
 GENERATED_AS_OF = "2024-01-01"
 SCALED_THRESHOLDS = segments.Thresholds(
     frequency=((14, 5), (11, 4), (9, 3), (6, 2)),
@@ -257,7 +259,8 @@ def timed_report(spark: SparkSession, sf: str) -> DataFrame:
 def storage_format_report(spark: SparkSession, sf: str) -> DataFrame:
     """The order lines in every format: what was read back, and that each measure was taken."""
     report = storage.storage_format_report(tables.table(spark, sf, "lineitem"), sums=["l_quantity", "l_extendedprice"])
-    measured = reduce(lambda a, b: a & b, [F.col(name) > 0 for name in ("file_size_mb", "write_time_s", "read_time_s", "scan_time_s")])
+    measured = reduce(lambda a, b: a & b, [F.coalesce(F.col(name) > 0, F.lit(False)) for name in (
+        "file_size_mb", "write_time_s", "read_time_s", "scan_time_s", "total_cpu_time_s", "energy_consumption_wh")])
     return report.select("format", "error", measured.alias("measured"), "row_count", "sum_l_quantity", "sum_l_extendedprice")
 
 
@@ -317,6 +320,51 @@ def order_difference_summary(spark: SparkSession, sf: str) -> DataFrame:
     return checks.match_summary(order_differences(spark, sf), ["order_total"]).withColumn("order_total_change", F.round("order_total_change", 2))
 
 
+def shuffled_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders dealt in shuffled order to files of equal size: number, place, file and the place in it."""
+    orders = _keys(spark, sf, "orders", "o_orderkey", "order_id")
+    numbered = synthetic.running_offsets(orders.withColumn("one", F.lit(1)), "order_id", "one", "number").drop("one")
+    n = orders.count()
+    each = max(1, -(-n // SHUFFLED_FILES))
+    placed = permutation.in_shuffled_order(numbered, "number", n, SHUFFLED_FILES, SEED)
+    return placed.withColumn("file", F.expr(f"CAST(place DIV {each} AS BIGINT)")).select(
+        "order_id", "number", "place", "file", F.row_number().over(Window.partitionBy("file").orderBy("place")).cast("bigint").alias("nth"))
+
+
+def _damaged_csv(spark: SparkSession, sf: str) -> str:
+    """The orders as CSV lines, some with a word for a number, some short, some long; the path they are written to."""
+    key, total = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100).cast("bigint")
+    fields = [F.when(key % 101 == 0, F.concat(F.lit("no. "), key)).otherwise(key.cast("string")), F.col("o_custkey").cast("string"),
+              F.when(key % 97 == 0, F.lit("n/a")).otherwise(total.cast("string")), F.date_format("o_orderdate", "yyyy-MM-dd")]
+    line = F.when(key % 89 == 0, F.concat_ws(",", *fields[:3])).when(key % 83 == 0, F.concat_ws(",", *fields, F.lit("more"))).otherwise(
+        F.concat_ws(",", *fields))
+    path = files.scratch_path(spark, "damaged")
+    tables.table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    return path
+
+
+def csv_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected records by fault and column, and the rows that are left with their total, from damaged CSV files."""
+    found = checked.read_csv_checked(spark, _damaged_csv(spark, sf), "order_id bigint, customer_id bigint, cents bigint, day date", header=False)
+    fine = found.rows.agg(F.lit("none").alias("fault"), F.lit(None).cast("string").alias("column"), F.count(F.lit(1)).alias("records"),
+                          F.sum(F.lit(0)).cast("bigint").alias("n_bytes"), F.sum("cents").alias("cents"))
+    return fine.unionByName(checked.reject_report(found).withColumn("cents", F.lit(None).cast("bigint")))
+
+
+def replaced_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers, replaced by rows read from the same table, then by a write that fails: what the table holds, and faults in its files."""
+    path = files.write_table(tables.table(spark, sf, "customer"), files.scratch_path(spark, "replaced"))
+    there = files.read_table(spark, path)
+    files.write_table(there.withColumn("c_acctbal", F.col("c_acctbal") + 1).filter("c_custkey % 3 <> 0"), path, manifest=True)
+    try:
+        files.write_table(files.read_table(spark, path).withColumn("c_acctbal", F.raise_error(F.lit("a failing task")).cast("double")), path)
+        failed = False
+    except PySparkException:
+        failed = True
+    faults = files.file_faults(spark, path).agg(F.count(F.lit(1))).scalar()
+    return files.read_table(spark, path).select("c_custkey", "c_acctbal", F.lit(failed).alias("last_write_failed"), faults.alias("file_faults"))
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": scan_parquet,
     "input_audit": input_audit,
@@ -379,4 +427,7 @@ QUERIES: dict[str, Query] = {
     "order_differences": order_differences,
     "order_difference_summary": order_difference_summary,
     "exact_monthly_trends": _with_headers(doubles.monthly_trends),
+    "shuffled_orders": shuffled_orders,
+    "csv_rejects": csv_rejects,
+    "replaced_table": replaced_table,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from tillframe import constants as fixed
+from tillframe.functions import permutation
 
 AS_OF = "DATE '2001-08-02'"
 GENERATED_AS_OF = "DATE '2024-01-01'"
@@ -571,6 +572,50 @@ ORDER_DIFFERENCE_SUMMARY = f"""
     FROM ({ORDER_DIFFERENCES}) GROUP BY 1, 2
 """
 
+def _shuffled(seed: int, files: int) -> str:
+    """Orders by their place in the keyed permutation; the grid comes from the number of orders."""
+    steps = []
+    for i, step in enumerate(permutation.rounds(4, seed)):
+        a, b, c, d = step.factors
+        other, own, size = ("c", "r", "n_rows") if step.on_row else ("r", "c", "n_columns")
+        prime = permutation.PRIME
+        moved = f"({own} + ((h * h + {c}) % {prime} * {d} + {other}) % {prime}) % {size}"
+        start = "n - n_rows * n_columns" if i // permutation.ROUNDS % 2 else "0"
+        cell = f"{moved} * n_columns + c" if step.on_row else f"r * n_columns + {moved}"
+        steps.append(f"""step_{i + 1} AS (SELECT order_id, number, n, n_rows, n_columns,
+            CASE WHEN spot >= 0 AND spot < n_rows * n_columns THEN start + {cell} ELSE place END AS place
+          FROM (SELECT *, ({other} * {a} + {b}) % {prime} AS h FROM (SELECT *, spot // n_columns AS r, spot % n_columns AS c
+            FROM (SELECT *, {start} AS start, place - ({start}) AS spot FROM step_{i}))))""")
+    return f"""WITH counted AS (SELECT o_orderkey + 1 AS order_id, row_number() OVER (ORDER BY o_orderkey) - 1 AS number, count(*) OVER () AS n FROM orders),
+      step_0 AS (SELECT *, number AS place, floor(sqrt(n))::BIGINT AS n_rows, n // floor(sqrt(n))::BIGINT AS n_columns FROM counted),
+      {", ".join(steps)}
+      SELECT order_id, number, place, place // ((n + {files - 1}) // {files}) AS file, place % ((n + {files - 1}) // {files}) + 1 AS nth FROM step_{len(steps)}"""
+
+
+SHUFFLED_ORDERS = _shuffled(42, 16)
+
+CSV_REJECTS = """
+    WITH fields AS (
+        SELECT o_orderkey AS k, CASE WHEN o_orderkey % 101 = 0 THEN 'no. ' ELSE '' END || o_orderkey AS a, o_custkey::VARCHAR AS b,
+               CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE round(o_totalprice * 100)::BIGINT::VARCHAR END AS c,
+               round(o_totalprice * 100)::BIGINT AS cents, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders
+    ), lines AS (
+        SELECT *, k % 89 = 0 OR k % 83 = 0 AS uneven, CASE WHEN k % 89 = 0 THEN concat_ws(',', a, b, c)
+            WHEN k % 83 = 0 THEN concat_ws(',', a, b, c, d, 'more') ELSE concat_ws(',', a, b, c, d) END AS line FROM fields
+    ), faults AS (
+        SELECT 'fields' AS fault, NULL AS "column", line FROM lines WHERE uneven
+        UNION ALL SELECT 'values', 'order_id', line FROM lines WHERE NOT uneven AND k % 101 = 0
+        UNION ALL SELECT 'values', 'cents', line FROM lines WHERE NOT uneven AND k % 97 = 0
+    )
+    SELECT fault, "column", count(*) AS records, sum(strlen(line))::BIGINT AS n_bytes, NULL::BIGINT AS cents FROM faults GROUP BY ALL
+    UNION ALL SELECT 'none', NULL, count(*), CASE WHEN count(*) > 0 THEN 0 END::BIGINT, sum(cents)::BIGINT FROM lines
+    WHERE NOT uneven AND k % 101 <> 0 AND k % 97 <> 0
+"""
+
+REPLACED_TABLE = """
+    SELECT c_custkey, c_acctbal + 1 AS c_acctbal, true AS last_write_failed, 0::BIGINT AS file_faults FROM customer WHERE c_custkey % 3 <> 0
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "scan_parquet": _scan(),
     "input_audit": INPUT_AUDIT,
@@ -630,4 +675,7 @@ ORACLE_SQL: dict[str, str] = {
     "customers_by_month": CUSTOMERS_BY_MONTH,
     "order_differences": ORDER_DIFFERENCES,
     "order_difference_summary": ORDER_DIFFERENCE_SUMMARY,
+    "shuffled_orders": SHUFFLED_ORDERS,
+    "csv_rejects": CSV_REJECTS,
+    "replaced_table": REPLACED_TABLE,
 }

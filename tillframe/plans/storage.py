@@ -6,6 +6,7 @@ import time
 import uuid
 from collections.abc import Iterable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tillframe.constants import FORMATS, TDP_WATTS
@@ -14,76 +15,80 @@ from tillframe.operators.rankings import best_by_metric, energy_estimate, ratio_
 from tillframe.plans.reports import run
 from tillframe.sources.files import read_table, remove, scratch_path, table_files, write_table
 
-EVENT_SCHEMA = """
-    Event string,
-    `Job ID` bigint,
-    `Stage IDs` array<bigint>,
-    `Stage ID` bigint,
-    `Task Metrics` struct<`Executor CPU Time`: bigint>,
-    `Task Executor Metrics` struct<JVMHeapMemory: bigint, JVMOffHeapMemory: bigint>
-"""
 METRICS = [
     "file_size_mb", "write_time_s", "read_time_s", "total_time_s", "energy_consumption_wh",
     "peak_memory_mb",
 ]
 BYTES_PER_MB = 1024 * 1024
-#: The log is written by another thread; beyond this it counts as broken, and that is reported.
-LOG_SECONDS = 120.0
+#: The store follows the jobs through another thread; beyond this it counts as broken, and that is reported.
+STORE_SECONDS = 120.0
+MEMORY = ("JVMHeapMemory", "JVMOffHeapMemory")
 
 
-def event_log_path(spark: SparkSession) -> str | None:
-    """Where this application logs its events, if it writes a log that can be read back."""
-    conf = spark.sparkContext.getConf()
-    readable = conf.get("spark.eventLog.enabled", "false") == "true" \
-        and conf.get("spark.eventLog.compress", "true") == "false"
-    folder = conf.get("spark.eventLog.dir", None)
-    return f"{folder.rstrip('/')}/*{spark.sparkContext.applicationId}*" if readable and folder else None
+def _each(sequence) -> list:
+    return [sequence.apply(i) for i in range(sequence.size())]
 
 
-def job_usage(spark: SparkSession, event_log: str, jobs: list[int]) -> DataFrame:
-    """(job, ended, cpu_time_s, peak_memory_mb) of the given jobs, from Spark's own event log.
+def _job(store, job: int):
+    """The store's record of a job, or None while it has none."""
+    try:
+        return store.job(job)
+    except Py4JJavaError as error:
+        if "NoSuchElement" in str(error.java_exception):
+            return None
+        raise
+
+
+def _attempts(spark: SparkSession, jobs: list[int]) -> list:
+    """The store's records of all attempts of the jobs' stages, once they have ended there."""
+    store, gateway = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway
+    every = (False, gateway.jvm.java.util.ArrayList(), False, gateway.new_array(gateway.jvm.double, 0))
+    deadline = time.perf_counter() + STORE_SECONDS
+    while True:
+        known = [_job(store, job) for job in jobs]
+        if all(job is not None and job.status().toString() not in ("RUNNING", "UNKNOWN") for job in known):
+            stages = {stage for job in known for stage in _each(job.stageIds())}
+            found = [attempt for stage in stages for attempt in _each(store.stageData(stage, *every))]
+            if all(attempt.status().toString() not in ("ACTIVE", "PENDING") for attempt in found):
+                return found
+        if time.perf_counter() > deadline:
+            raise TimeoutError(f"Spark's status store lacks the end of some of the jobs {jobs}")
+        time.sleep(0.05)
 
-    Memory is the largest JVM memory, heap and off-heap, that a task's executor reported;
-    it is null where executors report none.
-    """
-    events = spark.read.schema(EVENT_SCHEMA).option("recursiveFileLookup", "true").json(event_log)
-    started = events.filter((F.col("Event") == "SparkListenerJobStart") & F.col("Job ID").isin(jobs)).select(
-        F.col("Job ID").alias("job"), F.explode_outer("Stage IDs").alias("stage"))
-    ended = events.filter(F.col("Event") == "SparkListenerJobEnd").select(F.col("Job ID").alias("job"), F.lit(True).alias("ended"))
-    memory = F.col("`Task Executor Metrics`.JVMHeapMemory") + F.col("`Task Executor Metrics`.JVMOffHeapMemory")
-    tasks = events.filter(F.col("Event") == "SparkListenerTaskEnd").groupBy(F.col("Stage ID").alias("stage")).agg(
-        F.sum("`Task Metrics`.`Executor CPU Time`").alias("cpu_ns"), F.max(memory).alias("peak"))
-    peak = F.max("peak")
-    return started.join(tasks, "stage", "left").join(ended, "job", "left").groupBy("job").agg(
-        F.coalesce(F.bool_and("ended"), F.lit(False)).alias("ended"),
-        (F.coalesce(F.sum("cpu_ns"), F.lit(0)) / F.lit(1e9)).alias("cpu_time_s"),
-        F.when(peak > 0, peak / F.lit(float(BYTES_PER_MB))).alias("peak_memory_mb"),
-    )
 
+def _peak(metrics) -> int:
+    """Heap and off-heap bytes of an optional record of executor peaks; 0 if there is none."""
+    return sum(max(0, metrics.get().getMetricValue(name)) for name in MEMORY) if metrics.isDefined() else 0
 
-def _usage(spark: SparkSession, jobs: list[int]) -> tuple[float | None, float | None]:
-    """CPU seconds and peak memory of all the jobs together; nulls without a readable log.
 
-    It waits until the log has the end of every job, which comes after all their tasks.
+def _pools(spark: SparkSession):
+    return spark._jvm.java.lang.management.ManagementFactory.getMemoryPoolMXBeans()
+
+
+def _usage(spark: SparkSession, jobs: list[int]) -> tuple[float, float | None]:
+    """CPU seconds of all the jobs together, and the peak JVM memory in MB, from Spark's status store.
+
+    In a local session memory is the sum of the peaks of the JVM's pools since they were last reset. On a cluster
+    it is the largest executor's in the jobs' stages or, where these were too short for a
+    heartbeat, the largest executor's so far; null before the first heartbeat.
     """
-    log = event_log_path(spark)
-    if log is None:
-        return None, None
-    deadline = time.perf_counter() + LOG_SECONDS
-    while True:
-        found = job_usage(spark, log, jobs).collect()
-        if len(found) == len(jobs) and all(row["ended"] for row in found):
-            peaks = [row["peak_memory_mb"] for row in found if row["peak_memory_mb"] is not None]
-            return sum(row["cpu_time_s"] for row in found), max(peaks, default=None)
-        if time.perf_counter() > deadline:
-            raise TimeoutError(f"the event log {log} lacks the end of some of the jobs {jobs}")
-        time.sleep(0.2)
+    stages = _attempts(spark, jobs)
+    cpu = sum(stage.executorCpuTime() for stage in stages) / 1e9
+    if spark.sparkContext.master.startswith("local"):
+        peak = sum(pool.getPeakUsage().getUsed() for pool in _pools(spark))
+    else:
+        peak = max((_peak(stage.peakExecutorMetrics()) for stage in stages), default=0) or max(
+            (_peak(executor.peakMemoryMetrics())
+             for executor in _each(spark.sparkContext._jsc.sc().statusStore().executorList(False)) if executor.id() != "driver"), default=0)
+    return cpu, peak / BYTES_PER_MB if peak > 0 else None
 
 
 def _measured(spark: SparkSession, work) -> tuple[float, float | None, float | None]:
     """Seconds, CPU seconds and peak memory of the jobs that `work` runs."""
     context, group = spark.sparkContext, uuid.uuid4().hex
     context.setJobGroup(group, group)
+    for pool in _pools(spark):
+        pool.resetPeakUsage()
     try:
         start = time.perf_counter()
         work()
@@ -99,10 +104,9 @@ def measure_formats(df: DataFrame, formats: Iterable[str] = FORMATS, sums: Itera
     """One row per format; a format that fails gives a row with its error.
 
     The rows are stored once, and every format is written from that table and read back,
-    after one such round that is not measured. `scan_time_s` is a plain pass over
+    after one round of the first format that is not measured. `scan_time_s` is a plain pass over
     the stored table, which every write contains. Reading counts the rows and adds up the columns `sums`
-    exactly. CPU seconds, peak memory and energy are null unless the application
-    keeps an uncompressed event log. All files are removed afterwards.
+    exactly. CPU seconds and peak memory come from Spark's status store. All files are removed afterwards.
     """
     spark, sums = df.sparkSession, list(sums)
     totals = [unit_total(df, name).cast("double").alias(f"sum_{name}") for name in sums]
@@ -111,14 +115,16 @@ def measure_formats(df: DataFrame, formats: Iterable[str] = FORMATS, sums: Itera
     stored = read_table(spark, source, schema=df.schema)
     run(stored)
     scan = run(stored)
-    rows = []
+    rows, cold = [], True
     for fmt in formats:
         path = scratch_path(spark, f"format-{fmt}")
         try:
             seen = Observation()
             back = lambda: read_table(spark, path, fmt, df.schema, written_here=True)
-            write_table(stored, path, fmt)
-            run(back())
+            if cold:  # what the JVM compiles and loads on a first write and read should not count for one format
+                write_table(stored, path, fmt)
+                run(back())
+                cold = False
             write = _measured(spark, lambda: write_table(stored, path, fmt))
             read = _measured(spark, lambda: run(back().observe(seen, F.count(F.lit(1)).alias("rows"), *totals)))
             size = table_files(spark, path).agg(F.sum("length")).first()[0]

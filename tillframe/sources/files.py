@@ -23,6 +23,8 @@ CSV_WRITTEN = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "
 #: On reading, nothing between commas becomes this and then null, so that "" stays empty text.
 CSV_READ_BACK = {"nullValue": "\u0001", "emptyValue": ""}
 
+#: The folder in a table that lists its data files; readers of the table skip it.
+MANIFEST = "_manifest"
 
 _local_scratch: dict[str, str] = {}
 
@@ -126,13 +128,84 @@ def load_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
     return load_table(spark, path, "csv", schema)
 
 
-def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
-    """Write the rows; CSV and JSON keep microseconds, and CSV keeps text as `_escaped` has it."""
+def _beside(path: str, mark: str) -> str:
+    """A hidden sibling of the path."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{mark}" if parent or path.startswith("/") else f".{name}.{mark}"
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    paths = spark._jvm.org.apache.hadoop.fs.Path
+    if not paths(source).getFileSystem(spark._jsc.hadoopConfiguration()).rename(paths(source), paths(target)):
+        raise OSError(f"cannot rename {source} to {target}")
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back the table that a replacement set aside, if it broke off before the new one took its place.
+
+    Call it only while nobody writes the path. True if there was something to put back.
+    """
+    aside = _beside(path, "old")
+    if not path_exists(spark, aside):
+        return False
+    if path_exists(spark, path):
+        remove(spark, aside)
+        return False
+    _rename(spark, aside, path)
+    return True
+
+
+def replace_table(spark: SparkSession, path: str, save: Callable[[str], None]) -> str:
+    """Let `save` write a table to a hidden sibling, and then put it in the place of the one at `path`.
+
+    A failed write leaves the old table as it was, and the rows may come from that table. The swap is two renames; `recover`
+    mends a swap that broke off between them, and runs before each replacement. One writer at a time;
+    where renaming copies, as in object stores, the swap takes as long as the copy.
+    """
+    recover(spark, path)
+    fresh = _beside(path, f"new-{uuid.uuid4().hex}")
+    try:
+        save(fresh)
+    except BaseException:
+        remove(spark, fresh)
+        raise
+    aside = _beside(path, "old")
+    if path_exists(spark, path):
+        _rename(spark, path, aside)
+    _rename(spark, fresh, path)
+    remove(spark, aside)
+    return path
+
+
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", manifest: bool = False) -> str:
+    """Write the rows in the place of what is there; CSV and JSON keep microseconds, and CSV keeps text as `_escaped` has it.
+
+    The old table stays readable until all rows are written. With `manifest` the table
+    also holds the names and lengths of its files, which `file_faults` checks.
+    """
     _check(fmt)
     options = {"csv": {**CSV, **CSV_WRITTEN, **TIMES}, "json": TIMES}.get(fmt, {})
     rows = _each_text(df, _escaped) if fmt == "csv" else df
-    rows.write.mode("overwrite").format(fmt).options(**options).save(path)
-    return path
+
+    def save(place: str) -> None:
+        rows.write.format(fmt).options(**options).save(place)
+        if manifest:
+            _names(table_files(df.sparkSession, place), place).write.json(f"{place}/{MANIFEST}")
+
+    return replace_table(df.sparkSession, path, save)
+
+
+def _names(files: DataFrame, path: str) -> DataFrame:
+    """(file, length) with the names below the table's own folder."""
+    folder = path.rstrip("/").rpartition("/")[2]
+    return files.select(F.element_at(F.split("path", f"/\\Q{folder}\\E/"), -1).alias("file"), "length")
+
+
+def file_faults(spark: SparkSession, path: str) -> DataFrame:
+    """(file, written, found): files of the table whose lengths are not those of its manifest; null where there is no such file."""
+    written = spark.read.schema("file string, length bigint").json(f"{path}/{MANIFEST}").withColumnRenamed("length", "written")
+    found = _names(table_files(spark, path), path).withColumnRenamed("length", "found")
+    return written.join(found, "file", "full").filter(~F.col("written").eqNullSafe(F.col("found")))
 
 
 def save_tables(tables: Mapping[str, DataFrame], base: str, zone: str = "processed",
