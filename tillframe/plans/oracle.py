@@ -582,7 +582,7 @@ def _shuffled(seed: int, files: int) -> str:
         moved = f"({own} + ((h * h + {c}) % {prime} * {d} + {other}) % {prime}) % {size}"
         start = "n - n_rows * n_columns" if i // permutation.ROUNDS % 2 else "0"
         cell = f"{moved} * n_columns + c" if step.on_row else f"r * n_columns + {moved}"
-        steps.append(f"""step_{i + 1} AS (SELECT order_id, number, n, n_rows, n_columns,
+        steps.append(f"""step_{i + 1} AS MATERIALIZED (SELECT order_id, number, n, n_rows, n_columns,
             CASE WHEN spot >= 0 AND spot < n_rows * n_columns THEN start + {cell} ELSE place END AS place
           FROM (SELECT *, ({other} * {a} + {b}) % {prime} AS h FROM (SELECT *, spot // n_columns AS r, spot % n_columns AS c
             FROM (SELECT *, {start} AS start, place - ({start}) AS spot FROM step_{i}))))""")
