@@ -39,4 +39,5 @@ def clashing(odd):
     """The same with columns named like results and like names used inside."""
     names = ["score", "kept", "shard", "size", "slot", "n_words", "n_hit", "items", "spans", "row", "id", "class_id", "leader", "topic",
              "weight", "n_tokens", "rejected", "lang_pred", "base", "rule", "words", "chunk"]
+    names = [name.title() if i % 2 else name for i, name in enumerate(names)]  # a clash need not be in the same case
     return odd.withColumns({name: F.lit(f"own {name}") for name in names})

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tillframe.llm.common import LETTERS, importable, utf8, words_of
+from tillframe.llm.common import LETTERS, importable, utf8, without_columns, words_of
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -203,22 +203,25 @@ def occurrences(hashes: np.ndarray, begins: np.ndarray, tests: Phrases) -> tuple
 def scan_shard(hashes: np.ndarray, begins: np.ndarray, tests: Phrases) -> list[tuple[int, int, list[str], list[tuple[int, int]]]]:
     """(words, words hit, items, merged spans of words) of each text of a shard."""
     which, words = occurrences(hashes, begins, tests)
-    ends = words + tests.lengths[which] if len(which) else words
-    owner = np.searchsorted(begins, words, side="right") - 1
     out = [(int(n), 0, [], []) for n in np.diff(begins)]
-    order = np.lexsort((words, owner))
-    for text in np.unique(owner):
-        a, b = np.searchsorted(owner[order], [text, text + 1])
-        own = order[a:b]
-        spans: list[list[int]] = []
-        for start, end in sorted({(int(words[i]), int(ends[i])) for i in own}):
-            if spans and start <= spans[-1][1]:
-                spans[-1][1] = max(end, spans[-1][1])
-            else:
-                spans.append([start, end])
-        items = sorted({item for window in np.unique(which[own]) for item in tests.items[window]})
+    if not len(which):
+        return out
+    order = np.argsort(words, kind="stable")
+    which, words = which[order], words[order]
+    reach = np.maximum.accumulate(words + tests.lengths[which])
+    owner = np.searchsorted(begins, words, side="right") - 1
+    # a span opens where nothing before it, in its text, reaches it
+    opens = np.concatenate(([True], (words[1:] > reach[:-1]) | (owner[1:] != owner[:-1])))
+    first = np.flatnonzero(opens)
+    starts, ends, texts = words[first], reach[np.append(first[1:], len(words)) - 1], owner[first]
+    borders = np.flatnonzero(np.concatenate(([True], texts[1:] != texts[:-1], [True])))
+    edges = np.append(first, len(words))[borders]
+    for a, b, low, high in zip(borders[:-1], borders[1:], edges[:-1], edges[1:]):
+        text = int(texts[a])
         base = int(begins[text])
-        out[text] = (out[text][0], sum(end - start for start, end in spans), items, [(s - base, e - base) for s, e in spans])
+        items = sorted({item for window in set(which[low:high].tolist()) for item in tests.items[window]})
+        spans = list(zip((starts[a:b] - base).tolist(), (ends[a:b] - base).tolist()))
+        out[text] = (out[text][0], int((ends[a:b] - starts[a:b]).sum()), items, spans)
     return out
 
 
@@ -295,7 +298,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
                        item: str = "item_id", item_text: str = "text", window: int = WINDOW,
                        max_phrase_bytes: int = MAX_PHRASE_BYTES) -> DataFrame:
     """The columns `keep` (default all) with n_words, n_hit, items (sorted as text) and merged spans of words."""
-    kept = [name for name in (docs.columns if keep is None else keep) if name not in FOUND.names]
+    kept = without_columns(docs, *FOUND.names) if keep is None else keep
     return _scan(docs, _tests(docs, benchmark, item, item_text, window, max_phrase_bytes), text, kept, None)
 
 

@@ -6,6 +6,11 @@ on a bounded sample of labelled rows: of each language, the `sample_rows` / lang
 hash of id and text is smallest, so neither repeated nor missing ids change who may be drawn, nor does the
 sample grow with the table. A part of the sample sets the temperature and the threshold for rejection.
 
+Beside the languages the softmax has one class for texts of none: garbled versions of the sample, with letters
+shuffled, letters exchanged for others of their kind (vowels, consonants), or hexadecimal digits in their place. A text is rejected if that class
+leads the best language by more than a threshold, set between held-out texts of the languages, long and short, and held-out
+garbled ones; the model carries both error rates. Scores are chances among the languages alone.
+
 Prediction is linear in the n-grams, so the embedding table times the softmax matrix is
 one table of a fixed size (2**bits rows, a column per language); tasks add its rows over
 whole texts. The table is all that is sent to the executors.
@@ -18,6 +23,7 @@ columns replace input columns of the same name. An empty table gives an empty re
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,13 +32,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, utf8
+from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, utf8, without_columns
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
 FOLDS, HELD_OUT = 4, 2
-#: The threshold is at most this much above even chances.
-NEARLY_EVEN = 0.4
+_VOWELS = np.frombuffer(b"aeiouy", np.uint8)
+_CONSONANTS = np.frombuffer(b"bcdfghjklmnpqrstvwxz", np.uint8)
+_HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 _SPACE = 32
 _LETTERS = np.full(256, _SPACE, dtype=np.uint8)
 _LETTERS[ord("a"):ord("z") + 1] = np.arange(ord("a"), ord("z") + 1)
@@ -42,7 +49,11 @@ _LETTERS[0x80:] = np.arange(0x80, 0x100)
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Scores of each bucket for each language, the calibration, and the rejection threshold."""
+    """Scores of each bucket for each language and, last, for no language; the calibration; and rejection.
+
+    `threshold` is the lead over the best language that rejects; `false_rejections` and `caught` are the shares
+    of held-out texts, and of garbled ones, that it rejects.
+    """
 
     languages: tuple[str, ...]
     bits: int
@@ -50,6 +61,8 @@ class LanguageModel:
     bias: np.ndarray
     temperature: float
     threshold: float
+    false_rejections: float = 0.0
+    caught: float = 0.0
 
 
 def _grams(data: bytes, begins: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -103,9 +116,27 @@ def bucket_counts(text: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
 
 
+def garbled(text: bytes) -> bytes:
+    """The text made into one of no language, in one of three ways; a function of the text."""
+    seed = zlib.crc32(text)
+    draw = np.random.default_rng(seed)
+    letters = _LETTERS[np.frombuffer(text, np.uint8)]
+    at = np.flatnonzero(letters != _SPACE)
+    if seed % 3 == 0:
+        letters[at] = draw.permutation(letters[at])
+    elif seed % 3 == 1:
+        names = np.arange(256, dtype=np.uint8)
+        for kind in (_VOWELS, _CONSONANTS):
+            names[kind] = draw.permutation(kind)
+        letters = names[letters]
+    else:
+        letters[at] = draw.choice(_HEX, len(at))
+    return letters.tobytes()
+
+
 def predict(texts: list[bytes], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, calibrated probability and rejection of each text."""
-    sums = np.zeros((len(texts), max(1, len(model.languages))))
+    sums = np.zeros((len(texts), model.scores.shape[1]))
     counts = np.zeros(len(texts))
     for first, last, data, begins in _runs(texts):
         for buckets, offsets in _grams(data, begins, model.bits):
@@ -117,11 +148,17 @@ def predict(texts: list[bytes], model: LanguageModel) -> tuple[list[str], np.nda
     known = [bool(len(model.languages)) and count > 0 and _has_letter(text) for text, count in zip(texts, counts)]
     if not any(known):
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
-    chances = softmax((sums / np.maximum(counts, 1)[:, None] + model.bias) / model.temperature)
+    logits = sums / np.maximum(counts, 1)[:, None] + model.bias
+    chances = softmax(logits[:, :-1] / model.temperature)
     best = chances.argmax(axis=1)
     score = np.where(known, chances[np.arange(len(texts)), best], 0.0)
     return ([model.languages[i] if k else UNKNOWN for i, k in zip(best, known)], score,
-            ~np.array(known) | (score < model.threshold))
+            ~np.array(known) | (_lead(logits) > model.threshold))
+
+
+def _lead(logits: np.ndarray) -> np.ndarray:
+    """By how much the class of no language leads the best language."""
+    return logits[:, -1] - logits[:, :-1].max(axis=1)
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -166,33 +203,49 @@ def fit(texts: list[bytes], labels: list[str], *, bits: int = 16, width: int = 1
         rate: float = 1.0, false_rejections: float = 0.001, seed: int = 7) -> LanguageModel:
     """Train on labelled texts; every fifth of them, dealt by a fixed draw, calibrates."""
     return _fit([(*bucket_counts(text, bits), label) for text, label in zip(texts, labels)],
-                bits, width, epochs, rate, false_rejections, seed)
+                [bucket_counts(garbled(text), bits) for text in texts], bits, width, epochs, rate, false_rejections, seed)
+
 
+def _shares(counts: np.ndarray) -> np.ndarray:
+    return (counts / counts.sum()).astype(np.float32)
 
-def _fit(samples: list[tuple[np.ndarray, np.ndarray, str]], bits: int, width: int, epochs: int, rate: float,
-         false_rejections: float, seed: int) -> LanguageModel:
+
+def _fit(samples: list[tuple[np.ndarray, np.ndarray, str]], noise: list[tuple[np.ndarray, np.ndarray]], bits: int, width: int,
+         epochs: int, rate: float, false_rejections: float, seed: int) -> LanguageModel:
     samples = [sample for sample in samples if len(sample[0])]
     languages = tuple(sorted({label for *_, label in samples}))
     if not languages:
         return LanguageModel((), bits, np.zeros((1 << bits, 1), np.float32), np.zeros(1), 1.0, 0.0)
-    rows = [(buckets, (counts / counts.sum()).astype(np.float32), languages.index(label)) for buckets, counts, label in samples]
+    rows = [(buckets, _shares(counts), languages.index(label)) for buckets, counts, label in samples]
+    rows += [(buckets, _shares(counts), len(languages)) for buckets, counts in noise if len(buckets)]
     apart = np.random.default_rng(seed + 1).random(len(rows)) < 0.2
-    scores, bias = _descend([row for row, out in zip(rows, apart) if not out] or rows, len(languages), bits, width, epochs, rate, seed)
-    checks = [row for row, out in zip(rows, apart) if out] or rows
-    checks += [thinned for row in checks for thinned in _thinned(row, seed)]
-    logits = np.array([shares @ scores[buckets] + bias for buckets, shares, _ in checks], dtype=np.float64)
-    truth = np.array([language for *_, language in checks])
+    scores, bias = _descend([row for row, out in zip(rows, apart) if not out] or rows, len(languages) + 1, bits, width, epochs, rate, seed)
+
+    def logits_of(checks: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
+        return np.array([shares @ scores[buckets] + bias for buckets, shares, _ in checks], dtype=np.float64).reshape(-1, len(languages) + 1)
+
+    def held_out_rows(noise: bool) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        every = [(row, out) for row, out in zip(rows, apart) if (row[2] == len(languages)) == noise]
+        return [row for row, out in every if out] or [row for row, _ in every]
+
+    checks = held_out_rows(False)
+    short = [list(_thinned(row, seed)) for row in checks]
+    logits = logits_of(checks + [row for some in short for row in some])[:, :-1]
+    truth = np.array([language for *_, language in checks] + [row[2] for some in short for row in some])
 
     def loss(temperature: float) -> float:
         chances = softmax(logits / temperature)[np.arange(len(truth)), truth]
         return float(-np.log(np.maximum(chances, 1e-12)).mean())
 
     temperature = min(np.geomspace(0.05, 20, 60), key=loss)
-    chances = softmax(logits / temperature)
-    right = chances.max(axis=1)[chances.argmax(axis=1) == truth]
-    even = (1 + NEARLY_EVEN) / len(languages)  # rejection is for texts that no language explains
-    threshold = min(even, float(np.quantile(right, false_rejections))) if len(right) else 0.0
-    return LanguageModel(languages, bits, scores.astype(np.float32), bias.astype(np.float64), float(temperature), threshold)
+    own = _lead(logits_of(checks + [row for some in short for row in some[1:]]))
+    others = held_out_rows(True)
+    alien = _lead(logits_of(others + [row for some in others for row in list(_thinned(some, seed))[1:]]))
+    threshold = float(np.quantile(own, 1 - false_rejections))
+    if len(alien):
+        threshold = max(threshold, (threshold + float(np.quantile(alien, 0.02))) / 2)
+    return LanguageModel(languages, bits, scores.astype(np.float32), bias.astype(np.float64), float(temperature), threshold,
+                         float((own > threshold).mean()), float((alien > threshold).mean()) if len(alien) else 0.0)
 
 
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: str = "doc_id", sample_rows: int = 2400, most_languages: int = 400,
@@ -208,7 +261,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), draw)
     sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
     if not sizes:
-        return _fit([], bits, width, epochs, rate, false_rejections, seed)
+        return _fit([], [], bits, width, epochs, rate, false_rejections, seed)
     each = max(1, sample_rows // len(sizes))
     # the draws alone, cut to `each` per task and language before they are moved
     first = rows.select("lang", "draw", F.pmod("draw", F.lit(64)).alias("deal")).distinct()
@@ -219,22 +272,23 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [bucket_counts(value, bits) for value in utf8(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([b.astype(np.int32).tobytes() for b, _ in found], pa.binary()),
-                 pa.array([c.astype(np.int32).tobytes() for _, c in found], pa.binary())], ["lang", "buckets", "counts"])
+            columns = [batch.column(0)]
+            for change in (bytes, garbled):
+                found = [bucket_counts(change(value), bits) for value in utf8(batch.column(1))]
+                columns += [pa.array([part[i].astype(np.int32).tobytes() for part in found], pa.binary()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "buckets", "counts", "noise", "noise_counts"])
 
-    sample = drawn.select("lang", "text").mapInArrow(count, "lang string, buckets binary, counts binary")
-    found = sorted((row.lang, bytes(row.buckets), bytes(row.counts)) for row in sample.collect())
-    return _fit([(np.frombuffer(b, np.int32).astype(np.int64), np.frombuffer(c, np.int32), label) for label, b, c in found],
-                bits, width, epochs, rate, false_rejections, seed)
+    sample = drawn.select("lang", "text").mapInArrow(count, "lang string, buckets binary, counts binary, noise binary, noise_counts binary")
+    found = sorted((row[0], *map(bytes, row[1:])) for row in sample.collect())
+    numbers = [(label, *[np.frombuffer(part, np.int32) for part in parts]) for label, *parts in found]
+    return _fit([(b.astype(np.int64), c, label) for label, b, c, *_ in numbers],
+                [(b.astype(np.int64), c) for *_, b, c in numbers], bits, width, epochs, rate, false_rejections, seed)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns named in `keep` (default all) with lang_pred, score and rejected."""
     importable(docs.sparkSession)
-    names = ["lang_pred", "score", "rejected"]
-    kept = [name for name in (docs.columns if keep is None else keep) if name not in names]
+    kept = without_columns(docs, "lang_pred", "score", "rejected") if keep is None else keep
     columns = list(dict.fromkeys([*kept, text]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = StructType([*[docs.schema[name] for name in kept], StructField("lang_pred", StringType()),

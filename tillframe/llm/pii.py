@@ -26,7 +26,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillframe.llm.common import stored
+from tillframe.llm.common import stored, without_columns
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = "A-Za-z0-9._%+-"
@@ -117,7 +117,7 @@ def _spans(kind: str) -> Column:
 
 def base_entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with `base` (start, rank of the kind, end; in order) and `candidates` (start, end, found, word, words)."""
-    kept = [name for name in docs.columns if name not in ("base", "candidates")]
+    kept = without_columns(docs, "base", "candidates")
     df = docs.select(*kept, F.when(F.regexp_like(F.col(text), F.lit("[0-9@]")), F.col(text)).otherwise(F.lit("")).alias("__text"))
     df = df.select(*kept, *[matches("__text", expression).alias(f"__parts_{kind}") for kind, expression in EXPRESSIONS.items()],
                    matches("__text", _TOKEN).alias("__parts_tokens"))
@@ -202,7 +202,7 @@ def find_entities(docs: DataFrame, text: str = "text", settings: Bootstrap = Boo
         F.min("rank").alias("rank")).groupBy("__row").agg(F.collect_list(F.struct("start", "rank", "end")).alias("__new"))
     joined = entities.join(new, "__row", "left")
     spans = F.sort_array(F.concat("base", F.coalesce("__new", F.array().cast("array<struct<start:int,rank:int,end:int>>"))))
-    return joined.select(*[name for name in entities.columns if name not in ("__row", "candidates", "spans")], spans.alias("spans"))
+    return joined.select(*without_columns(entities, "__row", "candidates", "spans"), spans.alias("spans"))
 
 
 def span_text(spans: Column) -> Column:

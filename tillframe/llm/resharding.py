@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from tillframe.llm.common import without_columns
 from tillframe.sources.files import scratch_path
 
 OLD_SHARDS, NEW_SHARDS, BLOCKS = 16, 24, 2048
@@ -137,11 +138,11 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | int = NE
     those of `docs` with old_shard, shard, slot and size.
     """
     spark = docs.sparkSession
-    kept = [name for name in docs.columns if name not in RESULTS]
+    kept = without_columns(docs, *RESULTS)
     docs = docs.select(*kept, old_shard.cast("int").alias("old_shard"))
     size = (F.coalesce(F.octet_length(text), F.lit(0)) + ROW_BYTES).cast("bigint")
     rows = docs.withColumn("size", size).withColumn(
-        "__block", F.pmod(F.xxhash64(F.col(key), F.col("size")), F.lit(blocks)).cast("int"))
+        "__block", F.pmod(F.xxhash64(F.col(key), F.col("size"), F.col(text)), F.lit(blocks)).cast("int"))
     # at most `blocks` rows for each old shard
     found = [Block(*row) for row in rows.groupBy("old_shard", "__block").agg(F.sum("size"), F.count(F.lit(1))).collect()]
     found.sort(key=lambda block: (block.shard is None, block.shard or 0, block.block))
@@ -160,9 +161,9 @@ def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | int = NE
     files = max(4, -(-total // (len(capacities) * file_bytes)))
     moves = F.broadcast(spark.createDataFrame(plan, "__old int, __part int, shard int, __offset bigint"))
     placed = rows.join(moves, rows["old_shard"].eqNullSafe(moves["__old"]) & (rows["__block"] == moves["__part"])).withColumn(
-        "__file", F.pmod(F.col("__block"), F.lit(files)))
-    place = F.row_number().over(Window.partitionBy("shard", "__file", "old_shard", "__block").orderBy(key, F.xxhash64(*kept)))
-    placed = placed.repartition(len(capacities) * files, "shard", "__file").withColumn("slot", F.col("__offset") + place - 1)
+        "__file", (F.col("shard") * files + F.pmod(F.col("__block"), F.lit(files))).cast("int"))
+    place = F.row_number().over(Window.partitionBy("__file", "old_shard", "__block").orderBy(key, F.xxhash64(*kept)))
+    placed = placed.repartitionById(len(capacities) * files, "__file").withColumn("slot", F.col("__offset") + place - 1)
     placed = placed.select(*kept, "old_shard", "slot", "size", "shard")
     path = path or scratch_path(spark, "shards")
     (placed.filter(F.col("shard").isin(list(written))) if untouched else placed).write.partitionBy("shard").parquet(path)

@@ -29,7 +29,7 @@ from math import log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillframe.llm.common import crc32_of_id, stored
+from tillframe.llm.common import crc32_of_id, stored, without_columns
 
 SPACE = " \t\n\x0b\f\r"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -41,7 +41,7 @@ QUANTILES = 24
 
 def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with the counts in COUNTS and MORE (all bigint) of each whole text."""
-    kept = [name for name in docs.columns if name not in COUNTS + MORE]
+    kept = without_columns(docs, *COUNTS, *MORE)
     lines = F.filter(F.split("__text", "\n"), lambda line: F.regexp_like(line, F.lit(r"[^\x20\x09-\x0D]")))
     df = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
     df = df.withColumn("__trim", F.btrim("__text", F.lit(SPACE))).withColumn("__lines", lines)
@@ -191,7 +191,7 @@ def learn(labelled: DataFrame, bad: Column, *, key: str = "doc_id", sample_rows:
 
 def judge(statistics: DataFrame, rules: DecisionList) -> DataFrame:
     """`statistics` with base_failed, rule (number of the first that holds) and kept."""
-    kept = [name for name in statistics.columns if name not in ("base_failed", "rule", "kept")]
+    kept = without_columns(statistics, "base_failed", "rule", "kept")
     return statistics.select(*kept, base_failed().alias("base_failed"), rules.first_rule().alias("rule")).withColumn(
         "kept", ~F.col("base_failed") & F.col("rule").isNull())
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tillframe.llm.common import importable
+from tillframe.llm.common import importable, without_columns
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -128,8 +128,7 @@ def with_token_counts(docs: DataFrame, path: str | None = None, *, text: str = "
     """The columns `keep` (default all) with n_bytes, n_tokens and over_limit."""
     path = path or default_model()
     importable(docs.sparkSession)
-    names = ["n_bytes", "n_tokens", "over_limit"]
-    kept = [name for name in (docs.columns if keep is None else keep) if name not in names]
+    kept = without_columns(docs, "n_bytes", "n_tokens", "over_limit") if keep is None else keep
     columns = list(dict.fromkeys([*kept, text]))
     table = frequent_lengths(docs, path, text, key) if table is None else table
     shared = docs.sparkSession.sparkContext.broadcast(table)
