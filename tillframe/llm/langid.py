@@ -263,10 +263,11 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
     if not sizes:
         return _fit([], [], bits, width, epochs, rate, false_rejections, seed)
     each = max(1, sample_rows // len(sizes))
-    # the draws alone, cut to `each` per task and language before they are moved
-    first = rows.select("lang", "draw", F.pmod("draw", F.lit(64)).alias("deal")).distinct()
-    for keys in (["lang", "deal"], ["lang"]):
-        first = first.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("draw"))).filter(F.col("nth") <= each).drop("nth")
+    # the draws alone, cut to `each` of a language in each of 64 deals, of 8, and of all: no task holds more than eight times `each`
+    first = rows.select("lang", "draw").distinct()
+    for deals in (64, 8, 1):
+        window = Window.partitionBy("lang", F.pmod("draw", F.lit(deals))).orderBy("draw")
+        first = first.withColumn("nth", F.row_number().over(window)).filter(F.col("nth") <= each).drop("nth")
     last = first.filter(F.col("lang").isin([row["lang"] for row in sizes])).groupBy("lang").agg(F.max("draw").alias("last"))
     drawn = rows.join(F.broadcast(last), "lang").filter(F.col("draw") <= F.col("last")).groupBy("lang", "draw").agg(F.first("text").alias("text"))
 
