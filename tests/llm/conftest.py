@@ -40,4 +40,5 @@ def clashing(odd):
     names = ["score", "kept", "shard", "size", "slot", "n_words", "n_hit", "items", "spans", "row", "id", "class_id", "leader", "topic",
              "weight", "n_tokens", "rejected", "lang_pred", "base", "rule", "words", "chunk"]
     names = [name.title() if i % 2 else name for i, name in enumerate(names)]  # a clash need not be in the same case
+    names += [f"__{name}" for name in ("text", "tokens", "row", "topic", "draw", "s", "words", "trim", "block", "file", "old", "value", "hot", "of", "n", "new")]
     return odd.withColumns({name: F.lit(f"own {name}") for name in names})

@@ -216,6 +216,87 @@ def test_contexts_discover_identifiers(spark, documents):
     assert spans[50] == "card:17:33" and spans[51] == ""
 
 
+def plain_discovery(texts, settings):
+    """Spans by document: base entities and those that patterns discover, with dictionaries in place of joins."""
+    n, occurrences, edges, spans = len(PATTERNS), [], {}, {}
+    for doc, text in texts.items():
+        base = [entity[:3] for entity in entities(text)]
+        spans[doc] = {(a, rank, b) for a, rank, b in base}
+        found = list(re.finditer(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*", text))
+        for i, match in enumerate(found):
+            gaps = text[found[i - 1].end() if i else 0:match.start()], text[match.end():found[i + 1].start() if i + 1 < len(found) else len(text)]
+            before, after = (re.sub(r"[\x09-\x0D]", " ", gap).strip(" ").lower().split(" ") for gap in gaps)
+            core = match[0].strip(pii._EDGE)
+            start = match.end() - len(match[0].lstrip(pii._EDGE))
+            end = start + len(core)
+            inside = [(a, rank) for a, rank, _ in base if start - 1 <= a < end]
+            rank = min(inside)[1] if inside else None
+            if rank is None and any(a < end and b > start for a, _, b in base) or not any(map(str.isalpha, before[-1])):
+                continue
+            shape = re.sub("[0-9]+", "9", re.sub("[0-9]{10,}", "L", re.sub("[A-Za-z]+", "a", core)))
+            patterns = {(before[-1], shape), (" ".join(before[-2:]), shape)} | ({(before[-1], shape, after[0])} if any(map(str.isalpha, after[0])) else set())
+            occurrences.append((doc, start, end, rank, patterns))
+            for pattern in patterns:
+                seeds = edges.setdefault((pattern, core.lower()), [0.0] * n)
+                if rank is not None:
+                    seeds[rank] = 1.0
+    seeds, members = defaultdict(lambda: [0.0] * n), defaultdict(list)
+    for (pattern, instance), flags in edges.items():
+        seeds[instance] = [max(x) for x in zip(seeds[instance], flags)]
+        members[pattern].append(instance)
+    scores = dict(seeds)
+    for _ in range(settings.rounds):
+        sums = {pattern: [sum(scores[x][k] for x in found) for k in range(n)] for pattern, found in members.items()}
+        trust = {pattern: [x / len(members[pattern]) for x in total] for pattern, total in sums.items()}
+        gains = defaultdict(lambda: [0.0] * n)
+        for pattern, instance in edges:
+            gains[instance] = [gain + math.log1p(-min(trust[pattern][k], 0.999) * (sums[pattern][k] >= settings.min_seeds)) for k, gain in enumerate(gains[instance])]
+        scores = {x: seeds[x] if max(seeds[x]) else [1 - math.exp(gain) for gain in gains[x]] for x in seeds}
+    named = {}
+    for pattern, each in trust.items():
+        rank = each.index(max(each))
+        if each[rank] >= settings.min_confidence and sum(edges[pattern, x][rank] for x in members[pattern]) >= settings.min_seeds:
+            named[pattern] = rank
+    for doc, start, end, rank, patterns in occurrences:
+        ranks = [named[pattern] for pattern in patterns if pattern in named]
+        if rank is None and ranks:
+            spans[doc].add((start, min(ranks), end))
+    return {doc: ",".join(f"{list(PATTERNS)[rank]}:{a}:{b}" for a, rank, b in sorted(found)) for doc, found in spans.items()}
+
+
+def test_discovered_spans_against_plain_bootstrapping(documents):
+    """Contexts that name cards, hosts and telephones, some of them shared with codes and room numbers."""
+    draw = np.random.default_rng(12)
+    texts = {}
+    for i in range(400):
+        cue = ["card number:", "paid with card", "host address", "call me under", "room", "order code"][draw.integers(6)]
+        number = str(draw.integers(10**14, 10**15))
+        valid = next(number + str(d) for d in range(10) if luhn(number + str(d)))
+        broken = number + str((int(valid[-1]) + 3) % 10)
+        real = draw.random() < 0.93
+        value = {"card number:": valid if real else broken, "paid with card": valid if real else broken,
+                 "host address": f"10.0.{i % 250}.7" if real else f"10.0.{i}.999", "call me under": f"+1-555-{1000000 + i}" if real else f"01555{1000000 + i}",
+                 "room": str(i % 40), "order code": broken if real else valid}[cue]
+        texts[i] = f"Word {cue} {value}{' thanks' if i % 3 else ', bye'} and more 日本 {'x9y' if i % 5 else ''}"
+    for settings in (pii.Bootstrap(), pii.Bootstrap(2, 0.6, 3)):
+        rows = pii.find_entities(documents(*texts.items()), settings=settings).select("doc_id", pii.span_text(F.col("spans")).alias("spans")).collect()
+        assert dict(rows) == (expected := plain_discovery(texts, settings))
+        base = {doc: ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in entities(text)) for doc, text in texts.items()}
+        more = [doc for doc in texts if expected[doc] != base[doc]]
+        assert more and not any("order code" in texts[doc] or " room " in texts[doc] for doc in more)
+
+
+def test_repeated_windows_are_compared_by_words(spark):
+    """Few words, many windows: counts equal those of plain Python, also where nearly all windows repeat."""
+    draw = np.random.default_rng(3)
+    texts = {i: " ".join(draw.choice(["a", "bb", "a b", "c\td", "é"], size)) for i, size in enumerate((0, 1, 2, 3, 4, 9, 40, 300, 3000))}
+    rows = rules.text_statistics(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    for row in rows:
+        words = blanks(texts[row.doc_id])
+        triples = Counter(zip(words, words[1:], words[2:]))
+        assert row.n_repeat_words == len({i + j for i in range(len(words) - 2) if triples[tuple(words[i:i + 3])] > 1 for j in range(3)})
+
+
 @pytest.mark.parametrize("chunk_tokens", [lm.CHUNK_TOKENS, 700])
 def test_op9(spark, texts, chunk_tokens):
     scores, mixture = lm.score(read(spark, SMALL, "documents"), chunk_tokens=chunk_tokens)

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructType
 
-from tillframe.llm.common import map_batches, stored, without_columns
+from tillframe.llm.common import map_batches, own_names, stored, without_columns
 
 FILE_A, FILE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 TABLE_ROWS = 1 << 20
@@ -387,6 +387,7 @@ def with_pair_counts(found: DataFrame, table_rows: int = TABLE_ROWS) -> DataFram
         "__row", "__best", "__sum")
 
 
+@own_names
 def align_tokenizers(docs: DataFrame, files: tuple[str, str] | None = None, text: str = "text", keep: list[str] | None = None,
                      table_rows: int = TABLE_ROWS) -> DataFrame:
     """The columns `keep` (default all) with the seven result columns."""

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from tillframe.sources.files import scratch_path
 
 #: Bytes of text whose words are found in one go; bounds the memory of a task.
 BLOCK_BYTES = 1 << 21
+#: Keys with more than one in so many rows are looked up by broadcast, so there are fewer of them than this.
+HOT_KEYS = 1000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,6 +57,52 @@ def without_columns(df: DataFrame, *results: str) -> list[str]:
     return [name for name in df.columns if name.lower() not in taken]
 
 
+def own_names(operator: Callable) -> Callable:
+    """Let an operator, which uses names beginning with `__` inside, take a table that has such columns.
+
+    They are renamed for the operator and get their names back in its result (the first part of one that has several, or its
+    `rows`). Arguments may name them as text, not in expressions.
+    """
+    @wraps(operator)
+    def apply(docs: DataFrame, *args, **kwargs):
+        away, taken = {}, {name.lower() for name in docs.columns}
+        for name in docs.columns:
+            if name.startswith("__"):
+                new = f"own_{name[2:]}"
+                while new.lower() in taken:
+                    new = f"own_{new}"
+                taken.add(new.lower())
+                away[name] = new
+        if not away:
+            return operator(docs, *args, **kwargs)
+
+        def renamed(value):
+            return away.get(value, value) if isinstance(value, str) else [*map(renamed, value)] if isinstance(value, list) else value
+
+        found = operator(docs.withColumnsRenamed(away), *map(renamed, args), **{name: renamed(value) for name, value in kwargs.items()})
+        back = {new: name for name, new in away.items()}
+        if isinstance(found, tuple):
+            return found[0].withColumnsRenamed(back), *found[1:]
+        if not isinstance(found, DataFrame):
+            return replace(found, rows=found.rows.withColumnsRenamed(back))
+        return found.withColumnsRenamed(back)
+
+    return apply
+
+
+def looked_up(df: DataFrame, values: DataFrame, key: str, rows: int) -> DataFrame:
+    """`df` with the other columns of `values`: one row a key, and in `n` how many of the `rows` rows of `df` have it.
+
+    Keys with more than one in HOT_KEYS of the rows, fewer than that many, are answered by broadcast, so no task meets all rows of one.
+    """
+    names = [name for name in values.columns if name not in (key, "n")]
+    values = values.select(key, "n", F.struct(*names).alias("__value"))
+    frequent = F.col("n") > rows // HOT_KEYS
+    marked = df.join(F.broadcast(values.filter(frequent).select(key, F.col("__value").alias("__hot"))), key, "left")
+    rare = marked.filter("__hot is null").drop("__hot").join(values.filter(~frequent).select(key, "__value"), key)
+    return marked.filter("__hot is not null").withColumnRenamed("__hot", "__value").unionByName(rare).select(*df.columns, "__value.*")
+
+
 def map_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | StructType) -> DataFrame:
     importable(df.sparkSession)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from tillframe.llm.common import LETTERS, importable, utf8, without_columns, words_of
+from tillframe.llm.common import LETTERS, importable, own_names, utf8, without_columns, words_of
 
 WINDOW = 10
 SHARD_WORDS = 1 << 20
@@ -294,6 +294,7 @@ def _scan(docs: DataFrame, tests, text: str, kept: list[str], clean) -> DataFram
     return docs.select(*columns).mapInArrow(run, schema)
 
 
+@own_names
 def find_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", keep: list[str] | None = None,
                        item: str = "item_id", item_text: str = "text", window: int = WINDOW,
                        max_phrase_bytes: int = MAX_PHRASE_BYTES) -> DataFrame:
@@ -316,6 +317,7 @@ def cut_spans(text: bytes, tests: Phrases, spans: list[tuple[int, int]]) -> byte
     return text
 
 
+@own_names
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", length: str | None = "n_chars",
                          item: str = "item_id", item_text: str = "text", window: int = WINDOW,
                          max_phrase_bytes: int = MAX_PHRASE_BYTES) -> DataFrame:

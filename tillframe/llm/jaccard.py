@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tillframe.llm.common import LETTERS, gram_hashes, map_batches, mixed, stored, utf8, words_of
+from tillframe.llm.common import LETTERS, gram_hashes, map_batches, mixed, own_names, stored, utf8, words_of
 from tillframe.llm.components import components
 
 N, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 192
@@ -207,6 +207,7 @@ def _verified(parts: DataFrame, threshold: float) -> DataFrame:
                        "node bigint, linked_rows bigint, linked_classes bigint, root bigint")
 
 
+@own_names
 def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n: int = N, threshold: float = THRESHOLD,
                 recall: float = RECALL, max_hashes: int = MAX_HASHES) -> DataFrame:
     """One row per row of `docs`: id, row (hash of the whole row), copy_id, class_id, n_links, n_linked_classes, leader.
@@ -254,6 +255,7 @@ def near_copies(docs: DataFrame, *, key: str = "doc_id", text: str = "text", n:
         F.coalesce("n_linked_classes", F.lit(0)).cast("bigint").alias("n_linked_classes"), "leader")
 
 
+@own_names
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of `docs`, columns as they are, without those that another row of their group leads.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, utf8, without_columns
+from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, own_names, utf8, without_columns
 
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
@@ -286,6 +286,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
                 [(b.astype(np.int64), c) for *_, b, c in numbers], bits, width, epochs, rate, false_rejections, seed)
 
 
+@own_names
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The columns named in `keep` (default all) with lang_pred, score and rejected."""
     importable(docs.sparkSession)
@@ -316,6 +317,7 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
         "doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
+@own_names
 def keep_identified(docs: DataFrame) -> DataFrame:
     """Rows of `docs`, all columns as they are, whose language is not rejected."""
     model = train(docs.filter(~held_out()).select("doc_id", "text", "lang"))

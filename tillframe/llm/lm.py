@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillframe.llm.common import NOT_SPACE, crc32_of_id, gram_hashes, importable, stored, utf8, words_of
+from tillframe.llm.common import NOT_SPACE, crc32_of_id, gram_hashes, importable, own_names, stored, utf8, words_of
 from tillframe.sources.files import scratch_path
 
 FOLDS, HELD_OUT = 5, 1
@@ -353,6 +353,7 @@ def _scored(joined: DataFrame, mixture: Mixture, id_kind: str) -> DataFrame:
     return joined.mapInArrow(run, f"id {id_kind}, row bigint, n_tokens bigint, n_known bigint, base_score double, score double")
 
 
+@own_names
 def score(docs: DataFrame, *, key: str = "doc_id", text: str = "text", chunk_tokens: int = CHUNK_TOKENS) -> tuple[DataFrame, Mixture]:
     """One row for each row of `docs` (key, n_tokens, n_known, train_tokens, base_score, score), and the learned mixture."""
     spark = docs.sparkSession

@@ -31,7 +31,7 @@ from operator import and_
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillframe.llm.common import map_batches, stored, without_columns
+from tillframe.llm.common import map_batches, own_names, stored, without_columns
 
 FAN = 16
 #: Levels that one pass reduces, and places of a block.
@@ -296,6 +296,7 @@ def source_order(subroots: DataFrame) -> DataFrame:
         F.col("tree").alias("source_tree"))
 
 
+@own_names
 def manifest(docs: DataFrame, keep: Iterable[str] | None = None) -> DataFrame:
     """The columns `keep` (default all) with leaf, subroot, root, proof_sha256, folded_root and verified."""
     keep = without_columns(docs, *RESULTS) if keep is None else list(keep)

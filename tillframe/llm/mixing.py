@@ -24,7 +24,7 @@ from collections.abc import Mapping
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillframe.llm.common import without_columns
+from tillframe.llm.common import own_names, without_columns
 
 OTHER = "*"
 ROUNDS = 40
@@ -100,6 +100,7 @@ def _cells(docs: DataFrame, axes: list[tuple[str, Mapping[str, float]]]) -> list
     return [F.when(F.col(name).isin(list(wanted)), F.col(name)).otherwise(F.lit(OTHER)) for name, wanted in axes]
 
 
+@own_names
 def mix(docs: DataFrame, *, sources: Mapping[str, float] = SOURCES, languages: Mapping[str, float] = LANGUAGES,
         topics: Mapping[str, float] = TOPICS, budget: float = BUDGET, key: str = "doc_id", source: str = "source",
         lang: str = "lang", text: str = "text", topic: Column | None = None, rounds: int = ROUNDS) -> DataFrame:
@@ -152,6 +153,7 @@ def margins(mixed: DataFrame, *, sources: Mapping[str, float] = SOURCES, languag
     return each.groupBy("m.axis", "m.value").agg(*[F.sum(name).alias(name) for name in ("tokens", "expected", "sampled")])
 
 
+@own_names
 def sampled(docs: DataFrame) -> DataFrame:
     """The kept rows of `docs`, columns as they are."""
     rows = docs.withColumn("__row", F.struct(*docs.columns)).select("__row", "doc_id", "source", "lang", "text")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tillframe.llm.common import importable
+from tillframe.llm.common import importable, own_names
 from tillframe.llm.tokens import Pieces, default_model, pre_tokens
 from tillframe.sources.files import scratch_path
 
@@ -88,6 +88,7 @@ def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2") if vocabulary <= 1 << 16 else np.dtype("<u4")
 
 
+@own_names
 def pack(docs: DataFrame, path: str | None = None, *, out: str | None = None, key: str = "doc_id", text: str = "text",
          length: int = LENGTH, group_tokens: int = GROUP_TOKENS) -> DataFrame:
     """Write the packed rows to `out` (default: the scratch folder), and read them: shard, row, n_tokens, doc_ids,

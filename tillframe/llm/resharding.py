@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tillframe.llm.common import without_columns
+from tillframe.llm.common import own_names, without_columns
 from tillframe.sources.files import scratch_path
 
 OLD_SHARDS, NEW_SHARDS, BLOCKS = 16, 24, 2048
@@ -129,6 +129,7 @@ class Resharding:
     rows: DataFrame
 
 
+@own_names
 def reshard(docs: DataFrame, old_shard: Column, capacities: list[int] | int = NEW_SHARDS, *, path: str | None = None,
             key: str = "doc_id", text: str = "text", blocks: int = BLOCKS, cost: list[list[int]] | None = None,
             file_bytes: int = FILE_BYTES) -> Resharding:
@@ -187,6 +188,7 @@ def shard_report(docs: DataFrame) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+@own_names
 def resharded(docs: DataFrame) -> DataFrame:
     """The rows of `docs` with shard and slot, read from the written shards."""
     return reshard(docs, old_layout()).rows.drop("old_shard", "size")

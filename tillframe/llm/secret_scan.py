@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tillframe.llm.common import map_batches, without_columns
+from tillframe.llm.common import map_batches, own_names, without_columns
 
 KINDS = ("assign", "access", "hex", "novel")
 _ASSIGN = re.compile(
@@ -145,6 +145,7 @@ def secrets_of(text: str, compressor: Compressor) -> list[tuple[int, int, int]]:
     return sorted(base_secrets(text) + new)
 
 
+@own_names
 def find_secrets(docs: DataFrame, text: str = "text", settings: Novelty = Novelty(), dictionary: bytes | None = None) -> DataFrame:
     """The columns of `docs` with `secrets`: kind, start, end and value of each, by start and kind."""
     dictionary = identifier_dictionary(docs, text, settings) if dictionary is None else dictionary

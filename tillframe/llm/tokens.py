@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
-from tillframe.llm.common import importable, without_columns
+from tillframe.llm.common import importable, own_names, without_columns
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -123,6 +123,7 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", key: str =
     return {row.pre_token: row.n for row in sample.repartition(1).mapInArrow(most, "pre_token string, n bigint").collect()}
 
 
+@own_names
 def with_token_counts(docs: DataFrame, path: str | None = None, *, text: str = "text", key: str = "doc_id", limit: int = LIMIT,
                       keep: list[str] | None = None, table: dict[str, int] | None = None) -> DataFrame:
     """The columns `keep` (default all) with n_bytes, n_tokens and over_limit."""
