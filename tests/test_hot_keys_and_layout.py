@@ -1,6 +1,7 @@
 """Hot keys are named and dealt over tasks; stored buckets are joined without a shuffle."""
 
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,6 +80,18 @@ def test_frequent_keys_are_counted_exactly(spark):
     assert rows(hotkeys.frequent_key_report(words, "k", 0.09)) == [("a", 100, 10.0)]
 
 
+def test_many_frequent_keys_stay_out_of_the_driver_and_the_plan(spark):
+    keys = [None if i % 11 == 0 else i % 3000 if i % 4 else i % 500 for i in range(24_000)]
+    lines = spark.range(24_000).select(
+        F.when(F.col("id") % 11 == 0, None).when(F.col("id") % 4 != 0, F.col("id") % 3000).otherwise(F.col("id") % 500).alias("k"))
+    report = hotkeys.frequent_key_report(lines, "k", 1 / 3000)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "INSET" not in plan and " IN (" not in plan
+    counts = Counter(key for key in keys if key is not None)
+    expected = sorted((key, n, n / 24_000 * 100) for key, n in counts.items() if n >= 24_000 * (1 / 3000))
+    assert len(expected) > 100 and sorted(rows(report)) == expected
+
+
 @pytest.mark.parametrize("analysis", [revenue.top_customers, trends.monthly_trends, revenue.customer_revenue])
 def test_stored_lines_are_not_shuffled(spark, shuffled, analysis):
     """Above the scan of the lines there is no exchange before the sums per order have met the headers."""

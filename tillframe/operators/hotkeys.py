@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: Sketches that are merged apart before the last merge.
 _GROUPS = 64
 _MOST_TRACKED = 1_000_000
+#: Keys that the driver may collect and a plan may list.
+_MOST_NAMED = 1000
 
 
 @dataclass(frozen=True)
@@ -90,12 +92,17 @@ def salted_join(left: DataFrame, right: DataFrame, hot: HotKeys, how: str = "inn
 
 
 def frequent_key_report(df: DataFrame, key: str, share: float) -> DataFrame:
-    """(key, rows, share_pct) of the keys with at least `share` of all rows, counted exactly.
+    """(key, rows, share_pct) of the keys with at least `share` of all rows, counted exactly. Null keys are left out.
 
-    The sketch names candidates down to a quarter of `share` below it; a second narrow pass counts those.
+    The sketch names candidates down to a quarter of `share` below it; a second narrow pass counts those. Where there
+    can be more than _MOST_NAMED candidates, a sketch would track more items than it rules out, and the driver and the plan
+    would hold them all: then all keys are counted, of which each task sends one row a key, and none reaches the driver.
     """
-    candidates = [value for value, _ in frequent_keys(df, key, share / 2)]
     total = df.agg(F.count(F.lit(1))).scalar()
-    counted = df.filter(F.col(key).isin(candidates)).groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    if 2 / share > _MOST_NAMED:
+        candidates = df.filter(F.col(key).isNotNull())
+    else:
+        candidates = df.filter(F.col(key).isin([value for value, _ in frequent_keys(df, key, share / 2)]))
+    counted = candidates.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     return counted.filter(F.col("rows") >= total * F.lit(float(share))).select(
         key, "rows", (F.col("rows") / total * 100).alias("share_pct"))
