@@ -1,6 +1,7 @@
 """The training sample of the language model, prediction against plain Python, and word hashes."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -32,6 +33,33 @@ def test_the_sample_is_bounded_and_layout_free(spark, monkeypatch):
     assert np.array_equal(one.scores, two.scores) and (one.temperature, one.threshold) == (two.temperature, two.threshold)
 
 
+def test_the_driver_holds_the_sample_once(spark):
+    """The least that training needs in Python is the received counts; the model equals one fitted on counts made here."""
+    draw = np.random.default_rng(5)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz    "))
+    texts = [(i, "".join(draw.choice(letters, 40_000)), ("xx", "yy")[i % 2]) for i in range(160)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string, lang string").localCheckpoint()
+    plain = sorted((lang, *[part.astype(np.int32).tobytes() for change in (bytes, langid.garbled) for part in langid.bucket_counts(change(text.encode()), 16)])
+                   for _, text, lang in texts)
+    size, counts = sum(len(part) for row in plain for part in row[1:]), [(row[0], *[np.frombuffer(part, np.int32) for part in row[1:]]) for row in plain]
+    expected = langid._fit([(b.astype(np.int64), c, lang) for lang, b, c, *_ in counts], [(b.astype(np.int64), c) for *_, b, c in counts], 16, 2, 1, 1.0, 0.001, 7)
+    tracemalloc.start()
+    try:
+        model = langid.train(docs, sample_rows=400, epochs=1, width=2)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert size > 15_000_000 and peak < 1.8 * size
+    assert np.array_equal(model.scores, expected.scores) and (model.temperature, model.threshold) == (expected.temperature, expected.threshold)
+
+
+def test_short_texts_are_looked_up_in_small_runs():
+    long = b"four five " * 40_000
+    runs = list(langid._runs([b"one two three " * 100, b""] * 900 + [long]))
+    assert max(len(data) for first, last, data, _ in runs if last > first + 1) <= 1 << 18
+    assert [first for first, *_ in runs[1:]] == [last for _, last, *_ in runs[:-1]] and runs[-1][:3] == (1800, 1801, long)
+
+
 def test_prediction_equals_a_plain_sum(spark):
     docs = read(spark, SMALL, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs, sample_rows=200)

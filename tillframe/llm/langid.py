@@ -37,6 +37,10 @@ from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, own_names
 UNKNOWN = "und"
 SIZES = (2, 3, 4)
 FOLDS, HELD_OUT = 4, 2
+#: Bytes of texts whose n-grams are looked up in one go, at which a task's memory stays small beside the rest of it.
+RUN_BYTES = 1 << 18
+#: Parts in which the driver receives the sample.
+FETCHES = 8
 _VOWELS = np.frombuffer(b"aeiouy", np.uint8)
 _CONSONANTS = np.frombuffer(b"bcdfghjklmnpqrstvwxz", np.uint8)
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
@@ -84,7 +88,7 @@ def _grams(data: bytes, begins: np.ndarray, bits: int) -> Iterator[tuple[np.ndar
 
 
 def _runs(texts: list[bytes]) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
-    """Texts laid end to end with blanks between, a bounded number of bytes at once; a long text comes in parts."""
+    """Texts laid end to end with blanks between, about RUN_BYTES at once; a text longer than BLOCK_BYTES comes in parts."""
     first = 0
     while first < len(texts):
         text = texts[first]
@@ -99,7 +103,7 @@ def _runs(texts: list[bytes]) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
             first += 1
             continue
         last, size = first + 1, len(text)
-        while last < len(texts) and size + len(texts[last]) < BLOCK_BYTES:
+        while last < len(texts) and size + len(texts[last]) < RUN_BYTES:
             size += len(texts[last]) + 1
             last += 1
         yield first, last, b" ".join(texts[first:last]), np.cumsum([0, *(len(x) + 1 for x in texts[first:last])])
@@ -168,7 +172,7 @@ def softmax(logits: np.ndarray) -> np.ndarray:
 
 def _descend(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, bits: int, width: int,
              epochs: int, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Embeddings times softmax matrix, and bias, after SGD over (buckets, shares, language)."""
+    """Embeddings times softmax matrix, and bias, after SGD over (buckets, counts, language)."""
     draw = np.random.default_rng(seed)
     table = draw.uniform(-1 / width, 1 / width, (1 << bits, width)).astype(np.float32)
     matrix = draw.normal(0, 0.1, (width, n_languages)).astype(np.float32)
@@ -176,7 +180,8 @@ def _descend(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, b
     steps, total = 0, epochs * len(rows)
     for _ in range(epochs):
         for i in draw.permutation(len(rows)):
-            buckets, shares, language = rows[i]
+            buckets, counts, language = rows[i]
+            buckets, shares = buckets.astype(np.int64), _shares(counts)
             pace = np.float32(rate * (1 - steps / total))
             mean = shares @ table[buckets]
             error = softmax(mean @ matrix + bias).astype(np.float32)
@@ -191,12 +196,12 @@ def _descend(rows: list[tuple[np.ndarray, np.ndarray, int]], n_languages: int, b
 
 def _thinned(row: tuple[np.ndarray, np.ndarray, int], seed: int) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
     """The row as if its text were short, so that calibration covers short texts as well."""
-    buckets, shares, language = row
+    buckets, counts, language = row
     draw = np.random.default_rng(seed + len(buckets))
     for grams in (6, 24, 96):
-        counts = draw.multinomial(grams, (wide := shares.astype(np.float64)) / wide.sum())
-        some = counts > 0
-        yield buckets[some], (counts[some] / grams).astype(np.float32), language
+        drawn = draw.multinomial(grams, (wide := _shares(counts).astype(np.float64)) / wide.sum())
+        some = drawn > 0
+        yield buckets[some], drawn[some], language
 
 
 def fit(texts: list[bytes], labels: list[str], *, bits: int = 16, width: int = 12, epochs: int = 6,
@@ -216,13 +221,13 @@ def _fit(samples: list[tuple[np.ndarray, np.ndarray, str]], noise: list[tuple[np
     languages = tuple(sorted({label for *_, label in samples}))
     if not languages:
         return LanguageModel((), bits, np.zeros((1 << bits, 1), np.float32), np.zeros(1), 1.0, 0.0)
-    rows = [(buckets, _shares(counts), languages.index(label)) for buckets, counts, label in samples]
-    rows += [(buckets, _shares(counts), len(languages)) for buckets, counts in noise if len(buckets)]
+    rows = [(buckets, counts, languages.index(label)) for buckets, counts, label in samples]
+    rows += [(buckets, counts, len(languages)) for buckets, counts in noise if len(buckets)]
     apart = np.random.default_rng(seed + 1).random(len(rows)) < 0.2
     scores, bias = _descend([row for row, out in zip(rows, apart) if not out] or rows, len(languages) + 1, bits, width, epochs, rate, seed)
 
     def logits_of(checks: list[tuple[np.ndarray, np.ndarray, int]]) -> np.ndarray:
-        return np.array([shares @ scores[buckets] + bias for buckets, shares, _ in checks], dtype=np.float64).reshape(-1, len(languages) + 1)
+        return np.array([_shares(counts) @ scores[buckets] + bias for buckets, counts, _ in checks], dtype=np.float64).reshape(-1, len(languages) + 1)
 
     def held_out_rows(noise: bool) -> list[tuple[np.ndarray, np.ndarray, int]]:
         every = [(row, out) for row, out in zip(rows, apart) if (row[2] == len(languages)) == noise]
@@ -254,7 +259,8 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
     """Train on at most `sample_rows` different labelled rows, as many of each of the `most_languages` commonest languages.
 
     Executors turn whole texts into bucket counts (2**bits at most a text), so the
-    driver receives a bounded number of bounded rows.
+    driver receives a bounded number of bounded rows. They come in FETCHES parts one after another, and the training
+    reads the bytes that were received, so that the driver holds the sample once.
     """
     importable(labelled.sparkSession)
     draw = F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("draw")
@@ -280,10 +286,9 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
             yield pa.RecordBatch.from_arrays(columns, ["lang", "buckets", "counts", "noise", "noise_counts"])
 
     sample = drawn.select("lang", "text").mapInArrow(count, "lang string, buckets binary, counts binary, noise binary, noise_counts binary")
-    found = sorted((row[0], *map(bytes, row[1:])) for row in sample.collect())
+    found = sorted((row[0], *map(bytes, row[1:])) for row in sample.repartition(FETCHES).toLocalIterator())
     numbers = [(label, *[np.frombuffer(part, np.int32) for part in parts]) for label, *parts in found]
-    return _fit([(b.astype(np.int64), c, label) for label, b, c, *_ in numbers],
-                [(b.astype(np.int64), c) for *_, b, c in numbers], bits, width, epochs, rate, false_rejections, seed)
+    return _fit([(b, c, label) for label, b, c, *_ in numbers], [(b, c) for *_, b, c in numbers], bits, width, epochs, rate, false_rejections, seed)
 
 
 @own_names
