@@ -1,6 +1,7 @@
 """The training sample of the language model, prediction against plain Python, and word hashes."""
 
 import math
+import re
 import tracemalloc
 from collections import Counter
 
@@ -60,6 +61,21 @@ def test_short_texts_are_looked_up_in_small_runs():
     assert [first for first, *_ in runs[1:]] == [last for _, last, *_ in runs[:-1]] and runs[-1][:3] == (1800, 1801, long)
 
 
+def test_only_the_text_goes_through_python(spark):
+    """And it goes once, also where the result is filtered and used again."""
+    rows = [(i, "the water was there and the house was old " * 9, "xx" if i % 2 else "yy", i / 2, "a") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (60, None, None, None, None)], "doc_id bigint, text string, lang string, score double, Rejected string").localCheckpoint()
+    model = langid.train(docs)
+    identified = langid.identify(docs, model)
+    for found in (langid.keep_identified(docs), identified, identified.filter("not rejected and score > 0.2").select("doc_id", "text", "score")):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" not in plan and re.findall(r"ArrowEvalPython \[(.*?)#\d+\)", plan) == ["label(text"]
+    assert identified.columns == ["doc_id", "text", "lang", "lang_pred", "score", "rejected"]
+    kept = {row["doc_id"] for row in identified.filter("not rejected").collect()}
+    assert 60 not in kept and {tuple(row) for row in langid.keep_identified(docs).collect()} == {row for row in rows if row[0] in kept}
+    assert langid.keep_identified(docs).schema == docs.schema
+
+
 def test_prediction_equals_a_plain_sum(spark):
     docs = read(spark, SMALL, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs, sample_rows=200)

@@ -30,7 +30,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from tillframe.llm.common import BLOCK_BYTES, crc32_of_id, importable, own_names, utf8, without_columns
 
@@ -291,24 +290,24 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", *, key: s
     return _fit([(b, c, label) for label, b, c, *_ in numbers], [(b, c) for *_, b, c in numbers], bits, width, epochs, rate, false_rejections, seed)
 
 
-@own_names
-def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The columns named in `keep` (default all) with lang_pred, score and rejected."""
+def _found(model: LanguageModel, docs: DataFrame, text: str) -> Column:
+    """A struct of lang_pred, score and rejected. Only the text goes to Python and only the struct comes back."""
     importable(docs.sparkSession)
-    kept = without_columns(docs, "lang_pred", "score", "rejected") if keep is None else keep
-    columns = list(dict.fromkeys([*kept, text]))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*[docs.schema[name] for name in kept], StructField("lang_pred", StringType()),
-                         StructField("score", DoubleType()), StructField("rejected", BooleanType())])
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            languages, score, rejected = predict(utf8(batch.column(columns.index(text))), shared.value)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(columns.index(name)) for name in kept],
-                 pa.array(languages, pa.string()), pa.array(score), pa.array(rejected)], schema.names)
+    def label(column: pa.Array) -> pa.Array:
+        languages, score, rejected = predict(utf8(column), shared.value)
+        return pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(score), pa.array(rejected)], ["lang_pred", "score", "rejected"])
+
+    # taken as not deterministic, so that no filter on the result is moved below it and predicts a second time
+    return F.arrow_udf(label, "lang_pred string, score double, rejected boolean").asNondeterministic()(F.col(text))
 
-    return docs.select(*columns).mapInArrow(label, schema)
+
+@own_names
+def identify(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """The columns named in `keep` (default all) with lang_pred, score and rejected."""
+    kept = without_columns(docs, "lang_pred", "score", "rejected") if keep is None else keep
+    return docs.select(*kept, _found(model, docs, text).alias("__found")).select(*kept, "__found.*")
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -326,6 +325,4 @@ def predicted_languages(docs: DataFrame) -> DataFrame:
 def keep_identified(docs: DataFrame) -> DataFrame:
     """Rows of `docs`, all columns as they are, whose language is not rejected."""
     model = train(docs.filter(~held_out()).select("doc_id", "text", "lang"))
-    marked = docs.select(*docs.columns, F.col("text").alias("__text"))
-    found = identify(marked.select(F.struct(*docs.columns).alias("__row"), "__text"), model, "__text", ["__row"])
-    return found.filter(~F.col("rejected")).select("__row.*")
+    return docs.filter(~_found(model, docs, "text")["rejected"])
